@@ -41,6 +41,20 @@ select concat('run_', cast(changelist as varchar(12)), '_', board, '_', cast(loo
 from f1_runs cross join (select 0 as k union all select 1 union all select 2 union all select 3 union all select 4 union all select 5) n
 """
 
+# F2 (environment): one key=value file per (changelist, board); a value with a
+# second '=' and a repeated key (last wins) included.
+F2_ENV_LINES = """
+select concat('env_', cast(changelist as varchar(12)), '_', board, '.txt') as file, cast(k + 1 as bigint) as line_no,
+       case k when 0 then concat('cmd=bench --runs ', cast(changelist % 7 as varchar(4)))
+              when 1 then concat('backend=', case when board = 'board_a' then 'neon' else 'c66x' end)
+              when 2 then concat('board=', board)
+              when 3 then concat('changelist=', cast(changelist as varchar(12)))
+              when 4 then 'compiler=gcc=4.9'
+              else concat('backend=', case when changelist % 20 = 0 then 'sse' else 'neon' end) end as line
+from (select distinct changelist, board from f1_runs) r
+cross join (select 0 as k union all select 1 union all select 2 union all select 3 union all select 4 union all select 5) n
+"""
+
 # operator usage, API universe, coverage trace.
 F3_USAGE = """
 select concat('op_', cast(l_partkey % 300 as varchar(8))) as api, concat('prod_', cast(l_suppkey % 3 as varchar(8))) as product,
@@ -57,6 +71,25 @@ select concat('FNDA:', cast(count(case when l_returnflag = 'A' and l_quantity >
 from lineitem group by l_partkey
 """
 
+# F3 (usage trees): one count log per (product, changelist): a root node with
+# one detail line per api, a TOTAL line, then one child node per api.
+F3_USAGE_LINES = """
+select concat('count_', product, '_', cast(changelist as varchar(8)), '.log') as file, cast(line_no as bigint) as line_no, line from (
+  select product, changelist, 1 as line_no, 'frame_process proc (entered 3 times)' as line
+  from (select distinct product, changelist from f3_usage) p
+  union all
+  select product, changelist, 1 + row_number() over (partition by product, changelist order by api) as line_no,
+         concat('    ', api, '  ', cast(total as varchar(20)), '  ', cast(total as varchar(20))) as line from f3_usage
+  union all
+  select product, changelist, 2 + count(*) as line_no, concat('    TOTAL  1  ', cast(sum(total) as varchar(20))) as line
+  from f3_usage group by product, changelist
+  union all
+  select product, changelist,
+         2 + count(*) over (partition by product, changelist) + row_number() over (partition by product, changelist order by api) as line_no,
+         concat('  hl_', api, ' op (entered ', cast(total % 9 + 1 as varchar(4)), ' times)') as line from f3_usage
+) u
+"""
+
 # functional test results, REF = one year, DUT = the next.
 F4_RESULTS = """
 select intrinsic_version, project_name, project_version, project_release, test_api,
@@ -84,7 +117,9 @@ where not (kind = 'error' and case_id % 10 = 3 and type = 'median')
 FIXTURES = {
     "f1_runs": F1_RUNS,
     "f2_profile_lines": F2_PROFILE_LINES,
+    "f2_env_lines": F2_ENV_LINES,
     "f3_usage": F3_USAGE,
+    "f3_usage_lines": F3_USAGE_LINES,
     "f3_api": F3_API,
     "f3_trace": F3_TRACE,
     "f4_results": F4_RESULTS,
@@ -92,10 +127,11 @@ FIXTURES = {
 }
 
 # Fixtures a fixture depends on (CTE order for the oracle).
-DEPENDS = {"f2_profile_lines": ("f1_runs",)}
+DEPENDS = {"f2_profile_lines": ("f1_runs",), "f2_env_lines": ("f1_runs",), "f3_usage_lines": ("f3_usage",)}
 
 # Raw tables each fixture reads.
-SOURCES = {"f1_runs": ("events",), "f2_profile_lines": ("events",), "f3_usage": ("lineitem",),
+SOURCES = {"f1_runs": ("events",), "f2_profile_lines": ("events",), "f2_env_lines": ("events",),
+           "f3_usage": ("lineitem",), "f3_usage_lines": ("lineitem",),
            "f3_api": ("part",), "f3_trace": ("lineitem",), "f4_results": ("orders",),
            "f5_metric": ("lineitem",)}
 
