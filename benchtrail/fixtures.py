@@ -102,6 +102,44 @@ from (select cast(year(o_orderdate) as varchar(4)) as intrinsic_version,
       from orders) o where rn = 1
 """
 
+# F4 (logs): one result log per (version, project) rendered from F4: one line
+# per case, then the three summary lines.
+F4_LOG_LINES = """
+select concat(intrinsic_version, '_', project_name, '_', project_version, '_', project_release, '.log') as file,
+       cast(rn as bigint) as line_no,
+       concat(cast(rn as varchar(8)), '/', cast(n as varchar(8)), ' ', test_api, '... ', upper(test_result)) as line
+from (select *, row_number() over (partition by intrinsic_version, project_name, project_version, project_release order by test_api) as rn,
+             count(*) over (partition by intrinsic_version, project_name, project_version, project_release) as n from f4_results) r
+union all
+select concat(intrinsic_version, '_', project_name, '_', project_version, '_', project_release, '.log') as file,
+       cast(n + k as bigint) as line_no,
+       concat(case k when 1 then 'PASSED: ' when 2 then 'FAILED: ' else 'UNRESOLVED: ' end,
+              cast(case k when 1 then p when 2 then f else u end as varchar(8)), '/', cast(n as varchar(8))) as line
+from (select intrinsic_version, project_name, project_version, project_release, count(*) as n,
+             count(case when test_result = 'passed' then 1 end) as p, count(case when test_result = 'failed' then 1 end) as f,
+             count(case when test_result = 'unresolved' then 1 end) as u
+      from f4_results group by 1, 2, 3, 4) s
+cross join (select 1 as k union all select 2 union all select 3) kk
+"""
+
+# F4 (builds): one build per (version, project) with a failed flag and a tag.
+F4_BUILDS = """
+select intrinsic_version, project_name, project_version, project_release,
+       concat(project_name, '_', project_version, '_', project_release) as config,
+       case when count(case when test_result = 'unresolved' then 1 end) > 2 then 1 else 0 end as build_failed,
+       case when count(case when test_result = 'failed' then 1 end) > 0 then 1 else 0 end as test_failed,
+       case cast(intrinsic_version as int) % 4 when 0 then concat('v', intrinsic_version, '_release')
+            when 1 then concat('v', intrinsic_version, '_rc') when 2 then 'nightly' else 'V_upper' end as updated_by
+from f4_results group by 1, 2, 3, 4
+"""
+
+# F4 (notifications): culprit notifications, open ones have emailed = 'NO'.
+F4_NOTIFY = """
+select o_orderkey as changelist, concat('dev_', cast(o_custkey % 50 as varchar(4))) as author,
+       case when o_orderstatus = 'O' then 'NO' else 'YES' end as emailed, 'NO' as ack, o_orderpriority as jira, '' as comment
+from orders
+"""
+
 # tolerance segments (threshold and error per case, segment, type).
 F5_METRIC = """
 select case_id, segment, type, kind,
@@ -123,16 +161,21 @@ FIXTURES = {
     "f3_api": F3_API,
     "f3_trace": F3_TRACE,
     "f4_results": F4_RESULTS,
+    "f4_log_lines": F4_LOG_LINES,
+    "f4_builds": F4_BUILDS,
+    "f4_notify": F4_NOTIFY,
     "f5_metric": F5_METRIC,
 }
 
 # Fixtures a fixture depends on (CTE order for the oracle).
-DEPENDS = {"f2_profile_lines": ("f1_runs",), "f2_env_lines": ("f1_runs",), "f3_usage_lines": ("f3_usage",)}
+DEPENDS = {"f2_profile_lines": ("f1_runs",), "f2_env_lines": ("f1_runs",), "f3_usage_lines": ("f3_usage",),
+           "f4_log_lines": ("f4_results",), "f4_builds": ("f4_results",)}
 
 # Raw tables each fixture reads.
 SOURCES = {"f1_runs": ("events",), "f2_profile_lines": ("events",), "f2_env_lines": ("events",),
            "f3_usage": ("lineitem",), "f3_usage_lines": ("lineitem",),
-           "f3_api": ("part",), "f3_trace": ("lineitem",), "f4_results": ("orders",),
+           "f3_api": ("part",), "f3_trace": ("lineitem",), "f4_results": ("orders",), "f4_log_lines": ("orders",), "f4_builds": ("orders",),
+           "f4_notify": ("orders",),
            "f5_metric": ("lineitem",)}
 
 
