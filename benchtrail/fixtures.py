@@ -90,6 +90,24 @@ select concat('count_', product, '_', cast(changelist as varchar(8)), '.log') as
 ) u
 """
 
+# F3 (coverage): header lines per category (one "poison" line per API with a
+# comment, a #define for macro APIs) and report lines (covered when the span
+# class is lineCov; some calls pass the API as the first argument).
+F3_HEADER_LINES = """
+select concat('hdr_', category, '.h') as file, cast(row_number() over (partition by category order by api, k) as bigint) as line_no, line
+from (select api, category, 0 as k, concat('#pragma GCC poison ', api, ' /* category ', category, ' */') as line from f3_api
+      union all
+      select api, category, 1 as k, concat('#define ', api, case when length(api) % 2 = 0 then '(x) ((x) + 1)' else ' 42' end)
+      from f3_api where is_macro) h
+"""
+
+F3_REPORT_LINES = """
+select concat('<span class="', case when p_size % 3 = 0 then 'lineCov' else 'lineNoCov' end, '">    ',
+              case when p_size % 5 = 0 then concat('acc = wrap(op_', cast(p_partkey as varchar(8)), ', 3);')
+                   else concat('acc = op_', cast(p_partkey as varchar(8)), '(buf, n);') end, '</span>') as line
+from part
+"""
+
 # functional test results, REF = one year, DUT = the next.
 F4_RESULTS = """
 select intrinsic_version, project_name, project_version, project_release, test_api,
@@ -160,6 +178,8 @@ FIXTURES = {
     "f3_usage_lines": F3_USAGE_LINES,
     "f3_api": F3_API,
     "f3_trace": F3_TRACE,
+    "f3_header_lines": F3_HEADER_LINES,
+    "f3_report_lines": F3_REPORT_LINES,
     "f4_results": F4_RESULTS,
     "f4_log_lines": F4_LOG_LINES,
     "f4_builds": F4_BUILDS,
@@ -168,13 +188,13 @@ FIXTURES = {
 }
 
 # Fixtures a fixture depends on (CTE order for the oracle).
-DEPENDS = {"f2_profile_lines": ("f1_runs",), "f2_env_lines": ("f1_runs",), "f3_usage_lines": ("f3_usage",),
+DEPENDS = {"f2_profile_lines": ("f1_runs",), "f2_env_lines": ("f1_runs",), "f3_usage_lines": ("f3_usage",), "f3_header_lines": ("f3_api",),
            "f4_log_lines": ("f4_results",), "f4_builds": ("f4_results",)}
 
 # Raw tables each fixture reads.
 SOURCES = {"f1_runs": ("events",), "f2_profile_lines": ("events",), "f2_env_lines": ("events",),
            "f3_usage": ("lineitem",), "f3_usage_lines": ("lineitem",),
-           "f3_api": ("part",), "f3_trace": ("lineitem",), "f4_results": ("orders",), "f4_log_lines": ("orders",), "f4_builds": ("orders",),
+           "f3_api": ("part",), "f3_header_lines": ("part",), "f3_report_lines": ("part",), "f3_trace": ("lineitem",), "f4_results": ("orders",), "f4_log_lines": ("orders",), "f4_builds": ("orders",),
            "f4_notify": ("orders",),
            "f5_metric": ("lineitem",)}
 

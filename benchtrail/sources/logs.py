@@ -34,8 +34,9 @@ T_LINE = r"(?i)(\d{1,6})/(\d{1,6})\s(\S+)\.\.\.\s(\S+)"
 T_PASSED = r"(?i)^PASSED:\s(\d+/\d+)"
 T_FAILED = r"(?i)^FAILED:\s(\d+/\d+)"
 T_UNRESOLVED = r"(?i)^UNRESOLVED:\s(\d+/\d+)"
-# Coverage trace record.
+# Coverage trace record and header block comment.
 FNDA = r"^FNDA:([1-9][0-9]*),(.+)$"
+COMMENT = r"/\* .*? ?\*/"
 # ---------------------------------------------------------------------------
 
 
@@ -227,12 +228,20 @@ def read_trace(lines: DataFrame) -> DataFrame:
                     F.regexp_extract("line", FNDA, 1).cast("bigint").alias("hits"))
 
 
-def read_api_universe(lines: DataFrame, marker: str) -> DataFrame:
-    """Tokens of the lines holding ``marker``, with the marker and
-    comments removed, distinct: ``api``."""
-    body = F.regexp_replace(F.regexp_replace(F.col("line"), r"(//.*$)|(/\*.*?\*/)", ""), F.lit(marker), F.lit(""))
-    toks = lines.filter(F.col("line").contains(marker)).select(F.explode(F.split(F.trim(body), r"\s+")).alias("api"))
-    return toks.filter(F.col("api") != "").distinct()
+def read_api_universe(lines: DataFrame, marker: str, phrase: str = "") -> DataFrame:
+    """Tokens of the lines holding ``marker``, after removing ``phrase``
+    and block comments, distinct: ``api``."""
+    body = F.col("line")
+    if phrase:
+        body = F.regexp_replace(body, F.lit(_literal(phrase)), F.lit(""))
+    body = F.regexp_replace(body, F.lit(COMMENT), F.lit(""))
+    toks = lines.filter(F.col("line").contains(marker)).select(F.explode(F.split(body, " ")).alias("api"))
+    return toks.select(F.regexp_replace("api", r"^\s+|\s+$", "").alias("api")).filter(F.col("api") != "").distinct()
+
+
+def _literal(text: str) -> str:
+    import re
+    return re.escape(text)
 
 
 def read_expected(lines: DataFrame) -> DataFrame:
