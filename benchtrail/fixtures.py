@@ -170,6 +170,40 @@ cross join (select 'threshold' as kind union all select 'error') k
 where not (kind = 'error' and case_id % 10 = 3 and type = 'median')
 """
 
+# F5 (logs): one comparator log per case rendered from F5; cases with
+# case_id % 17 = 5 get an error-section marker inside their first threshold
+# section (misnested).
+F5_LOG_LINES = """
+select concat('case_', cast(case_id as varchar(12))) as file,
+       cast(row_number() over (partition by case_id order by segment, sec, k, type) as bigint) as line_no, line
+from (select case_id, segment, case kind when 'threshold' then 0 else 1 end as sec, 1 as k, type,
+             concat('  Largest ', type, ' power error:  * ', cast(value as varchar(20)), ' dB') as line from f5_metric
+      union all select distinct case_id, segment, 0, 0, '', 'Test metrics:' from f5_metric
+      union all select distinct case_id, segment, 0, 2, '', 'Results:' from f5_metric
+      union all select distinct case_id, segment, 1, 0, '', 'Average error per band (dB)' from f5_metric
+      union all select distinct case_id, segment, 1, 2, '', '''*'' indicates a test failure point' from f5_metric
+      union all select distinct case_id, segment, 0, 1, 'zz', 'Average error section opened early' from f5_metric
+                where case_id % 17 = 5 and segment = 1) x
+"""
+
+# F5 (specs): test specification hierarchy, one row per step; parent = id / 2.
+F5_SPECS = """
+select concat('case_', cast(s_suppkey as varchar(12))) as id,
+       case when s_suppkey > 1 then concat('case_', cast(cast(floor(s_suppkey / 2) as bigint) as varchar(12))) end as parent,
+       step_no, step_type,
+       case when step_no = 1 then 'CODEC'
+            when step_no = 2 then case s_suppkey % 4 when 0 then 'FREQCMP' when 2 then 'PESQ' end
+            else 'BITEXACT' end as processor
+from supplier cross join (select 1 as step_no, 'run' as step_type union all select 2, 'eval' union all select 3, 'eval') st
+where step_no = 1 or (step_no = 2 and s_suppkey % 3 <> 0) or (step_no = 3 and s_suppkey % 5 = 0)
+"""
+
+# F5 (results): verdict per case of F5 (most failed).
+F5_RESULTS = """
+select distinct concat('case_', cast(case_id as varchar(12))) as test_api,
+       case when case_id % 4 = 1 then 'passed' else 'failed' end as test_result from f5_metric
+"""
+
 FIXTURES = {
     "f1_runs": F1_RUNS,
     "f2_profile_lines": F2_PROFILE_LINES,
@@ -185,18 +219,23 @@ FIXTURES = {
     "f4_builds": F4_BUILDS,
     "f4_notify": F4_NOTIFY,
     "f5_metric": F5_METRIC,
+    "f5_log_lines": F5_LOG_LINES,
+    "f5_specs": F5_SPECS,
+    "f5_results": F5_RESULTS,
 }
 
 # Fixtures a fixture depends on (CTE order for the oracle).
 DEPENDS = {"f2_profile_lines": ("f1_runs",), "f2_env_lines": ("f1_runs",), "f3_usage_lines": ("f3_usage",), "f3_header_lines": ("f3_api",),
-           "f4_log_lines": ("f4_results",), "f4_builds": ("f4_results",)}
+           "f4_log_lines": ("f4_results",), "f4_builds": ("f4_results",),
+           "f5_log_lines": ("f5_metric",), "f5_results": ("f5_metric",)}
 
 # Raw tables each fixture reads.
 SOURCES = {"f1_runs": ("events",), "f2_profile_lines": ("events",), "f2_env_lines": ("events",),
            "f3_usage": ("lineitem",), "f3_usage_lines": ("lineitem",),
            "f3_api": ("part",), "f3_header_lines": ("part",), "f3_report_lines": ("part",), "f3_trace": ("lineitem",), "f4_results": ("orders",), "f4_log_lines": ("orders",), "f4_builds": ("orders",),
            "f4_notify": ("orders",),
-           "f5_metric": ("lineitem",)}
+           "f5_metric": ("lineitem",), "f5_log_lines": ("lineitem",), "f5_results": ("lineitem",),
+           "f5_specs": ("supplier",)}
 
 
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
