@@ -9,7 +9,7 @@ from collections.abc import Callable
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
 
-AREAS = ("history", "ingest", "compat", "usage", "coverage", "accept", "culprit", "stream", "ml", "sinks")
+AREAS = ("history", "derive", "ingest", "compat", "usage", "coverage", "accept", "culprit", "stream", "ml", "sinks")
 
 
 def query(name: str, oracle: str | None = None):

@@ -212,12 +212,15 @@ def parse_test_results(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def operator_catalogue(lines: DataFrame, prefix: str) -> DataFrame:
-    """Per ``<algorithm>.txt`` file, the distinct operator names that
-    begin with ``prefix``, prefix cut off: ``algorithm, api``."""
+    """Per ``<algorithm>.txt`` file, the distinct operator names of its
+    usage headers (lines stripped first) that begin with ``prefix``, prefix
+    cut off: ``algorithm, api``."""
+    from benchtrail.operators.usage import HEADER
     alg = F.regexp_extract(F.col("file"), r"([^/]+)\.txt$", 1)
     tok = F.trim(F.col("line"))
-    return (lines.filter(tok.startswith(prefix))
-                 .select(alg.alias("algorithm"), F.substring(tok, len(prefix) + 1, 1 << 20).alias("api"))
+    name = F.regexp_extract(tok, HEADER, 2)
+    return (lines.filter(F.col("file").endswith(".txt") & tok.rlike(HEADER) & name.startswith(prefix))
+                 .select(alg.alias("algorithm"), F.substring(name, len(prefix) + 1, 1 << 20).alias("api"))
                  .distinct())
 
 
