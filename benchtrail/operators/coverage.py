@@ -34,22 +34,24 @@ def api_lengths(apis: DataFrame, col: str = "api") -> list[int]:
 
 
 def match_candidates(lines: DataFrame, lengths: list[int], line_col: str = "line") -> DataFrame:
-    """Every string of ``line`` an API could equal at a match position:
-    whole runs that have a character before them, runs between '(' and ',',
-    and proper suffixes of runs whose preceding character is not '_' --
-    suffixes only at the given lengths. Returns the input columns + ``cand``."""
+    """The distinct strings an API could equal at a match position of some
+    line: whole runs that have a character before them, runs between '('
+    and ',', and proper suffixes of runs whose preceding character is not
+    '_' -- suffixes only at the given lengths. Returns one column ``cand``.
+
+    Suffixes depend on the run text alone, so runs are deduplicated before
+    they are expanded (the expansion is per distinct word, not per
+    occurrence)."""
     line = F.col(line_col)
-    whole = F.concat(F.regexp_extract_all(line, F.lit(RUN_INNER), 0), F.regexp_extract_all(line, F.lit(RUN_ARG), 0))
-    lens = F.array(*[F.lit(int(n)) for n in lengths]) if lengths else F.array().cast("array<int>")
-
-    def suffixes(run: Column) -> Column:
-        n = F.length(run)
-        fit = F.filter(lens, lambda L: (L < n) & (F.substring(run, n - L, 1) != F.lit("_")))
-        return F.transform(fit, lambda L: F.substring(run, n - L + 1, L))
-
-    runs = F.regexp_extract_all(line, F.lit(RUN_ANY), 0)
-    cands = F.array_union(whole, F.flatten(F.transform(runs, suffixes)))
-    return lines.select("*", F.explode(cands).alias("cand"))
+    arg = F.when(line.contains("("), F.regexp_extract_all(line, F.lit(RUN_ARG), 0)).otherwise(F.array().cast("array<string>"))
+    whole = lines.select(F.explode(F.concat(F.regexp_extract_all(line, F.lit(RUN_INNER), 0), arg)).alias("cand"))
+    runs = lines.select(F.explode(F.regexp_extract_all(line, F.lit(RUN_ANY), 0)).alias("run")).distinct()
+    n = F.length("run")
+    starts = runs.filter(n > 1).select("run", F.explode(F.sequence(F.lit(2), n)).alias("st"))
+    size = F.length("run") - F.col("st") + 1
+    suff = (starts.filter(size.isin(*[int(x) for x in lengths]) & (F.expr("substring(run, st - 1, 1)") != F.lit("_")))
+                  .select(F.expr("substring(run, st)").alias("cand")))
+    return whole.unionByName(suff).distinct()
 
 
 def token_match(apis: DataFrame, report: DataFrame, covered: Column | None = None,
@@ -58,7 +60,7 @@ def token_match(apis: DataFrame, report: DataFrame, covered: Column | None = Non
     report. ``covered`` defaults to "line contains lineCov"."""
     cov = covered if covered is not None else F.col("line").contains(COVERED_MARK)
     lines = report.filter(cov).select("line")
-    cands = match_candidates(lines, api_lengths(apis, col)).select(F.col("cand").alias(col)).distinct()
+    cands = match_candidates(lines, api_lengths(apis, col)).select(F.col("cand").alias(col))
     return apis.select(col).distinct().join(cands, col, "left_semi")
 
 
@@ -78,21 +80,25 @@ def coverage_chain(universe: DataFrame, trace: DataFrame, report: DataFrame, hea
                    deprecated: DataFrame, col: str = "api") -> DataFrame:
     """One row per API of the universe with the first reason that removes
     it: executed (trace hits >= 1), called macro (matched in a covered report
-    line), macro (has a #define), deprecated; the rest is ``not_covered``."""
+    line), macro (has a #define), deprecated; the rest is ``not_covered``.
+
+    Each test is a key set joined once onto the universe; the first true
+    flag in chain order is the reason (same result as removing step by step,
+    since a later test never changes an earlier removal)."""
     u = universe.select(col).distinct()
-    executed = u.join(trace.filter(F.col("hits") >= 1).select(col).distinct(), col, "left_semi")
-    rest = u.join(executed, col, "left_anti")
-    called = token_match(rest, report, col=col)
-    rest2 = rest.join(called, col, "left_anti")
-    macro = macro_defined(rest2, header_lines, col)
-    rest3 = rest2.join(macro, col, "left_anti")
-    dep = rest3.join(deprecated.select(col).distinct(), col, "left_semi")
-    rest4 = rest3.join(dep, col, "left_anti")
-    return (executed.withColumn("reason", F.lit("executed"))
-            .unionByName(called.withColumn("reason", F.lit("called_macro")))
-            .unionByName(macro.withColumn("reason", F.lit("macro")))
-            .unionByName(dep.withColumn("reason", F.lit("deprecated")))
-            .unionByName(rest4.withColumn("reason", F.lit("not_covered"))))
+    flags = {
+        "executed": trace.filter(F.col("hits") >= 1).select(col),
+        "called_macro": token_match(u, report, col=col),
+        "macro": macro_defined(u, header_lines, col),
+        "deprecated": deprecated.select(col),
+    }
+    out = u
+    for name, keys in flags.items():
+        out = out.join(keys.distinct().withColumn(f"_{name}", F.lit(True)), col, "left")
+    reason = F.lit("not_covered")
+    for name in reversed(list(flags)):
+        reason = F.when(F.col(f"_{name}").isNotNull(), F.lit(name)).otherwise(reason)
+    return out.select(col, reason.alias("reason"))
 
 
 def chain_counts(chain: DataFrame) -> DataFrame:
