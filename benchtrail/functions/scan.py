@@ -20,13 +20,19 @@ DEFAULT_CHUNK = 1 << 16
 
 
 def running_max(df: DataFrame, part: Sequence[str], order: str, value: Column, out: str,
-                chunk: int = DEFAULT_CHUNK) -> DataFrame:
+                chunk: int = DEFAULT_CHUNK, monotone: bool = True) -> DataFrame:
     """``out`` = max(value) over rows of the same ``part`` whose ``order`` is
     <= this row's (nulls ignored; null before the first non-null).
 
     ``order`` must be an integral position (a line number). ``value`` may be a
     struct: the max of ``struct(line_no, name)`` carries the latest header's
     name forward.
+
+    ``monotone``: the value grows with ``order`` (e.g. it is built from the
+    line number). Then a row with a non-null value earlier in its own chunk
+    already has the answer, and only the rows before a chunk's first value
+    are joined with the carry from earlier chunks -- the bulk of the lines
+    is never joined.
     """
     part = list(part)
     d = df.withColumn("_v", value).withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk)))
@@ -34,8 +40,13 @@ def running_max(df: DataFrame, part: Sequence[str], order: str, value: Column, o
     wc = Window.partitionBy(*part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = per.select(*part, "_chunk", F.max("_cmax").over(wc).alias("_carry"))
     wi = Window.partitionBy(*part, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    joined = d.join(carry, [*part, "_chunk"], "left")
-    inner = F.max("_v").over(wi)
-    res = F.when(F.col("_carry").isNull(), inner).when(inner.isNull(), F.col("_carry")) \
-           .otherwise(F.greatest(inner, F.col("_carry")))
-    return joined.withColumn(out, res).drop("_v", "_chunk", "_carry")
+    local = d.withColumn("_loc", F.max("_v").over(wi))
+    if monotone:
+        done = local.filter(F.col("_loc").isNotNull()).withColumn(out, F.col("_loc"))
+        rest = (local.filter(F.col("_loc").isNull()).join(carry, [*part, "_chunk"], "left")
+                     .withColumn(out, F.col("_carry")).drop("_carry"))
+        return done.unionByName(rest).drop("_v", "_chunk", "_loc")
+    joined = local.join(carry, [*part, "_chunk"], "left")
+    res = F.when(F.col("_carry").isNull(), F.col("_loc")).when(F.col("_loc").isNull(), F.col("_carry")) \
+           .otherwise(F.greatest(F.col("_loc"), F.col("_carry")))
+    return joined.withColumn(out, res).drop("_v", "_chunk", "_carry", "_loc")
