@@ -157,3 +157,18 @@ f as (select file, max(case when test_case_name = '{FRAME}' then 1 + event_id %
       bool_or(test_case_name = '{FRAME}') as has_frame, count(*) as n from pos group by file)"""))
 def a4_scale_to_frame(spark, sf_dir):
     return M.scale_to_frame(L.parse_profile_report(profile_lines(spark, sf_dir)), FRAME)
+
+
+@query("s1_log_scan", with_fixtures("select file, line_no, line from f2_profile_lines", "f2_profile_lines"))
+def s1_log_scan(spark, sf_dir):
+    """The F2 logs written as text files (one folder per log), then
+    scanned back with line numbers restored from the split layout."""
+    import uuid
+
+    from benchtrail.session import scratch_path
+    out = scratch_path(spark, f"logs-{uuid.uuid4().hex[:8]}")
+    lines = profile_lines(spark, sf_dir)
+    (lines.repartition("file").sortWithinPartitions("file", "line_no").select("file", "line")
+          .write.partitionBy("file").text(out))
+    scanned = L.read_log_lines(spark, out, "*.txt")
+    return scanned.select(F.regexp_extract("file", r"file=([^/]+)/", 1).alias("file"), "line_no", "line")
