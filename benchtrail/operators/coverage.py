@@ -19,8 +19,6 @@ COVERED_MARK = "lineCov"
 ID = "A-Za-z0-9_"
 # maximal identifier runs followed by a boundary character or the line end
 RUN_ANY = rf"(?<![{ID}])[{ID}]+(?=[ |(]|$)"
-# the same, but with a character before the run
-RUN_INNER = rf"(?<=[^{ID}])[{ID}]+(?=[ |(]|$)"
 # a run between '(' and ','
 RUN_ARG = rf"(?<=\()[{ID}]+(?=,)"
 # '#define' followed by the defined name
@@ -39,19 +37,24 @@ def match_candidates(lines: DataFrame, lengths: list[int], line_col: str = "line
     and ',', and proper suffixes of runs whose preceding character is not
     '_' -- suffixes only at the given lengths. Returns one column ``cand``.
 
-    Suffixes depend on the run text alone, so runs are deduplicated before
-    they are expanded (the expansion is per distinct word, not per
-    occurrence)."""
+    Every line is scanned once for its runs; only the first run of a line
+    can lack a preceding character. Runs are aggregated to distinct words
+    (map-side combine) before the suffixes are expanded, so the expansion is
+    per word, not per occurrence."""
     line = F.col(line_col)
-    arg = F.when(line.contains("("), F.regexp_extract_all(line, F.lit(RUN_ARG), 0)).otherwise(F.array().cast("array<string>"))
-    whole = lines.select(F.explode(F.concat(F.regexp_extract_all(line, F.lit(RUN_INNER), 0), arg)).alias("cand"))
-    runs = lines.select(F.explode(F.regexp_extract_all(line, F.lit(RUN_ANY), 0)).alias("run")).distinct()
+    at_start = F.regexp_extract(line, rf"^([{ID}]+)(?=[ |(]|$)", 1) != F.lit("")
+    occ = lines.select(F.posexplode(F.regexp_extract_all(line, F.lit(RUN_ANY), 0)).alias("pos", "run"),
+                       at_start.alias("_s"))
+    runs = occ.groupBy("run").agg(F.bool_or(~((F.col("pos") == 0) & F.col("_s"))).alias("whole"))
+    whole = runs.filter(F.col("whole")).select(F.col("run").alias("cand"))
+    arg = (lines.filter(line.contains("("))
+                .select(F.explode(F.regexp_extract_all(line, F.lit(RUN_ARG), 0)).alias("cand")))
     n = F.length("run")
     starts = runs.filter(n > 1).select("run", F.explode(F.sequence(F.lit(2), n)).alias("st"))
     size = F.length("run") - F.col("st") + 1
     suff = (starts.filter(size.isin(*[int(x) for x in lengths]) & (F.expr("substring(run, st - 1, 1)") != F.lit("_")))
                   .select(F.expr("substring(run, st)").alias("cand")))
-    return whole.unionByName(suff).distinct()
+    return whole.unionByName(arg).unionByName(suff).distinct()
 
 
 def token_match(apis: DataFrame, report: DataFrame, covered: Column | None = None,
