@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from benchtrail.session import checkpoint_dir
+
 # The match rules of the coverage scripts.
 # An API matches a report line when it is preceded by a character other than
 # '_' and followed by ' ', '|', '(' or the end of the line, or when it stands
@@ -60,8 +62,12 @@ def token_match(apis: DataFrame, report: DataFrame, covered: Column | None = Non
     report. ``covered`` defaults to "line contains lineCov"."""
     cov = covered if covered is not None else F.col("line").contains(COVERED_MARK)
     lines = report.filter(cov).select("line")
-    cands = match_candidates(lines, api_lengths(apis, col)).select(F.col("cand").alias(col))
-    return apis.select(col).distinct().join(cands, col, "left_semi")
+    # the API set is read twice (its name lengths, the final semi join): it is
+    # a vocabulary, so it is materialized once in the shared checkpoint folder
+    checkpoint_dir(apis.sparkSession)
+    names = apis.select(col).distinct().checkpoint()
+    cands = match_candidates(lines, api_lengths(names, col)).select(F.col("cand").alias(col))
+    return names.join(cands, col, "left_semi")
 
 
 def macro_defined(apis: DataFrame, header_lines: DataFrame, col: str = "api") -> DataFrame:
