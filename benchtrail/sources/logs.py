@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from benchtrail.functions.scan import running_max
+from benchtrail.session import checkpoint_dir
 
 # ---------------------------------------------------------------------------
 # Line grammar of the logs (must accept exactly what the
@@ -41,15 +42,15 @@ COMMENT = r"/\* .*? ?\*/"
 
 
 def read_log_lines(spark: SparkSession, path: str, glob: str | None = None,
-                   mode: str = "split") -> DataFrame:
+                   mode: str = "split", broadcast_limit: int = 500_000) -> DataFrame:
     """``(file, line_no, line)`` for every file under ``path`` whose name
     matches ``glob``, line order kept, ``\\r`` stripped.
 
     mode="split" (default): line-based text scan, so one large log is read by
     many tasks. Inside a split rows keep file order, so a line's number is
     (lines of the file's earlier splits) + (its position in the split). The
-    per-split table has one row per split -- the scan's own task list -- so
-    broadcasting it is bounded by the job's size, not the data's.
+    per-split table has one row per split (the scan's own task list); it is
+    broadcast when it has at most ``broadcast_limit`` rows.
     mode="wholetext": one row per file, exploded (a file is one task).
     """
     reader = spark.read.option("recursiveFileLookup", "true")
@@ -75,7 +76,12 @@ def read_log_lines(spark: SparkSession, path: str, glob: str | None = None,
     blocks = rows.groupBy("file", "_blk").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy("file").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select("file", "_blk", "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
-    return (rows.join(F.broadcast(blocks), ["file", "_blk"])
+    # one row per split: materialized once (shared folder), broadcast only
+    # when its checked size allows, else joined by shuffle
+    checkpoint_dir(spark)
+    blocks = blocks.checkpoint()
+    side = F.broadcast(blocks) if blocks.count() <= broadcast_limit else blocks
+    return (rows.join(side, ["file", "_blk"])
                 .select("file", (F.col("_before") + F.col("_mid") - F.col("_first") + 1).cast("bigint").alias("line_no"),
                         "line"))
 
