@@ -103,3 +103,18 @@ def w10_nearest_buildable(spark, sf_dir):
     runs(spark, sf_dir)
     builds = spark.sql(BUILDS_SQL)
     return B.nearest_buildable(builds, builds.select("changelist"), k=5)
+
+
+TOP_CTES = BISECT_CTES.replace(
+    f"""        where round(100 * (l.min_value - b.base_value) / b.base_value, 6) > {THR}),""",
+    f"""        where round(100 * (l.min_value - b.base_value) / b.base_value, 6) > {THR}
+        order by round(100 * (l.min_value - b.base_value) / b.base_value, 6) desc, l.test_case_name, l.board limit 10),""")
+
+
+@query("l2_nightly_culprits", _rec(with_fixtures("""
+select f.*, c.author, 'NO' as emailed from fin f left join changes c on f.culprit_cl = c.changelist
+""", "f1_runs", ctes=TOP_CTES + ",\nchanges as (" + CHANGES_SQL + ")")))
+def l2_nightly_culprits(spark, sf_dir):
+    from benchtrail.plans.nightly import nightly_report
+    r = runs(spark, sf_dir)
+    return nightly_report(r, spark.sql(CHANGES_SQL), threshold=THR, top_k=10, cl_range=RANGE)["culprits"]

@@ -172,3 +172,62 @@ def s1_log_scan(spark, sf_dir):
           .write.partitionBy("file").text(out))
     scanned = L.read_log_lines(spark, out, "*.txt")
     return scanned.select(F.regexp_extract("file", r"file=([^/]+)/", 1).alias("file"), "line_no", "line")
+
+
+def _write_logs(spark, sf_dir, name):
+    """The F2 logs as text files (one folder per log) in the shared folder."""
+    import uuid
+
+    from benchtrail.session import scratch_path
+    out = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")
+    (profile_lines(spark, sf_dir).repartition("file").sortWithinPartitions("file", "line_no").select("file", "line")
+        .write.partitionBy("file").text(out))
+    return out
+
+
+LOG_PATH = r"file=run_(\d+)_(\w+)_(\d+)\.log/"
+ENV_FILE = r"^env_(\d+)_(.+)\.txt$"
+
+L1_SQL = with_fixtures("""
+select changelist, board, test_case_name,
+       cast(floor(median(floor(max_value * 100))) as bigint) as max_value,
+       cast(floor(median(floor(min_value * 100))) as bigint) as min_value,
+       cast(floor(median(floor(avg_value * 100))) as bigint) as avg_value,
+       concat('bench --runs ', cast(changelist % 7 as varchar)) as cmd,
+       case when changelist % 20 = 0 then 'sse' else 'neon' end as backend,
+       cast(null as varchar) as target, cast(null as varchar) as os, cast(null as varchar) as arch,
+       'gcc' as compiler, cast(null as varchar) as glibc, 'cycle' as unitperf
+from f1_runs group by changelist, board, test_case_name
+""", "f1_runs")
+
+
+@query("l1_profile_runs", L1_SQL)
+def l1_profile_runs(spark, sf_dir):
+    from benchtrail.plans.ingest import profile_runs
+    f = F.col("file")
+    return profile_runs(
+        profile_lines(spark, sf_dir), fixture(spark, sf_dir, "f2_env_lines"),
+        run_of_log={"changelist": F.regexp_extract(f, RUN_FILE, 1).cast("bigint"),
+                    "board": F.regexp_extract(f, RUN_FILE, 2), "loop": F.regexp_extract(f, RUN_FILE, 3).cast("bigint")},
+        run_of_env={"changelist": F.regexp_extract(f, ENV_FILE, 1).cast("bigint"),
+                    "board": F.regexp_extract(f, ENV_FILE, 2)})
+
+
+@query("t1_ingest_logs", _merge_sql("median"))
+def t1_ingest_logs(spark, sf_dir):
+    """Log files picked up by a file stream, parsed per micro-batch and
+    appended idempotently; the loops of each run are merged over everything
+    ingested."""
+    import uuid
+
+    from benchtrail.session import scratch_path
+    from benchtrail.streaming import ingest as S
+    folder = _write_logs(spark, sf_dir, "t1-logs")
+    out = scratch_path(spark, f"t1-nodes-{uuid.uuid4().hex[:8]}")
+    S.ingest_logs(S.log_file_stream(spark, folder, "*.txt"), L.parse_profile_report, out, "t1-logs")
+    nodes = spark.read.parquet(out)
+    f = F.col("file")
+    nodes = nodes.select("*", F.regexp_extract(f, LOG_PATH, 1).cast("bigint").alias("changelist"),
+                         F.regexp_extract(f, LOG_PATH, 2).alias("board"),
+                         F.regexp_extract(f, LOG_PATH, 3).cast("bigint").alias("loop"))
+    return M.merge_loops(nodes, ["changelist", "board"], behaviour="default")
