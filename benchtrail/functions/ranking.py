@@ -14,12 +14,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def dense_index(df: DataFrame, order_col: str, out: str = "idx", partitions: int | None = None) -> DataFrame:
-    """Position of each row of ``df`` ordered by ``order_col`` (values should
-    be distinct, e.g. after ``distinct()``)."""
+def dense_index(df: DataFrame, order_col, out: str = "idx", partitions: int | None = None) -> DataFrame:
+    """Position of each row of ``df`` in the order of ``order_col`` (a column
+    name or a list of names). Rows that tie get consecutive positions in an
+    arbitrary but fixed order."""
+    cols = [order_col] if isinstance(order_col, str) else list(order_col)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    ranged = (df.repartitionByRange(n, F.col(order_col))
-                .sortWithinPartitions(order_col)
+    ranged = (df.repartitionByRange(n, *[F.col(c) for c in cols])
+                .sortWithinPartitions(*cols)
                 .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = ranged.withColumn("_part", F.shiftright("_mid", 33)) \
                    .withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_part"), 33))
@@ -29,3 +31,22 @@ def dense_index(df: DataFrame, order_col: str, out: str = "idx", partitions: int
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
     return (ranged.join(F.broadcast(offsets), "_part")
                   .select(*df.columns, (F.col("_off") + F.col("_local")).cast("bigint").alias(out)))
+
+
+def group_median(df: DataFrame, keys, value: str, out: str = "median", partitions: int | None = None) -> DataFrame:
+    """Exact median of ``value`` per group (the mean of the two middle values
+    for an even count, as ``percentile(0.5)``) without holding a group in
+    one task: rows get a global position in (keys, value) order from a
+    range-partitioned sort, each group's middle positions are computed from
+    its first position and count, and the middle rows are fetched by an
+    equi-join on position (positions are spread evenly, so a hot group does
+    not become a hot join key)."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    v = df.select(*keys, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
+    ordered = dense_index(v, [*keys, "_v"], "_i", partitions)
+    starts = ordered.groupBy(*keys).agg(F.min("_i").alias("_s"), F.count(F.lit(1)).alias("_n"))
+    mids = starts.select(F.explode(F.array_distinct(F.array(
+        F.col("_s") + F.floor((F.col("_n") - 1) / 2).cast("bigint"),
+        F.col("_s") + F.floor(F.col("_n") / 2).cast("bigint")))).alias("_i"))
+    picked = ordered.join(mids, "_i")
+    return picked.groupBy(*keys).agg(F.avg("_v").alias(out))

@@ -20,12 +20,16 @@ def _stat(col: str, behaviour: str) -> Column:
 
 
 def merge_loops(nodes: DataFrame, run_keys: Sequence[str], loop_col: str = "loop",
-                behaviour: str = "default", mode: str = "name") -> DataFrame:
+                behaviour: str = "default", mode: str = "name", median: str = "percentile") -> DataFrame:
     """A1: one row per run and node over the repeated loops of the run.
 
     Each of max/min/avg is reduced over the loops (default median, ``codec``
     min, ``worst`` max) and rounded down. The root node is skipped (P16).
 
+    median="percentile" keeps each (run, node) group's values in one
+    aggregation buffer (groups are the loops of one run); median="ranked"
+    computes the same exact median by global rank, for groups of any size.
+
     mode="name": loops are matched by node name (a node missing from some
     loops is merged over the loops that have it).
     mode="reference" (J11): node k of every loop is matched with node k of the
@@ -33,6 +37,8 @@ def merge_loops(nodes: DataFrame, run_keys: Sequence[str], loop_col: str = "loop
     from the first loop.
     """
     run_keys = list(run_keys)
+    if mode == "name" and BEHAVIOUR[behaviour] == "median" and median == "ranked":
+        return _ranked_median_merge(nodes.filter(F.col("name") != ROOT_NODE), run_keys)
     if mode == "name":
         kept = nodes.filter(F.col("name") != ROOT_NODE)
         out = kept.groupBy(*run_keys, F.col("name").alias("test_case_name")).agg(
@@ -52,6 +58,18 @@ def merge_loops(nodes: DataFrame, run_keys: Sequence[str], loop_col: str = "loop
     return agg.filter(F.col("test_case_name") != ROOT_NODE).drop("pos")
 
 
+def _ranked_median_merge(kept: DataFrame, run_keys: list[str]) -> DataFrame:
+    from benchtrail.functions.ranking import group_median
+    stats = ("max", "min", "avg")
+    long = kept.select(*run_keys, F.col("name").alias("test_case_name"),
+                       F.explode(F.array(*[F.struct(F.lit(s).alias("stat"), F.col(s).alias("v")) for s in stats])).alias("_sv"))
+    long = long.select(*run_keys, "test_case_name", F.col("_sv.stat").alias("stat"), F.col("_sv.v").alias("v"))
+    med = group_median(long, [*run_keys, "test_case_name", "stat"], "v", "m")
+    wide = med.groupBy(*run_keys, "test_case_name").pivot("stat", list(stats)).agg(F.first("m"))
+    return wide.select(*run_keys, "test_case_name",
+                       *[F.floor(F.col(s)).cast("bigint").alias(f"{s}_value") for s in stats])
+
+
 def min_stats(stats: DataFrame, fps: float, node: str | None = None) -> DataFrame:
     """A2: best of all ``.log`` files: min over logs of Max / Avg (/ Min for
     one node), scaled ``round(fps * v / 1e6, 2)``. ``stats`` is S3 output."""

@@ -231,3 +231,10 @@ def t1_ingest_logs(spark, sf_dir):
                          F.regexp_extract(f, LOG_PATH, 2).alias("board"),
                          F.regexp_extract(f, LOG_PATH, 3).cast("bigint").alias("loop"))
     return M.merge_loops(nodes, ["changelist", "board"], behaviour="default")
+
+
+@query("a1_merge_loops_ranked", _merge_sql("median"))
+def a1_merge_loops_ranked(spark, sf_dir):
+    """A1 with the skew-proof exact median (global rank instead of one
+    buffer per group)."""
+    return M.merge_loops(profile_nodes(spark, sf_dir), ["changelist", "board"], behaviour="default", median="ranked")

@@ -142,3 +142,15 @@ def test_nearest_buildable(spark):
     assert got == {60: 30, 30: 30, 10: 10}            # 60, 50, 40 failed; 30 is the 4th try
     got3 = {r.changelist: r.buildable_cl for r in B.nearest_buildable(builds, wanted, k=3).collect()}
     assert got3[60] is None
+
+
+def test_group_median_equals_percentile_with_hot_group(spark):
+    from benchtrail.functions.ranking import group_median
+    rnd = random.Random(5)
+    rows = [("hot", float(rnd.randint(0, 999))) for _ in range(6000)] + \
+           [(f"g{rnd.randint(0, 80)}", float(rnd.randint(0, 30))) for _ in range(3000)] + [("two", 1.0), ("two", 4.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    from pyspark.sql import functions as F
+    a = {r.k: r.m for r in group_median(df, "k", "v", "m", partitions=5).collect()}
+    b = {r.k: r.m for r in df.groupBy("k").agg(F.median("v").alias("m")).collect()}
+    assert a == b and a["two"] == 2.5
