@@ -124,3 +124,24 @@ def culprit_search(alerts: DataFrame, records: DataFrame, changes: DataFrame, th
     found = first_bad(verdicts, a.select(*keys, "good_cl", "bad_cl"), keys)
     return (with_authors(found, changes)
             .withColumn("emailed", F.lit("NO")))
+
+
+def next_tests(changes: DataFrame, verdicts: DataFrame, ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """W9 on sparse history (W8 + P11): for every open range, the midpoint
+    build on the full change axis (every change between good and bad, as the
+    search walks it), and whether a result for it is already recorded.
+    Rows with ``tested`` = false are the builds to build and test next; after
+    their results are recorded the next round starts from the updated ranges.
+    ``changes``: changelist; ``verdicts``: keys, changelist, fail;
+    ``ranges``: keys, good_cl, bad_cl."""
+    from benchtrail.functions.ranking import dense_index
+
+    keys = list(keys)
+    axis = dense_index(changes.select(CL).distinct(), CL, "_g")
+    r = (ranges.join(axis.select(F.col(CL).alias("good_cl"), F.col("_g").alias("lo")), "good_cl")
+               .join(axis.select(F.col(CL).alias("bad_cl"), F.col("_g").alias("hi")), "bad_cl"))
+    m = r.withColumn("_g", midpoint()).filter(F.col("_g") != F.col("lo"))   # mid at the good end: search is over
+    m = m.join(axis, "_g").withColumnRenamed(CL, "mid_cl")
+    done = verdicts.select(*keys, F.col(CL).alias("mid_cl")).distinct().withColumn("tested", F.lit(True))
+    return (m.join(done, [*keys, "mid_cl"], "left")
+             .select(*keys, "good_cl", "bad_cl", "mid_cl", F.coalesce(F.col("tested"), F.lit(False)).alias("tested")))

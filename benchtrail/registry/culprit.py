@@ -118,3 +118,28 @@ def l2_nightly_culprits(spark, sf_dir):
     from benchtrail.plans.nightly import nightly_report
     r = runs(spark, sf_dir)
     return nightly_report(r, spark.sql(CHANGES_SQL), threshold=THR, top_k=10, cl_range=RANGE)["culprits"]
+
+
+# the change axis is every build of the fixture; results exist only for the
+# builds a series has records for (sparse history)
+NEXT_CTES = ALERT_CTES + """,
+ax as (select changelist, cast(dense_rank() over (order by changelist) - 1 as bigint) as g from (select distinct changelist from f1_runs) c),
+rg as (select a.test_case_name, a.board, a.base_cl as good_cl, a.cand_cl as bad_cl, l.g as lo, h.g as hi
+       from rng a join ax l on l.changelist = a.base_cl join ax h on h.changelist = a.cand_cl),
+md as (select r.*, x.changelist as mid_cl from rg r join ax x on x.g = r.hi - (r.hi - r.lo + 1) // 2
+       where r.hi - (r.hi - r.lo + 1) // 2 <> r.lo)"""
+
+
+@query("w9_next_tests", with_fixtures("""
+select md.test_case_name, md.board, md.good_cl, md.bad_cl, md.mid_cl,
+       exists (select 1 from recs r where r.test_case_name = md.test_case_name and r.board = md.board
+               and r.changelist = md.mid_cl) as tested
+from md
+""", "f1_runs", ctes=NEXT_CTES))
+def w9_next_tests(spark, sf_dir):
+    r = runs(spark, sf_dir)
+    recs = H.latest_record(r, H.RECORD, values=["min_value"])
+    a = range_alerts(spark, sf_dir)
+    verdicts = recs.select(*KEYS, "changelist", F.lit(False).alias("fail"))
+    return B.next_tests(r.select("changelist"), verdicts,
+                        a.select(*KEYS, F.col("base_cl").alias("good_cl"), F.col("cand_cl").alias("bad_cl")), KEYS)
