@@ -45,8 +45,10 @@ def latest_record(runs: DataFrame, keys: Sequence[str] = RECORD, ts: str = "upda
                   tie: Sequence[str] = ("event_id",), values: Sequence[str] | None = None) -> DataFrame:
     """Per key, the values of the run with the greatest (ts, tie...).
 
-    One hash aggregate (partial max_by on the map side), no sort, no N+1
-    correlated lookups; a key holding many runs is combined before the shuffle.
+    One aggregation with a partial ``max_by`` on the map side -- no window,
+    no N+1 correlated lookups; a key holding many runs is combined before the
+    shuffle. The struct buffers make it a sort-based aggregate, which spills
+    rather than failing on large partitions.
     """
     keys = _cols(keys)
     if values is None:
@@ -253,7 +255,7 @@ def benchmark_pivot(runs: DataFrame, algorithm: str, columns: Sequence[str], col
     return rec.groupBy("test_case_name").pivot(column, list(columns)).agg(F.first(value))
 
 
-def report_rows(runs: DataFrame, changelist: int | None = None) -> DataFrame:
+def report_rows(runs: DataFrame, changelist: int | None = None, variant: str = "nightly") -> DataFrame:
     """R3 (+J12): per case and board, the report cells of one build
     (latest build of the series when ``changelist`` is None).
 
@@ -261,6 +263,10 @@ def report_rows(runs: DataFrame, changelist: int | None = None) -> DataFrame:
     or avg is missing); fft: work = 5 n log2 n with n the last ``_`` part,
     third = round(first/work, 2); math: first = first div 100 after the spread
     (the nightly report divides integers).
+
+    variant="two_build" (the DUT-vs-REF report): first is the minimum itself
+    (no int), math divides as floats and rounds, and there is no work cell;
+    a case without an average gets no row.
     """
     if changelist is None:
         rec = latest_record(runs, SERIES, ts=CL, tie=("updatetime", "event_id"),
@@ -268,6 +274,16 @@ def report_rows(runs: DataFrame, changelist: int | None = None) -> DataFrame:
     else:
         rec = latest_record(runs.filter(F.col(CL) == int(changelist)), SERIES,
                             values=["algorithm", CL, "min_value", "avg_value"])
+    if variant == "two_build":
+        rec = rec.filter(F.col("avg_value").isNotNull())
+        mn = F.col("min_value")
+        spread2 = F.round(F.try_divide(100 * (F.col("avg_value") - mn), mn), 0)
+        n2 = F.element_at(F.split("test_case_name", "_"), -1).cast("bigint")
+        return rec.select(
+            *SERIES, "algorithm", CL,
+            F.when(F.col("algorithm") == "math", F.round(mn / 100, 0)).otherwise(mn).alias("first"),
+            spread2.alias("spread"),
+            F.when(F.col("algorithm") == "fft", F.round(mn / (5 * n2 * F.log2(n2)), 2)).alias("third"))
     first = F.col("min_value").cast("bigint")
     spread = F.round(F.try_divide(100 * (F.col("avg_value") - F.col("min_value")), first), 0)
     n = F.element_at(F.split("test_case_name", "_"), -1).cast("bigint")

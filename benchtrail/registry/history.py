@@ -350,3 +350,16 @@ def u4_changelist_axis(spark, sf_dir):
     r = runs(spark, sf_dir)
     return (r.filter(F.col("board") == "board_a").select("changelist")
              .union(r.filter(F.col("board") == "board_b").select("changelist")).distinct())
+
+
+@query("r3_report_rows_two_build", with_fixtures(f"""
+select test_case_name, board, algorithm, changelist,
+       case when algorithm = 'math' then round(min_value / 100, 0) else min_value end as first,
+       round(100 * (avg_value - min_value) / nullif(min_value, 0), 0) as spread,
+       case when algorithm = 'fft' then round(min_value / (5 * n * log2(n)), 2) end as third
+from (select *, cast(split_part(test_case_name, '_', -1) as bigint) as n from
+  (select *, row_number() over (partition by test_case_name, board order by updatetime desc, event_id desc) as r
+   from f1_runs where changelist = {CAND_CL}) t where r = 1) x
+""", "f1_runs"))
+def r3_report_rows_two_build(spark, sf_dir):
+    return H.report_rows(runs(spark, sf_dir), changelist=CAND_CL, variant="two_build")
