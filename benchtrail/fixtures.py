@@ -247,12 +247,34 @@ def register_raw(spark: SparkSession, sf_dir: str, names=RAW_TABLES) -> None:
         raw(spark, sf_dir, name).createOrReplaceTempView(name)
 
 
+# Spark form of the fixtures' small constant expansions: the shared text
+# multiplies rows by joining a constant table of a few rows; Spark expands
+# each row with a generator instead, so no join without keys is planned.
+SPARK_EXPANSIONS = (
+    ("cross join (select 0 as k union all select 1 union all select 2 union all select 3 union all select 4 union all select 5) n",
+     "lateral view explode(sequence(0, 5)) n as k"),
+    ("cross join (select 1 as k union all select 2 union all select 3) kk",
+     "lateral view explode(sequence(1, 3)) kk as k"),
+    ("cross join (select 'threshold' as kind union all select 'error') k",
+     "lateral view explode(array('threshold', 'error')) k as kind"),
+    ("cross join (select 1 as step_no, 'run' as step_type union all select 2, 'eval' union all select 3, 'eval') st",
+     "lateral view inline(array(struct(1, 'run'), struct(2, 'eval'), struct(3, 'eval'))) st as step_no, step_type"),
+)
+
+
+def spark_text(name: str) -> str:
+    text = FIXTURES[name]
+    for shared, spark_form in SPARK_EXPANSIONS:
+        text = text.replace(shared, spark_form)
+    return text
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One fixture view as a DataFrame (the raw tables are registered first)."""
     register_raw(spark, sf_dir, SOURCES[name])
     for dep in DEPENDS.get(name, ()):
-        spark.sql(FIXTURES[dep]).createOrReplaceTempView(dep)
-    df = spark.sql(FIXTURES[name])
+        spark.sql(spark_text(dep)).createOrReplaceTempView(dep)
+    df = spark.sql(spark_text(name))
     df.createOrReplaceTempView(name)
     return df
 

@@ -138,26 +138,33 @@ def overall(df: DataFrame, keys: Sequence[str] = (), cols: Sequence[str] = ("bui
 # --- J4 ---------------------------------------------------------------------------
 
 def expectation_check(builds: DataFrame, expected: DataFrame, config: str = "config",
-                      build_failed: str = "build_failed", mode: str = "equal",
-                      broadcast_limit: int = 100_000) -> DataFrame:
+                      build_failed: str = "build_failed", mode: str = "equal") -> DataFrame:
     """A build is a failure when it was expected to succeed and failed,
     or was not expected and succeeded. ``expected`` has one ``line`` per
     configuration; lines naming the Windows tool are abbreviated (P8) first.
 
-    mode="equal": the configuration equals the line (equi-join, any size).
-    mode="contains": the configuration occurs in the line; the list is
-    broadcast only when its size is at most ``broadcast_limit`` rows, else
-    the equal mode is used.
+    mode="equal": the configuration equals the line.
+    mode="contains": the configuration occurs anywhere in a line. Each line is
+    cut into its substrings at the lengths that configuration names have
+    (a short driver-side list), and those equi-join the builds -- exact, and
+    no build is compared with every line.
     """
     line = F.trim(F.col("line"))
     exp = expected.select(F.when(line.contains(WINDOWS_TOOL), abbreviate(line)).otherwise(line).alias("_exp"))
-    b = builds.select("*")
-    if mode == "contains" and expected.count() <= broadcast_limit:
-        hit = b.join(F.broadcast(exp), F.col("_exp").contains(F.col(config)), "left_semi")
-        found = hit.select(config).distinct().withColumn("_found", F.lit(True))
-    else:
+    if mode == "contains":
+        lengths = sorted(r[0] for r in builds.select(F.length(config).alias("n")).distinct().collect() if r[0])
+        n = F.length("_exp")
+        starts = exp.filter(n > 0).select("_exp", F.explode(F.sequence(F.lit(1), n)).alias("_st"))
+        sub = starts.select("_exp", "_st", F.explode(F.array(*[F.lit(int(x)) for x in lengths])
+                                                      if lengths else F.array().cast("array<int>")).alias("_len"))
+        sub = sub.filter(F.col("_st") + F.col("_len") - 1 <= F.length("_exp"))
+        found = (sub.select(F.expr("substring(_exp, _st, _len)").alias(config)).distinct()
+                    .withColumn("_found", F.lit(True)))
+    elif mode == "equal":
         found = exp.select(F.col("_exp").alias(config)).distinct().withColumn("_found", F.lit(True))
-    j = b.join(found, config, "left")
+    else:
+        raise ValueError(mode)
+    j = builds.join(found, config, "left")
     f = F.coalesce(F.col("_found"), F.lit(False))
     failed = F.col(build_failed) != 0
     return j.select(*builds.columns, f.alias("expected"),
