@@ -50,3 +50,33 @@ def running_max(df: DataFrame, part: Sequence[str], order: str, value: Column, o
     res = F.when(F.col("_carry").isNull(), F.col("_loc")).when(F.col("_loc").isNull(), F.col("_carry")) \
            .otherwise(F.greatest(F.col("_loc"), F.col("_carry")))
     return joined.withColumn(out, res).drop("_v", "_chunk", "_carry", "_loc")
+
+
+def previous_max(df: DataFrame, part: Sequence[str], order: str, value: Column, out: str,
+                 chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """``out`` = max(value) over rows of the same ``part`` strictly before
+    this row (``order`` is an integral position, values grow with it).
+    Positions are doubled so each row can ask about the rows before it."""
+    part = list(part)
+    vals = df.select(*part, (F.col(order) * 2).alias("_o"), value.alias("_val"), F.lit(None).cast("long").alias("_q"))
+    asks = df.select(*part, (F.col(order) * 2 - 1).alias("_o"), F.lit(None).cast(vals.schema["_val"].dataType).alias("_val"),
+                     F.col(order).alias("_q"))
+    r = running_max(vals.unionByName(asks), part, "_o", F.col("_val"), out, chunk=chunk)
+    got = r.filter(F.col("_q").isNotNull()).select(*part, F.col("_q").alias(order), out)
+    return df.join(got, [*part, order], "left")
+
+
+def running_count(df: DataFrame, part: Sequence[str], order: str, flag: Column, out: str,
+                  chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """``out`` = number of rows of the same ``part`` with ``flag`` true and
+    ``order`` <= this row's; per-chunk counts are carried across chunks on
+    the small chunk table, so no window holds a whole partition."""
+    part = list(part)
+    d = df.withColumn("_f", F.when(flag, 1).otherwise(0)).withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk)))
+    per = d.groupBy(*part, "_chunk").agg(F.sum("_f").alias("_c"))
+    wc = Window.partitionBy(*part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per.select(*part, "_chunk", F.coalesce(F.sum("_c").over(wc), F.lit(0)).alias("_carry"))
+    wi = Window.partitionBy(*part, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return (d.join(carry, [*part, "_chunk"], "left")
+             .withColumn(out, (F.col("_carry") + F.sum("_f").over(wi)).cast("bigint"))
+             .drop("_f", "_chunk", "_carry"))

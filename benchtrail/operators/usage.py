@@ -5,13 +5,17 @@ with detail lines ``<blanks><api> <average> <total>`` under a node and a
 ``TOTAL`` line that closes the node's low-level usage.
 
 Lines are classified and detail lines attached to their header with Spark
-(running max over line numbers). Only the header rows of one log go through
-a small pandas step, because a header's parent depends on the stack of open
-nodes (closing headers move a node to the end of that stack).
+(running max over line numbers). A header's parent depends on the stack of
+open nodes (closing headers move a node to the end of that stack): logs whose
+header count is checked to be bounded run that stack in a small pandas step
+over their header rows; larger logs use a distributed form of the same rules
+(pointer doubling), which hands only irregular logs to the stack.
 """
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -66,7 +70,77 @@ def _header_stack(pdf: pd.DataFrame) -> pd.DataFrame:
     return res
 
 
-def parse_usage_tree(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _header_relations(hdr: DataFrame, max_rounds: int = 64) -> DataFrame:
+    """Header relations of the S6 stack rules without holding a log in one
+    task, for well-formed logs (a closing header has the indent of the node
+    it closes); logs that break this are handed to the exact per-log stack.
+
+    With that property the node before a header has the previous header's
+    indent, so: closing = indent below the previous header's; a closing
+    header re-finds the last *opened* node of its name; an opening header's
+    parent is the previous header's node (deeper indent) or the previous
+    header's parent (same indent), and a closing header's parent is that of
+    its node. The "same parent as" links are resolved by pointer doubling
+    (about log2(chain) joins, checkpointed), positions by chunked scans.
+    """
+    from benchtrail.functions.scan import previous_max, running_count
+    from benchtrail.session import checkpoint_dir
+
+    checkpoint_dir(hdr.sparkSession)
+    h = previous_max(hdr, ["file"], "line_no", F.struct(F.col("line_no").alias("l"), F.col("spaces").alias("s")), "_prev")
+    h = h.withColumn("closing", F.coalesce(F.col("spaces") < F.col("_prev.s"), F.lit(False)))
+    h = previous_max(h, ["file", "name"], "line_no", F.when(~F.col("closing"), F.col("line_no")), "_ref")
+    refs = h.select("file", F.col("line_no").alias("_ref"), F.col("spaces").alias("_ref_s"))
+    h = h.join(refs, ["file", "_ref"], "left")
+    irregular = F.col("closing") & (F.col("_ref").isNull() | (F.col("_ref_s") != F.col("spaces")))
+    h = h.withColumn("_irr", irregular).withColumn("_node", F.when(F.col("closing"), F.col("_ref")).otherwise(F.col("line_no")))
+    h = h.withColumn("_pl", F.col("_prev.l"))
+    prev_node = h.select("file", F.col("line_no").alias("_pl"), F.col("_node").alias("_prev_node"))
+    h = h.join(prev_node, ["file", "_pl"], "left").checkpoint()
+
+    bad = h.filter(F.col("_irr")).select("file").distinct()
+    good = h.join(bad, "file", "left_anti")
+    deeper = F.col("_prev.s") < F.col("spaces")
+    first = F.col("_pl").isNull()
+    state = good.select(
+        "file", "line_no",
+        F.when(~F.col("closing") & deeper, F.col("_prev_node")).alias("val"),
+        F.when(F.col("closing"), F.col("_ref")).when(~first & ~deeper, F.col("_pl")).alias("ptr"),
+        (~F.col("closing") & (first | deeper)).alias("done")).checkpoint()
+    # a link chain is at most as long as a log has headers: pointer doubling
+    # needs ceil(log2(that)) rounds; each round reads the state twice, so it
+    # is checkpointed every round (no recomputation across rounds)
+    longest = good.groupBy("file").count().agg(F.max("count")).first()[0] or 1
+    rounds = min(max_rounds, int(math.ceil(math.log2(longest + 1))) + 1)
+    for _ in range(rounds):
+        other = state.select("file", F.col("line_no").alias("ptr"), F.col("val").alias("_v"),
+                             F.col("ptr").alias("_p"), F.col("done").alias("_d"))
+        j = state.join(other, ["file", "ptr"], "left")
+        state = j.select("file", "line_no",
+                         F.when(F.col("done"), F.col("val")).when(F.col("_d"), F.col("_v")).alias("val"),
+                         F.when(F.col("done") | F.col("_d"), F.lit(None)).otherwise(F.col("_p")).alias("ptr"),
+                         (F.col("done") | F.coalesce(F.col("_d"), F.lit(False))).alias("done")).checkpoint()
+
+    ids = running_count(good.select("file", "line_no"), ["file"], "line_no", F.lit(True), "_n") \
+        .select("file", "line_no", (F.col("_n") - 1).alias("node_id"))
+    levels = good.filter(~F.col("closing")).select("file", "spaces").distinct()
+    levels = levels.withColumn("depth_id", (F.dense_rank().over(Window.partitionBy("file").orderBy("spaces")) - 1)
+                               .cast("bigint"))
+    out = (good.join(ids, ["file", "line_no"])
+               .join(state.select("file", "line_no", F.col("val").alias("_parent_line")), ["file", "line_no"])
+               .join(ids.select("file", F.col("line_no").alias("_parent_line"), F.col("node_id").alias("parent_id")),
+                     ["file", "_parent_line"], "left")
+               .join(ids.select("file", F.col("line_no").alias("_node"), F.col("node_id").alias("owner_id")),
+                     ["file", "_node"], "left")
+               .join(levels, ["file", "spaces"], "left"))
+    regular = out.select("file", "line_no", "node_id", "name", "tag", "spaces", "loop_times", "parent_id",
+                         F.when(~F.col("closing"), F.col("depth_id")).alias("depth_id"), "closing",
+                         F.lit(False).alias("orphan"), "owner_id")
+    irregular_rows = hdr.join(bad, "file", "left_semi").groupBy("file").applyInPandas(_header_stack, _NODE_SCHEMA)
+    return regular.unionByName(irregular_rows)
+
+
+def parse_usage_tree(lines: DataFrame, mode: str = "auto", per_log_limit: int = 200_000) -> tuple[DataFrame, DataFrame]:
     """``(nodes, details)``.
 
     nodes: ``file, node_id, name, tag, spaces, loop_times, parent_id,
@@ -83,7 +157,17 @@ def parse_usage_tree(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.regexp_extract("line", HEADER, 3).alias("tag"),
         F.length(F.regexp_extract("line", HEADER, 1)).alias("spaces"),
         F.regexp_extract("line", HEADER, 4).cast("bigint").alias("loop_times"))
-    heads = hdr.groupBy("file").applyInPandas(_header_stack, _NODE_SCHEMA)
+    if mode == "auto":
+        # the per-log stack holds one log's header rows: used only when the
+        # largest log's header count is checked to be within the limit
+        largest = hdr.groupBy("file").count().agg(F.max("count")).first()[0] or 0
+        mode = "per_log" if largest <= per_log_limit else "distributed"
+    if mode == "distributed":
+        heads = _header_relations(hdr)
+    elif mode == "per_log":
+        heads = hdr.groupBy("file").applyInPandas(_header_stack, _NODE_SCHEMA)
+    else:
+        raise ValueError(mode)
 
     det = lines.filter(~F.col("line").rlike(HEADER)).filter(F.col("line").rlike(DETAIL)).select(
         "file", "line_no", F.lit(None).cast("bigint").alias("_h"),

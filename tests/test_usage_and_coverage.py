@@ -94,3 +94,35 @@ def test_chain_counts_non_increasing(spark):
     c = V.chain_counts(V.coverage_chain(uni, trace, report, hdr, dep)).first()
     steps = [c.n_universe, c.n_not_executed, c.n_after_called_macro, c.n_after_macro, c.n_not_covered]
     assert steps == sorted(steps, reverse=True) and steps == [10, 9, 8, 7, 6]
+
+
+def test_distributed_header_stack_equals_per_log(spark):
+    import random
+    rnd = random.Random(7)
+
+    def tree(fid, irregular):
+        lines, stack = [], []
+        for _ in range(rnd.randint(3, 25)):
+            act = rnd.random()
+            if stack and act < 0.25:
+                name, ind = stack.pop()
+                if irregular and rnd.random() < 0.3:
+                    ind = max(0, ind - 1)
+                lines.append(" " * ind + f"{name} op (entered {rnd.randint(1, 9)} times)")
+            else:
+                depth = len(stack) if act < 0.8 else max(0, len(stack) - 1)
+                del stack[depth:]
+                name = rnd.choice(["a", "b", "hl_x", "hl_y"])
+                lines.append(" " * (2 * depth) + f"{name} op (entered {rnd.randint(1, 9)} times)")
+                lines.append(" " * (2 * depth + 2) + f"api{rnd.randint(0, 3)}  1  {rnd.randint(1, 50)}")
+                if rnd.random() < 0.5:
+                    lines.append(" " * (2 * depth + 2) + "TOTAL  1  9")
+                stack.append((name, 2 * depth))
+        return [(f"f{fid}", i + 1, line) for i, line in enumerate(lines)]
+
+    rows = [r for f in range(16) for r in tree(f, irregular=(f % 4 == 0))]
+    lines = spark.createDataFrame(rows, "file string, line_no bigint, line string")
+    a_nodes, a_det = U.parse_usage_tree(lines, mode="distributed")
+    b_nodes, b_det = U.parse_usage_tree(lines, mode="per_log")
+    assert sorted(map(tuple, a_nodes.collect())) == sorted(map(tuple, b_nodes.collect()))
+    assert sorted(map(tuple, a_det.collect())) == sorted(map(tuple, b_det.collect()))
