@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from benchtrail.llm import mixing, packing, quality_rules, secret_scan, sharding
+from benchtrail.llm import collision_search, language_id, mixing, packing, quality_model, quality_rules, secret_scan, sharding
 
 QUERIES = {f.__name__: f for f in (
     quality_rules.op3_compression_bands,
     mixing.op4_hash_threshold_mix,
+    collision_search.op5_collision_counting,
+    quality_model.op6_boosted_statistics,
     packing.op7_best_fit_packing,
     sharding.op8_byte_prefix_shards,
+    language_id.op9_family_then_pairs,
     secret_scan.op10_secret_scan,
 )}
 ORACLE = {"op4_hash_threshold_mix": mixing.OP4_SQL}
