@@ -13,6 +13,7 @@ from benchtrail.session import scratch_path
 #: a word is a run of anything but space and the ASCII controls 9-13; bytes.split() cuts at exactly these
 WORD_RE = r"[^\x20\x09-\x0D]+"
 WORD_GAPS = " \t\n\x0b\x0c\r"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +28,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")  # nothing reads the shuffles behind a stored table again
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from benchtrail.llm.common import documents, stored
+from benchtrail.llm.jaccard_join import one_per_group
 from benchtrail.llm.mixing import mix_documents
 from benchtrail.llm.packing import pack_documents
 from benchtrail.llm.quality_rules import keep_quality
@@ -16,6 +17,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_quality(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return one_per_group(docs)
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return redact_secrets(docs)
 
@@ -28,7 +33,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs)
 
 
-STAGES = [("quality_rules", quality), ("secret_scan", secrets), ("mixing", mixture), ("packing", packing)]
+STAGES = [("quality_rules", quality), ("jaccard_join", near_copies), ("secret_scan", secrets), ("mixing", mixture), ("packing", packing)]
 #: zstandard ratios and token ids have no SQL form; tests/llm holds the rows against a brute-force version
 ORACLE_SQL = None
 
