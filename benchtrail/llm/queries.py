@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from benchtrail.llm import collision_search, jaccard_join, language_id, mixing, packing, quality_model, quality_rules, secret_scan, sharding
+from benchtrail.llm import collision_search, jaccard_join, language_id, mixing, packing, quality_model, quality_rules, run_index, secret_scan, sharding
 
 QUERIES = {f.__name__: f for f in (
     jaccard_join.op1_segment_join,
+    run_index.op2_run_index_repeats,
     quality_rules.op3_compression_bands,
     mixing.op4_hash_threshold_mix,
     collision_search.op5_collision_counting,
