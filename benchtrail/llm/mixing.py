@@ -85,7 +85,8 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
                               F.coalesce("m.below", F.lit(0)).alias("below"), F.coalesce("m.size", F.lit(0)).alias("last")), "mix-level")
     # the document on the boundary is taken if that comes nearer to the budget
     nearer = F.col("below") + F.col("last") - F.col("budget") < F.col("budget") - F.col("below")
-    return plan.select("source", "source_size", "target", "repeats", F.when(nearer, F.col("prefix")).otherwise(F.col("prefix") - 1).alias("cut"))
+    return plan.select("source", "source_size", "target", "repeats",
+                       F.when(F.col("budget") <= 0, F.lit(-1).cast("long")).when(nearer, F.col("prefix")).otherwise(F.col("prefix") - 1).alias("cut"))
 
 
 def _small(sources: DataFrame) -> DataFrame:

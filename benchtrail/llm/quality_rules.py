@@ -31,10 +31,10 @@ WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 LEVEL = 3
 #: length from (bytes), lowest and highest ratio of a whole document
-BANDS = ((0, 0.0, 99.0), (64, 0.35, 1.30), (128, 0.42, 1.10), (256, 0.42, 0.90), (512, 0.42, 0.78),
-         (1024, 0.40, 0.72), (4096, 0.38, 0.70), (16384, 0.35, 0.70))
+BANDS = ((0, 0.0, 99.0), (64, 0.35, 1.30), (128, 0.40, 1.10), (256, 0.40, 0.90), (512, 0.38, 0.78),
+         (1024, 0.36, 0.72), (4096, 0.33, 0.70), (16384, 0.25, 0.70))
 CHUNK = 2048
-CHUNK_BAND = (0.42, 0.72)
+CHUNK_BAND = (0.38, 0.72)
 MAX_CHUNKS_OUT = 0.25
 
 
