@@ -2,11 +2,13 @@
 one very large file.
 
 A window ``partition by file order by line_no`` puts a whole file in one task.
-``running_max`` instead cuts every file into chunks of ``chunk`` consecutive
-lines: per-chunk maxima are aggregated (map-side combine), carried across
-chunks by a window over the small chunk table, and finished by a window
-inside each chunk (at most ``chunk`` rows per group). The chunk table join
-shares its shuffle with the in-chunk window.
+Here every file is cut into chunks of ``chunk`` consecutive lines. One
+exchange by (file, chunk) serves the window inside the chunk and the join with
+the carry, which comes from the chunk table: one row per chunk with its total,
+summed up over the earlier chunks.
+
+The input is read twice (chunk totals, rows): pass a stored table, not a plan
+that parses text.
 """
 
 from __future__ import annotations
@@ -19,64 +21,48 @@ from pyspark.sql import functions as F
 DEFAULT_CHUNK = 1 << 16
 
 
+def _chunked(df: DataFrame, part: list[str], order: str, chunk: int) -> tuple[DataFrame, Window, Window]:
+    """(rows with their chunk, window over earlier chunks, window inside the chunk)."""
+    d = df.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk)))
+    earlier = Window.partitionBy(*part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    return d, earlier, Window.partitionBy(*part, "_chunk").orderBy(order)
+
+
 def running_max(df: DataFrame, part: Sequence[str], order: str, value: Column, out: str,
-                chunk: int = DEFAULT_CHUNK, monotone: bool = True) -> DataFrame:
+                chunk: int = DEFAULT_CHUNK, inclusive: bool = True) -> DataFrame:
     """``out`` = max(value) over rows of the same ``part`` whose ``order`` is
-    <= this row's (nulls ignored; null before the first non-null).
+    <= this row's (nulls ignored; null before the first non-null); with
+    ``inclusive=False`` over the rows strictly before it.
 
-    ``order`` must be an integral position (a line number). ``value`` may be a
-    struct: the max of ``struct(line_no, name)`` carries the latest header's
-    name forward.
-
-    ``monotone``: the value grows with ``order`` (e.g. it is built from the
-    line number). Then a row with a non-null value earlier in its own chunk
-    already has the answer, and only the rows before a chunk's first value
-    are joined with the carry from earlier chunks -- the bulk of the lines
-    is never joined.
+    ``order`` must be an integral position (a line number), unique within
+    ``part``. ``value`` may be a struct: the max of ``struct(line_no, name)``
+    carries the latest header's name forward.
     """
     part = list(part)
-    d = df.withColumn("_v", value).withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk)))
-    per = d.groupBy(*part, "_chunk").agg(F.max("_v").alias("_cmax"))
-    wc = Window.partitionBy(*part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per.select(*part, "_chunk", F.max("_cmax").over(wc).alias("_carry"))
-    wi = Window.partitionBy(*part, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    local = d.withColumn("_loc", F.max("_v").over(wi))
-    if monotone:
-        done = local.filter(F.col("_loc").isNotNull()).withColumn(out, F.col("_loc"))
-        rest = (local.filter(F.col("_loc").isNull()).join(carry, [*part, "_chunk"], "left")
-                     .withColumn(out, F.col("_carry")).drop("_carry"))
-        return done.unionByName(rest).drop("_v", "_chunk", "_loc")
-    joined = local.join(carry, [*part, "_chunk"], "left")
-    res = F.when(F.col("_carry").isNull(), F.col("_loc")).when(F.col("_loc").isNull(), F.col("_carry")) \
-           .otherwise(F.greatest(F.col("_loc"), F.col("_carry")))
-    return joined.withColumn(out, res).drop("_v", "_chunk", "_carry", "_loc")
+    d, earlier, inside = _chunked(df.withColumn("_v", value), part, order, chunk)
+    totals = d.groupBy(*part, "_chunk").agg(F.max("_v").alias("_t"))
+    carry = totals.select(*part, "_chunk", F.max("_t").over(earlier).alias("_carry"))
+    here = F.max("_v").over(inside.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
+    j = d.withColumn("_here", here).join(carry, [*part, "_chunk"], "left")
+    both = (F.when(F.col("_carry").isNull(), F.col("_here")).when(F.col("_here").isNull(), F.col("_carry"))
+             .otherwise(F.greatest("_here", "_carry")))
+    return j.withColumn(out, both).drop("_v", "_chunk", "_here", "_carry")
 
 
 def previous_max(df: DataFrame, part: Sequence[str], order: str, value: Column, out: str,
                  chunk: int = DEFAULT_CHUNK) -> DataFrame:
-    """``out`` = max(value) over rows of the same ``part`` strictly before
-    this row (``order`` is an integral position, values grow with it).
-    Positions are doubled so each row can ask about the rows before it."""
-    part = list(part)
-    vals = df.select(*part, (F.col(order) * 2).alias("_o"), value.alias("_val"), F.lit(None).cast("long").alias("_q"))
-    asks = df.select(*part, (F.col(order) * 2 - 1).alias("_o"), F.lit(None).cast(vals.schema["_val"].dataType).alias("_val"),
-                     F.col(order).alias("_q"))
-    r = running_max(vals.unionByName(asks), part, "_o", F.col("_val"), out, chunk=chunk)
-    got = r.filter(F.col("_q").isNotNull()).select(*part, F.col("_q").alias(order), out)
-    return df.join(got, [*part, order], "left")
+    """``running_max`` over the rows strictly before this one."""
+    return running_max(df, part, order, value, out, chunk, inclusive=False)
 
 
 def running_count(df: DataFrame, part: Sequence[str], order: str, flag: Column, out: str,
                   chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """``out`` = number of rows of the same ``part`` with ``flag`` true and
-    ``order`` <= this row's; per-chunk counts are carried across chunks on
-    the small chunk table, so no window holds a whole partition."""
+    ``order`` <= this row's."""
     part = list(part)
-    d = df.withColumn("_f", F.when(flag, 1).otherwise(0)).withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk)))
-    per = d.groupBy(*part, "_chunk").agg(F.sum("_f").alias("_c"))
-    wc = Window.partitionBy(*part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per.select(*part, "_chunk", F.coalesce(F.sum("_c").over(wc), F.lit(0)).alias("_carry"))
-    wi = Window.partitionBy(*part, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return (d.join(carry, [*part, "_chunk"], "left")
-             .withColumn(out, (F.col("_carry") + F.sum("_f").over(wi)).cast("bigint"))
-             .drop("_f", "_chunk", "_carry"))
+    d, earlier, inside = _chunked(df.withColumn("_f", F.when(flag, 1).otherwise(0)), part, order, chunk)
+    totals = d.groupBy(*part, "_chunk").agg(F.sum("_f").alias("_t"))
+    carry = totals.select(*part, "_chunk", F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_carry"))
+    here = F.sum("_f").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    return (d.withColumn("_here", here).join(carry, [*part, "_chunk"], "left")
+             .withColumn(out, (F.col("_carry") + F.col("_here")).cast("bigint")).drop("_f", "_chunk", "_here", "_carry"))

@@ -4,143 +4,80 @@ A usage log is a tree of headers ``<indent><name> <tag> (entered N times)``
 with detail lines ``<blanks><api> <average> <total>`` under a node and a
 ``TOTAL`` line that closes the node's low-level usage.
 
-Lines are classified and detail lines attached to their header with Spark
-(running max over line numbers). A header's parent depends on the stack of
-open nodes (closing headers move a node to the end of that stack): logs whose
-header count is checked to be bounded run that stack in a small pandas step
-over their header rows; larger logs use a distributed form of the same rules
-(pointer doubling), which hands only irregular logs to the stack.
+Lines are classified and detail lines attached to their header with chunked
+running scans over line numbers, and so are the relations between headers;
+no log is ever held in one task.
 """
 
 from __future__ import annotations
 
-import math
-
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from benchtrail.functions.scan import running_max
+from benchtrail.functions.scan import previous_max, running_count, running_max
+from benchtrail.session import materialize
 
 # Usage-log grammar.
 HEADER = r"^(\s*)(\S+)\s(\S+)\s\(entered\s(\d+)\stimes\)"
 DETAIL = r"^\s+(\S+)\s+([0-9]+\.?[0-9]*)\s+([0-9]+\.?[0-9]*)"
 TOTAL = "TOTAL"
 
-_NODE_SCHEMA = ("file string, line_no long, node_id long, name string, tag string, spaces int, "
-                "loop_times long, parent_id long, depth_id long, closing boolean, orphan boolean, owner_id long")
-
-
-def _header_stack(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Header rows of one log in line order -> node relations (the stack)."""
-    pdf = pdf.sort_values("line_no")
-    nodes: list[dict] = []          # the open-node list, in list order
-    by_id: dict[int, dict] = {}
-    out = []
-    for node_id, r in enumerate(pdf.itertuples(index=False)):
-        rec = {"file": r.file, "line_no": r.line_no, "node_id": node_id, "name": r.name, "tag": r.tag,
-               "spaces": r.spaces, "loop_times": r.loop_times, "parent_id": None, "depth_id": None,
-               "closing": False, "orphan": False, "owner_id": node_id}
-        if nodes and r.spaces < nodes[-1]["spaces"]:
-            rec["closing"] = True
-            dup = next((n for n in reversed(nodes) if n["name"] == r.name), None)
-            if dup is None:
-                rec["orphan"] = True
-            else:
-                nodes.remove(dup)
-                nodes.append(dup)
-                rec["owner_id"] = dup["node_id"]
-            out.append(rec)
-            continue
-        if nodes:
-            last = nodes[-1]
-            if r.spaces > last["spaces"]:
-                rec["parent_id"] = last["node_id"]
-            elif last["parent_id"] is not None:
-                rec["parent_id"] = last["parent_id"]
-        nodes.append(rec)
-        by_id[node_id] = rec
-        out.append(rec)
-    levels = sorted({n["spaces"] for n in nodes})
-    for n in nodes:
-        n["depth_id"] = levels.index(n["spaces"])
-    res = pd.DataFrame(out, columns=[c.split()[0] for c in _NODE_SCHEMA.split(", ")])
-    for c in ("parent_id", "depth_id"):
-        res[c] = res[c].astype("Int64")
-    return res
 
+def header_relations(hdr: DataFrame) -> DataFrame:
+    """Node relations of the header lines, for logs of any size.
 
-def _header_relations(hdr: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """Header relations of the S6 stack rules without holding a log in one
-    task, for well-formed logs (a closing header has the indent of the node
-    it closes); logs that break this are handed to the exact per-log stack.
-
-    With that property the node before a header has the previous header's
-    indent, so: closing = indent below the previous header's; a closing
-    header re-finds the last *opened* node of its name; an opening header's
-    parent is the previous header's node (deeper indent) or the previous
-    header's parent (same indent), and a closing header's parent is that of
-    its node. The "same parent as" links are resolved by pointer doubling
-    (about log2(chain) joins, checkpointed), positions by chunked scans.
+    The open node at a header is the node of the header before it. A header
+    indented less than the open node closes: it returns to the node of its
+    name that was opened last (an ``orphan`` if there is none, which changes
+    nothing). So whether a header closes depends on the headers before it,
+    and which node it returns to on which of them opened. Both are settled
+    together: from the guess that the open node has the indent of the line
+    before, last opened node and open node are looked up by chunked scans,
+    and the flags are set anew until none changes. Where closing headers are
+    indented like the node they close, the guess is right at once; each pass
+    settles at least one more header of a log, so it ends.
     """
-    from benchtrail.functions.scan import previous_max, running_count
-    from benchtrail.session import checkpoint_dir
-
-    checkpoint_dir(hdr.sparkSession)
-    h = previous_max(hdr, ["file"], "line_no", F.struct(F.col("line_no").alias("l"), F.col("spaces").alias("s")), "_prev")
-    h = h.withColumn("closing", F.coalesce(F.col("spaces") < F.col("_prev.s"), F.lit(False)))
-    h = previous_max(h, ["file", "name"], "line_no", F.when(~F.col("closing"), F.col("line_no")), "_ref")
-    refs = h.select("file", F.col("line_no").alias("_ref"), F.col("spaces").alias("_ref_s"))
-    h = h.join(refs, ["file", "_ref"], "left")
-    irregular = F.col("closing") & (F.col("_ref").isNull() | (F.col("_ref_s") != F.col("spaces")))
-    h = h.withColumn("_irr", irregular).withColumn("_node", F.when(F.col("closing"), F.col("_ref")).otherwise(F.col("line_no")))
-    h = h.withColumn("_pl", F.col("_prev.l"))
-    prev_node = h.select("file", F.col("line_no").alias("_pl"), F.col("_node").alias("_prev_node"))
-    h = h.join(prev_node, ["file", "_pl"], "left").checkpoint()
-
-    bad = h.filter(F.col("_irr")).select("file").distinct()
-    good = h.join(bad, "file", "left_anti")
-    deeper = F.col("_prev.s") < F.col("spaces")
-    first = F.col("_pl").isNull()
-    state = good.select(
-        "file", "line_no",
-        F.when(~F.col("closing") & deeper, F.col("_prev_node")).alias("val"),
-        F.when(F.col("closing"), F.col("_ref")).when(~first & ~deeper, F.col("_pl")).alias("ptr"),
-        (~F.col("closing") & (first | deeper)).alias("done")).checkpoint()
-    # a link chain is at most as long as a log has headers: pointer doubling
-    # needs ceil(log2(that)) rounds; each round reads the state twice, so it
-    # is checkpointed every round (no recomputation across rounds)
-    longest = good.groupBy("file").count().agg(F.max("count")).first()[0] or 1
-    rounds = min(max_rounds, int(math.ceil(math.log2(longest + 1))) + 1)
-    for _ in range(rounds):
-        other = state.select("file", F.col("line_no").alias("ptr"), F.col("val").alias("_v"),
-                             F.col("ptr").alias("_p"), F.col("done").alias("_d"))
-        j = state.join(other, ["file", "ptr"], "left")
-        state = j.select("file", "line_no",
-                         F.when(F.col("done"), F.col("val")).when(F.col("_d"), F.col("_v")).alias("val"),
-                         F.when(F.col("done") | F.col("_d"), F.lit(None)).otherwise(F.col("_p")).alias("ptr"),
-                         (F.col("done") | F.coalesce(F.col("_d"), F.lit(False))).alias("done")).checkpoint()
-
-    ids = running_count(good.select("file", "line_no"), ["file"], "line_no", F.lit(True), "_n") \
-        .select("file", "line_no", (F.col("_n") - 1).alias("node_id"))
-    levels = good.filter(~F.col("closing")).select("file", "spaces").distinct()
-    levels = levels.withColumn("depth_id", (F.dense_rank().over(Window.partitionBy("file").orderBy("spaces")) - 1)
-                               .cast("bigint"))
-    out = (good.join(ids, ["file", "line_no"])
-               .join(state.select("file", "line_no", F.col("val").alias("_parent_line")), ["file", "line_no"])
-               .join(ids.select("file", F.col("line_no").alias("_parent_line"), F.col("node_id").alias("parent_id")),
-                     ["file", "_parent_line"], "left")
-               .join(ids.select("file", F.col("line_no").alias("_node"), F.col("node_id").alias("owner_id")),
-                     ["file", "_node"], "left")
-               .join(levels, ["file", "spaces"], "left"))
-    regular = out.select("file", "line_no", "node_id", "name", "tag", "spaces", "loop_times", "parent_id",
-                         F.when(~F.col("closing"), F.col("depth_id")).alias("depth_id"), "closing",
-                         F.lit(False).alias("orphan"), "owner_id")
-    irregular_rows = hdr.join(bad, "file", "left_semi").groupBy("file").applyInPandas(_header_stack, _NODE_SCHEMA)
-    return regular.unionByName(irregular_rows)
-
-
-def parse_usage_tree(lines: DataFrame, mode: str = "auto", per_log_limit: int = 200_000) -> tuple[DataFrame, DataFrame]:
+    line = F.col("line_no")
+    h = previous_max(materialize(hdr, "headers"), ["file"], "line_no", F.struct(line.alias("l"), F.col("spaces").alias("s")), "_prev")
+    h = materialize(h.withColumn("closing", F.coalesce(F.col("spaces") < F.col("_prev.s"), F.lit(False))).drop("_prev"), "headers")
+    while True:
+        opened = F.when(~F.col("closing"), F.struct(line.alias("l"), F.col("spaces").alias("s")))
+        h = previous_max(h, ["file", "name"], "line_no", opened, "own")
+        node = F.when(F.col("closing"), F.col("own")).otherwise(F.struct(line.alias("l"), F.col("spaces").alias("s")))
+        h = materialize(h.withColumn("node", node), "headers")
+        at = F.when(F.col("node").isNotNull(), F.struct(line.alias("at"), F.col("node.l").alias("l"), F.col("node.s").alias("s")))
+        h = previous_max(h, ["file"], "line_no", at, "open")
+        h = materialize(h.withColumn("now", F.coalesce(F.col("spaces") < F.col("open.s"), F.lit(False))), "headers")
+        if h.filter(F.col("now") != F.col("closing")).isEmpty():
+            break
+        h = h.withColumn("closing", F.col("now")).drop("own", "node", "open", "now")
+
+    # parent: the open node if this one is deeper, else that node's parent; chains of
+    # "same parent as" point to earlier lines only, so doubling resolves them
+    state = materialize(h.filter(~F.col("closing")).select(
+        "file", "line_no", F.when(F.col("open.s") < F.col("spaces"), F.col("open.l")).alias("parent"),
+        F.when(F.col("open.s") == F.col("spaces"), F.col("open.l")).alias("same_as")), "parents")
+    while not state.filter(F.col("same_as").isNotNull()).isEmpty():
+        other = state.select("file", F.col("line_no").alias("same_as"), F.col("parent").alias("_parent"), F.col("same_as").alias("_same_as"))
+        state = materialize(state.join(other, ["file", "same_as"], "left").select(
+            "file", "line_no", F.coalesce("parent", "_parent").alias("parent"), F.col("_same_as").alias("same_as")), "parents")
+
+    ids = materialize(running_count(h.select("file", "line_no"), ["file"], "line_no", F.lit(True), "_n")
+                      .select("file", "line_no", (F.col("_n") - 1).alias("node_id")), "node-ids")
+    levels = h.filter(~F.col("closing")).select("file", "spaces").distinct()  # indents of a log, not its lines
+    levels = levels.withColumn("depth_id", (F.dense_rank().over(Window.partitionBy("file").orderBy("spaces")) - 1).cast("bigint"))
+    by_line = lambda col, out: ids.select("file", F.col("line_no").alias(col), F.col("node_id").alias(out))
+    return (h.withColumn("owner", F.coalesce("node.l", "line_no")).join(ids, ["file", "line_no"])
+             .join(state.select("file", "line_no", "parent"), ["file", "line_no"], "left")
+             .join(by_line("parent", "parent_id"), ["file", "parent"], "left")
+             .join(by_line("owner", "owner_id"), ["file", "owner"], "left")
+             .join(levels, ["file", "spaces"], "left")
+             .select("file", "line_no", "node_id", "name", "tag", "spaces", "loop_times", "parent_id",
+                     F.when(~F.col("closing"), F.col("depth_id")).alias("depth_id"), "closing",
+                     (F.col("closing") & F.col("own").isNull()).alias("orphan"), "owner_id"))
+
+
+def parse_usage_tree(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(nodes, details)``.
 
     nodes: ``file, node_id, name, tag, spaces, loop_times, parent_id,
@@ -157,17 +94,7 @@ def parse_usage_tree(lines: DataFrame, mode: str = "auto", per_log_limit: int =
         F.regexp_extract("line", HEADER, 3).alias("tag"),
         F.length(F.regexp_extract("line", HEADER, 1)).alias("spaces"),
         F.regexp_extract("line", HEADER, 4).cast("bigint").alias("loop_times"))
-    if mode == "auto":
-        # the per-log stack holds one log's header rows: used only when the
-        # largest log's header count is checked to be within the limit
-        largest = hdr.groupBy("file").count().agg(F.max("count")).first()[0] or 0
-        mode = "per_log" if largest <= per_log_limit else "distributed"
-    if mode == "distributed":
-        heads = _header_relations(hdr)
-    elif mode == "per_log":
-        heads = hdr.groupBy("file").applyInPandas(_header_stack, _NODE_SCHEMA)
-    else:
-        raise ValueError(mode)
+    heads = materialize(header_relations(hdr), "relations")
 
     det = lines.filter(~F.col("line").rlike(HEADER)).filter(F.col("line").rlike(DETAIL)).select(
         "file", "line_no", F.lit(None).cast("bigint").alias("_h"),
@@ -176,7 +103,7 @@ def parse_usage_tree(lines: DataFrame, mode: str = "auto", per_log_limit: int =
         F.regexp_extract("line", DETAIL, 3).alias("total"))
     marks = hdr.select("file", "line_no", F.col("line_no").alias("_h"), F.lit(None).cast("string").alias("api"),
                        F.lit(None).cast("string").alias("average"), F.lit(None).cast("string").alias("total"))
-    tagged = running_max(det.unionByName(marks), ["file"], "line_no", F.col("_h"), "hdr_line")
+    tagged = running_max(materialize(det.unionByName(marks), "details"), ["file"], "line_no", F.col("_h"), "hdr_line")
     tagged = tagged.filter(F.col("api").isNotNull() & F.col("hdr_line").isNotNull())
     owners = heads.filter(~F.col("closing")).select("file", F.col("line_no").alias("hdr_line"), "node_id")
     attached = tagged.join(owners, ["file", "hdr_line"])   # lines under a closing header drop out here
@@ -207,7 +134,7 @@ def high_usage(nodes: DataFrame, prefix: str) -> tuple[DataFrame, DataFrame]:
                    .agg(F.sum("loop_times").cast("bigint").alias("high_total"))
                    .filter(F.col("high_total") != 0))
     details = (kids.groupBy("file", F.col("parent_id").alias("node_id"),
-                            F.substring("name", len(prefix) + 1, 1 << 20).alias("api"))
+                            F.substr("name", F.lit(len(prefix) + 1)).alias("api"))
                    .agg(F.max_by("loop_times", "node_id").alias("total"))
                    .join(summary.select("file", "node_id"), ["file", "node_id"], "left_semi"))
     return summary, details

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -48,8 +49,8 @@ def build_session(master: str | None = None, app: str = "benchtrail",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting is given and must point at shared storage; it is
-    only filled in here when unset (local tests), with a fresh folder.
+    On a cluster the setting must be given. Only a local master gets a fresh
+    folder of this machine when it is unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,6 +58,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="benchtrail-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
@@ -67,3 +70,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as a table in the shared folder and read back: what
+    follows sees the same rows however often it reads them, and reads only
+    the columns it needs."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from benchtrail.functions.scan import running_max
-from benchtrail.session import checkpoint_dir
+from benchtrail.session import materialize
 
 # ---------------------------------------------------------------------------
 # Line grammar of the logs (must accept exactly what the
@@ -41,49 +41,31 @@ COMMENT = r"/\* .*? ?\*/"
 # ---------------------------------------------------------------------------
 
 
-def read_log_lines(spark: SparkSession, path: str, glob: str | None = None,
-                   mode: str = "split", broadcast_limit: int = 500_000) -> DataFrame:
+def read_log_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """``(file, line_no, line)`` for every file under ``path`` whose name
-    matches ``glob``, line order kept, ``\\r`` stripped.
-
-    mode="split" (default): line-based text scan, so one large log is read by
-    many tasks. Inside a split rows keep file order, so a line's number is
-    (lines of the file's earlier splits) + (its position in the split). The
-    per-split table has one row per split (the scan's own task list); it is
-    broadcast when it has at most ``broadcast_limit`` rows.
-    mode="wholetext": one row per file, exploded (a file is one task).
+    matches ``glob``, line order kept; lines end at ``\\n``, a ``\\r`` before
+    it is stripped.
+
+    The text is scanned once, line by line, so one large log is read by many
+    tasks. That scan is stored with each line's block of the file and its
+    place in the block; line numbers are counted on the stored rows, so they
+    don't depend on how a later scan would be split. The stored lines are
+    counted against the sum of the blocks.
     """
-    reader = spark.read.option("recursiveFileLookup", "true")
+    reader = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    if mode == "wholetext":
-        raw = reader.text(path, wholetext=True)
-        exploded = raw.select(F.col("_metadata.file_path").alias("file"),
-                              F.posexplode(F.split(F.col("value"), "\n")).alias("pos", "line"))
-        # a final newline leaves one empty last element
-        n = F.max("pos").over(Window.partitionBy("file"))
-        return (exploded.withColumn("_n", n)
-                        .filter(~((F.col("pos") == F.col("_n")) & (F.col("line") == "")))
-                        .select("file", (F.col("pos") + 1).cast("bigint").alias("line_no"),
-                                F.regexp_replace("line", "\r$", "").alias("line")))
-    if mode != "split":
-        raise ValueError(mode)
-    raw = reader.text(path)
-    rows = raw.select(F.col("_metadata.file_path").alias("file"),
-                      F.col("_metadata.file_block_start").alias("_blk"),
-                      F.monotonically_increasing_id().alias("_mid"),
-                      F.regexp_replace("value", "\r$", "").alias("line"))
-    blocks = rows.groupBy("file", "_blk").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    rows = materialize(reader.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_blk"),
+        F.monotonically_increasing_id().alias("_at"), F.regexp_replace("value", "\r$", "").alias("line")), "log-lines")
+    blocks = rows.groupBy("file", "_blk").agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"), F.count(F.lit(1)).alias("_n"))
+    gap = blocks.filter(F.col("_last") - F.col("_first") + 1 != F.col("_n"))
+    if not gap.isEmpty():
+        raise RuntimeError("lines of a block are not consecutive")
     w = Window.partitionBy("file").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select("file", "_blk", "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
-    # one row per split: materialized once (shared folder), broadcast only
-    # when its checked size allows, else joined by shuffle
-    checkpoint_dir(spark)
-    blocks = blocks.checkpoint()
-    side = F.broadcast(blocks) if blocks.count() <= broadcast_limit else blocks
-    return (rows.join(side, ["file", "_blk"])
-                .select("file", (F.col("_before") + F.col("_mid") - F.col("_first") + 1).cast("bigint").alias("line_no"),
-                        "line"))
+    return (rows.join(blocks, ["file", "_blk"])
+                .select("file", (F.col("_before") + F.col("_at") - F.col("_first") + 1).cast("bigint").alias("line_no"), "line"))
 
 
 def lines_from_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -128,7 +110,7 @@ def parse_profile_report(lines: DataFrame, chunk: int | None = None) -> DataFram
              .when(kind == "min", F.regexp_extract("line", A_MIN, 1))
              .when(kind == "calls", F.regexp_extract("line", A_CALLS, 1))
              .when(kind == "avg", F.regexp_extract("line", A_AVG, 1)))
-    tagged = lines.select("file", "line_no", kind.alias("kind"), text.alias("text")).filter(F.col("kind").isNotNull())
+    tagged = materialize(lines.select("file", "line_no", kind.alias("kind"), text.alias("text")).filter(F.col("kind").isNotNull()), "report-lines")
     hdr = F.when(F.col("kind") == "name", F.col("line_no"))
     kw = {"chunk": chunk} if chunk else {}
     blocks = running_max(tagged, ["file"], "line_no", hdr, "node_ix", **kw).filter(F.col("node_ix").isNotNull())
@@ -163,17 +145,19 @@ def parse_profile_stats(lines: DataFrame, chunk: int | None = None) -> DataFrame
     val = (F.when(stat == "Max", F.regexp_extract("line", B_MAX, 1))
             .when(stat == "Avg", F.regexp_extract("line", B_AVG, 1))
             .when(stat == "Min", F.regexp_extract("line", B_MIN, 1)))
-    tagged = (lines.select("file", "line_no", F.when(is_hdr, name).alias("hdr"), stat.alias("stat"),
-                           val.try_cast("double").alias("value"))
-                   .filter(F.col("hdr").isNotNull() | F.col("stat").isNotNull()))
+    tagged = materialize(lines.select("file", "line_no", F.when(is_hdr, name).alias("hdr"), stat.alias("stat"),
+                                      val.try_cast("double").alias("value"))
+                              .filter(F.col("hdr").isNotNull() | F.col("stat").isNotNull()), "stats-lines")
     kw = {"chunk": chunk} if chunk else {}
     blk = running_max(tagged, ["file"], "line_no",
                       F.when(F.col("hdr").isNotNull(), F.struct(F.col("line_no").alias("l"), F.col("hdr").alias("n"))),
                       "_blk", **kw).filter(F.col("_blk").isNotNull())
     blk = blk.select("file", "line_no", "stat", "value", F.col("_blk.l").alias("block"), F.col("_blk.n").alias("node"))
-    last_block = blk.groupBy("file", "node").agg(F.max("block").alias("block"))
-    kept = blk.join(last_block, ["file", "node", "block"], "left_semi").filter(F.col("stat").isNotNull())
-    return kept.groupBy("file", "node", "stat").agg(F.max_by("value", "line_no").alias("value"))
+    # a header alone is a block too (without a stat): the node's last block decides
+    stats = blk.groupBy("file", "node", "block", "stat").agg(F.max_by("value", "line_no").alias("value"))
+    newest = F.max("block").over(Window.partitionBy("file", "node"))
+    return (stats.withColumn("_newest", newest).filter((F.col("block") == F.col("_newest")) & F.col("stat").isNotNull())
+                 .select("file", "node", "stat", "value"))
 
 
 def parse_environment(lines: DataFrame) -> DataFrame:
@@ -226,7 +210,7 @@ def operator_catalogue(lines: DataFrame, prefix: str) -> DataFrame:
     tok = F.trim(F.col("line"))
     name = F.regexp_extract(tok, HEADER, 2)
     return (lines.filter(F.col("file").endswith(".txt") & tok.rlike(HEADER) & name.startswith(prefix))
-                 .select(alg.alias("algorithm"), F.substring(name, len(prefix) + 1, 1 << 20).alias("api"))
+                 .select(alg.alias("algorithm"), F.substr(name, F.lit(len(prefix) + 1)).alias("api"))
                  .distinct())
 
 

@@ -6,6 +6,9 @@ import random
 
 import pytest
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from benchtrail.functions.ranking import dense_index
 from benchtrail.operators import bisect as B
 from benchtrail.operators import history as H
@@ -90,6 +93,17 @@ def test_dense_index_is_a_total_order(spark):
     assert got == list(enumerate(sorted(vals)))
 
 
+def test_dense_index_of_many_wide_rows(spark):
+    """Positions are ranks for any number of partitions, also if most rows share one value."""
+    wide = F.repeat(F.sha2(F.col("id").cast("string"), 256), 4)
+    df = spark.range(400_000).select(F.when(F.col("id") % 10 == 0, F.xxhash64("id")).otherwise(F.lit(7)).alias("v"), "id", wide.alias("w"))
+    for partitions in (8, 32, 64):
+        got = dense_index(df, "v", "idx", partitions=partitions).select("v", "idx", F.lag("v").over(Window.orderBy("idx")).alias("before"))
+        s = got.agg(F.count("*").alias("n"), F.countDistinct("idx").alias("d"), F.min("idx").alias("lo"), F.max("idx").alias("hi"),
+                    F.count_if(F.col("before") > F.col("v")).alias("wrong")).first()
+        assert (s.n, s.d, s.lo, s.hi, s.wrong) == (400_000, 400_000, 0, 399_999, 0)
+
+
 def test_last_n_axis(spark):
     df = runs(spark, [("fft_a_16", "b", 10, 1, 1, 1.0), ("fft_b_16", "b", 20, 1, 2, 1.0), ("fft_a_16", "b", 30, 1, 3, 1.0)])
     s = H.latest_record(df, H.RECORD, values=["min_value"])

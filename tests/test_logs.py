@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from benchtrail.functions.scan import running_max
+from benchtrail.functions.scan import previous_max, running_max
 from benchtrail.sources import logs as L
 from conftest import lines_df
 
@@ -18,37 +18,50 @@ def _write(d, name, text, newline="\n"):
     return p
 
 
-def test_read_log_lines_split_and_wholetext_agree(spark, tmp_dir):
-    big = "\n".join(f"line {i} " + "x" * (i % 50) for i in range(5000)) + "\n"
-    _write(tmp_dir, "a/run_1.log", big)
-    _write(tmp_dir, "b/run_2.log", "first\nsecond\r\nthird", newline="\n")
+def test_read_log_lines_keeps_every_line_whatever_the_splits(spark, tmp_dir):
+    big = [f"line {i} " + "x" * (i % 50) for i in range(5000)]
+    _write(tmp_dir, "a/run_1.log", "\n".join(big) + "\n")
+    _write(tmp_dir, "b/run_2.log", "first\nsecond\r\nthird \r still third", newline="\n")
     _write(tmp_dir, "b/skip.txt", "not a log\n")
     _write(tmp_dir, "c/run_3.log", "one\ntwo\n", newline="\r\n")
+    want = {("run_1.log", i + 1): line for i, line in enumerate(big)}          # a final newline adds no line
+    want |= {("run_2.log", i + 1): line for i, line in enumerate(["first", "second", "third \r still third"])}
+    want |= {("run_3.log", 1): "one", ("run_3.log", 2): "two"}                 # \r before \n is stripped
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")   # the big file spans several splits
     try:
-        split = {(os.path.basename(r.file), r.line_no): r.line
-                 for r in L.read_log_lines(spark, tmp_dir, "*.log").collect()}
-        whole = {(os.path.basename(r.file), r.line_no): r.line
-                 for r in L.read_log_lines(spark, tmp_dir, "*.log", mode="wholetext").collect()}
+        for build, run in (("16384", "16384"), ("16384", "128m"), ("128m", "5000")):   # the split size changes in between
+            spark.conf.set("spark.sql.files.maxPartitionBytes", build)
+            df = L.read_log_lines(spark, tmp_dir, "*.log")
+            spark.conf.set("spark.sql.files.maxPartitionBytes", run)
+            assert {(os.path.basename(r.file), r.line_no): r.line for r in df.collect()} == want
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert split == whole
-    assert split[("run_1.log", 1)] == "line 0 "
-    assert split[("run_1.log", 5000)] == "line 4999 " + "x" * (4999 % 50)
-    assert len([k for k in split if k[0] == "run_1.log"]) == 5000          # final newline adds no line
-    assert [split[("run_2.log", i)] for i in (1, 2, 3)] == ["first", "second", "third"]
-    assert [split[("run_3.log", i)] for i in (1, 2)] == ["one", "two"]     # \r stripped
-    assert not any(k[0] == "skip.txt" for k in split)
+
+
+def test_parsers_read_their_input_once(spark, tmp_dir):
+    _write(tmp_dir, "run.log", PROFILE_A)
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    lines = lines_df(spark, {"run.log": PROFILE_A})
+    for parse in (L.parse_profile_report, L.parse_profile_stats):
+        before = reads.value
+        parse(lines.mapInArrow(counted, lines.schema)).collect()
+        assert reads.value - before == lines.count()
 
 
 def test_running_max_chunked_equals_plain_window(spark):
     rows = [("f", i, i if i % 7 == 0 else None) for i in range(1, 400)] + [("g", i, None) for i in range(1, 5)]
     df = spark.createDataFrame(rows, "file string, line_no bigint, v bigint")
     got = {(r.file, r.line_no): r.m for r in running_max(df, ["file"], "line_no", F.col("v"), "m", chunk=16).collect()}
+    before = {(r.file, r.line_no): r.m for r in previous_max(df, ["file"], "line_no", F.col("v"), "m", chunk=16).collect()}
     for (f, n), m in got.items():
-        expect = max([i for (ff, i, v) in rows if ff == f and i <= n and v is not None], default=None)
-        assert m == expect
+        assert m == max([i for (ff, i, v) in rows if ff == f and i <= n and v is not None], default=None)
+        assert before[f, n] == max([i for (ff, i, v) in rows if ff == f and i < n and v is not None], default=None)
 
 
 PROFILE_A = """preamble Max line: 9 x

@@ -96,33 +96,32 @@ def test_chain_counts_non_increasing(spark):
     assert steps == sorted(steps, reverse=True) and steps == [10, 9, 8, 7, 6]
 
 
-def test_distributed_header_stack_equals_per_log(spark):
-    import random
-    rnd = random.Random(7)
-
-    def tree(fid, irregular):
-        lines, stack = [], []
-        for _ in range(rnd.randint(3, 25)):
-            act = rnd.random()
-            if stack and act < 0.25:
-                name, ind = stack.pop()
-                if irregular and rnd.random() < 0.3:
-                    ind = max(0, ind - 1)
-                lines.append(" " * ind + f"{name} op (entered {rnd.randint(1, 9)} times)")
-            else:
-                depth = len(stack) if act < 0.8 else max(0, len(stack) - 1)
-                del stack[depth:]
-                name = rnd.choice(["a", "b", "hl_x", "hl_y"])
-                lines.append(" " * (2 * depth) + f"{name} op (entered {rnd.randint(1, 9)} times)")
-                lines.append(" " * (2 * depth + 2) + f"api{rnd.randint(0, 3)}  1  {rnd.randint(1, 50)}")
-                if rnd.random() < 0.5:
-                    lines.append(" " * (2 * depth + 2) + "TOTAL  1  9")
-                stack.append((name, 2 * depth))
-        return [(f"f{fid}", i + 1, line) for i, line in enumerate(lines)]
-
-    rows = [r for f in range(16) for r in tree(f, irregular=(f % 4 == 0))]
-    lines = spark.createDataFrame(rows, "file string, line_no bigint, line string")
-    a_nodes, a_det = U.parse_usage_tree(lines, mode="distributed")
-    b_nodes, b_det = U.parse_usage_tree(lines, mode="per_log")
-    assert sorted(map(tuple, a_nodes.collect())) == sorted(map(tuple, b_nodes.collect()))
-    assert sorted(map(tuple, a_det.collect())) == sorted(map(tuple, b_det.collect()))
+def header(indent, name, times=1):
+    return " " * indent + f"{name} op (entered {times} times)"
+
+
+def relations(spark, *logs):
+    lines = lines_df(spark, {f"f{i}": "\n".join(header(*h) for h in log) for i, log in enumerate(logs)})
+    nodes, _ = U.parse_usage_tree(lines)
+    out = [{} for _ in logs]
+    for r in nodes.collect():
+        out[int(r.file[1:])][r.node_id] = "orphan" if r.orphan else (r.name, r.parent_id, r.depth_id)
+    return out
+
+
+def test_usage_relations_of_irregular_logs(spark):
+    deep = [(0, "a"), (2, "b"), (4, "c"), (6, "d"), (4, "c"), (4, "e"), (2, "b"), (2, "f"), (0, "a")]
+    orphan = [(0, "a"), (4, "b"), (2, "x"), (4, "c"), (6, "d")]
+    # the closing "b" stands one column off: the open node is b again (indent 4), so "c" at 3 closes too, without a node of its name
+    odd = [(0, "a"), (4, "b"), (6, "c0"), (3, "b"), (3, "c"), (4, "d"), (5, "e")]
+    # of two nodes of one name the one opened last comes back
+    twice = [(0, "a"), (2, "b"), (2, "b"), (4, "c"), (2, "b"), (3, "d"), (2, "b"), (2, "e")]
+    # every closing header returns to a deeper node than its own indent says
+    chain = [(0, "r")] + [(2 * i, f"n{i}") for i in range(1, 30)] + [(1, f"n{i}") for i in range(29, 0, -1)] + [(2, "last")]
+    got = relations(spark, deep, orphan, odd, twice, chain, [], [(3, "only")])
+    assert got[0] == {0: ("a", None, 0), 1: ("b", 0, 1), 2: ("c", 1, 2), 3: ("d", 2, 3), 5: ("e", 1, 2), 7: ("f", 0, 1)}
+    assert got[1] == {0: ("a", None, 0), 1: ("b", 0, 1), 2: "orphan", 3: ("c", 0, 1), 4: ("d", 3, 2)}
+    assert got[2] == {0: ("a", None, 0), 1: ("b", 0, 1), 2: ("c0", 1, 3), 4: "orphan", 5: ("d", 0, 1), 6: ("e", 5, 2)}
+    assert got[3] == {0: ("a", None, 0), 1: ("b", 0, 1), 2: ("b", 0, 1), 3: ("c", 2, 3), 5: ("d", 2, 2), 7: ("e", 0, 1)}
+    assert got[4][30 - 1] == ("n29", 28, 29) and got[4][59] == ("last", 0, 1) and len(got[4]) == 31
+    assert got[5] == {} and got[6] == {0: ("only", None, 0)}
