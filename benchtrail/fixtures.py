@@ -172,7 +172,8 @@ where not (kind = 'error' and case_id % 10 = 3 and type = 'median')
 
 # F5 (logs): one comparator log per case rendered from F5; cases with
 # case_id % 17 = 5 get an error-section marker inside their first threshold
-# section (misnested).
+# section (misnested), cases with case_id % 19 = 7 a last threshold section
+# without a metric and without an error section.
 F5_LOG_LINES = """
 select concat('case_', cast(case_id as varchar(12))) as file,
        cast(row_number() over (partition by case_id order by segment, sec, k, type) as bigint) as line_no, line
@@ -183,7 +184,9 @@ from (select case_id, segment, case kind when 'threshold' then 0 else 1 end as s
       union all select distinct case_id, segment, 1, 0, '', 'Average error per band (dB)' from f5_metric
       union all select distinct case_id, segment, 1, 2, '', '''*'' indicates a test failure point' from f5_metric
       union all select distinct case_id, segment, 0, 1, 'zz', 'Average error section opened early' from f5_metric
-                where case_id % 17 = 5 and segment = 1) x
+                where case_id % 17 = 5 and segment = 1
+      union all select distinct case_id, 99, 0, 0, '', 'Test metrics:' from f5_metric where case_id % 19 = 7
+      union all select distinct case_id, 99, 0, 2, '', 'Results:' from f5_metric where case_id % 19 = 7) x
 """
 
 # F5 (specs): test specification hierarchy, one row per step; parent = id / 2.

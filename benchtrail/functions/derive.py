@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 # Ordered substring rules (first match wins).
 BACKEND_RULES = ("generic_float32", "armv7int_neon", "armv7int", "c64plus", "ipp_float_interleaved",
                  "ipp_float_non_interleaved")
-TARGET_RULES = ("dlb_profile",)
+TARGET_RULES = ("cycle_profile",)
 OS_RULES = (("linux", "linux"), ("beagleboard", "linux"), ("osx", "osx"))
 ARCH_RULES = (("cortex_a9", None), ("x86", "x86"), ("amd64", "amd64"), ("c64plus", "c64plus"), ("c64", "c64"))
 COMPILER_RULES = (("gnu", "gnu"), ("icc", "icc"), ("rvct_cslibc", "rvct_cslibc"), ("c6run", "ccs"))
@@ -29,11 +29,12 @@ def _first_match(col: Column, rules, on_unknown: str) -> Column:
     return expr
 
 
-def derive_backend(col: Column, on_unknown: str = "null") -> Column:
-    """P5: struct(backend, target) from an executable / config name by the
-    ordered substring rules; unknown -> null (or an error)."""
-    return F.struct(_first_match(col, BACKEND_RULES, on_unknown).alias("backend"),
-                    _first_match(col, TARGET_RULES, on_unknown).alias("target"))
+def derive_backend(col: Column, on_unknown: str = "null", backends=BACKEND_RULES, targets=TARGET_RULES) -> Column:
+    """P5: struct(backend, target) from an executable / config name by ordered
+    substring rules (the first that the name contains); unknown -> null (or
+    an error). The rules of an installation are parameters."""
+    return F.struct(_first_match(col, backends, on_unknown).alias("backend"),
+                    _first_match(col, targets, on_unknown).alias("target"))
 
 
 def derive_platform(col: Column, on_unknown: str = "null") -> Column:

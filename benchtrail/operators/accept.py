@@ -7,12 +7,12 @@ tolerance rule of ``acceptable``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from benchtrail.functions.scan import running_max
-from benchtrail.session import checkpoint_dir
+from benchtrail.functions.scan import previous_max, running_count
+from benchtrail.session import materialize
 
 # Section markers and metric line of the comparator log, the
 # tool that can be analysed, and the tolerance rule constants (dB).
@@ -23,6 +23,9 @@ ERR_CLOSE = "'*' indicates a test failure point"
 METRIC = r"Largest\s+(\S+)\s+power error:\s+\*\s+(\S+)\s+dB"
 ANALYSABLE_TOOL = "FREQCMP"
 MEDIAN = "median"
+OTHER_MAX = 1.0
+MEDIAN_MAX, MEDIAN_LOOSE_FROM, MEDIAN_LOOSE_MAX = 0.5, 0.5, 1.0
+THR_HIGH_FROM, OVER_LOW, OVER_HIGH = 10.0, 0.1, 1.0
 
 
 def parse_metric_sections(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -31,8 +34,10 @@ def parse_metric_sections(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     metrics: ``file, kind (threshold|error), segment, type, value`` -- the
     k-th closed threshold section pairs with the k-th closed error section;
     inside a section the last value of a type wins.
-    case_errors: ``file, error`` -- true when sections are misnested (a
-    section opened inside another, or closed without being open).
+    case_errors: ``file, error, n_threshold, n_error`` -- ``error`` is true
+    when sections are misnested (a section opened inside another, or closed
+    without being open); the counts are those of closed sections, with or
+    without a metric in them.
     """
     line = F.col("line")
     mk = (F.when(line.contains(THR_OPEN), "thr_open").when(line.contains(THR_CLOSE), "thr_close")
@@ -40,40 +45,36 @@ def parse_metric_sections(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     tagged = lines.select("file", "line_no", mk.alias("marker"),
                           F.when(line.rlike(METRIC), F.regexp_extract(line, METRIC, 1)).alias("type"),
                           F.regexp_extract(line, METRIC, 2).try_cast("double").alias("value"))
-    tagged = tagged.filter(F.col("marker").isNotNull() | F.col("type").isNotNull())
-
-    # markers of one log (few per case): nesting check and section numbers
-    markers = tagged.filter(F.col("marker").isNotNull()).select("file", "line_no", "marker")
-    w = Window.partitionBy("file").orderBy("line_no")
-    prev = F.coalesce(F.lag("marker").over(w), F.lit("idle"))
-    nxt = F.lead("marker").over(w)
-    m = markers.select("file", "line_no", "marker", prev.alias("_prev"), nxt.alias("_next"))
-    bad = ((F.col("marker").isin("thr_open", "err_open") & F.col("_prev").isin("thr_open", "err_open"))
-           | ((F.col("marker") == "thr_close") & (F.col("_prev") != "thr_open"))
-           | ((F.col("marker") == "err_close") & (F.col("_prev") != "err_open")))
-    case_errors = m.groupBy("file").agg(F.bool_or(bad).alias("error"))
-    opens = m.filter(F.col("marker").isin("thr_open", "err_open")).select(
-        "file", F.col("line_no").alias("_sec"),
-        F.when(F.col("marker") == "thr_open", "threshold").otherwise("error").alias("kind"),
-        (F.row_number().over(Window.partitionBy("file", "marker").orderBy("line_no")) - 1).cast("int").alias("segment"),
-        (((F.col("marker") == "thr_open") & (F.col("_next") == "thr_close"))
-         | ((F.col("marker") == "err_open") & (F.col("_next") == "err_close"))).alias("_closed"))
-
-    # data lines take the last marker before them (running max over the log)
-    last = running_max(tagged, ["file"], "line_no",
-                       F.when(F.col("marker").isNotNull(), F.struct(F.col("line_no").alias("l"), F.col("marker").alias("k"))),
-                       "_last")
-    data = last.filter(F.col("marker").isNull() & F.col("_last.k").isin("thr_open", "err_open")) \
-               .select("file", "line_no", "type", "value", F.col("_last.l").alias("_sec"))
-    j = data.join(opens.filter(F.col("_closed")), ["file", "_sec"])
-    metrics = j.groupBy("file", "kind", "segment", "type").agg(F.max_by("value", "line_no").alias("value"))
+    tagged = materialize(tagged.filter(F.col("marker").isNotNull() | F.col("type").isNotNull()), "comparator-lines")
+
+    # every line looks at the last marker before it
+    mark = F.when(F.col("marker").isNotNull(), F.struct(F.col("line_no").alias("l"), F.col("marker").alias("k")))
+    seen = materialize(previous_max(tagged, ["file"], "line_no", mark, "last"), "comparator-marks")
+    at, last = F.col("marker"), F.coalesce(F.col("last.k"), F.lit("idle"))
+    bad = ((at.isin("thr_open", "err_open") & last.isin("thr_open", "err_open"))
+           | ((at == "thr_close") & (last != "thr_open")) | ((at == "err_close") & (last != "err_open")))
+    closes = ((at == "thr_close") & (last == "thr_open")) | ((at == "err_close") & (last == "err_open"))
+    kind = F.when(at == "thr_close", "threshold").otherwise("error")
+    case_errors = seen.filter(at.isNotNull()).groupBy("file").agg(
+        F.bool_or(bad).alias("error"), F.count_if(closes & (at == "thr_close")).alias("n_threshold"),
+        F.count_if(closes & (at == "err_close")).alias("n_error"))
+    closed = seen.filter(closes).select("file", kind.alias("kind"), "line_no", F.col("last.l").alias("_sec"))
+    sections = running_count(closed, ["file", "kind"], "line_no", F.lit(True), "_n").select(
+        "file", "kind", "_sec", (F.col("_n") - 1).cast("int").alias("segment"))
+
+    data = seen.filter(at.isNull() & last.isin("thr_open", "err_open")).select(
+        "file", "line_no", "type", "value", F.col("last.l").alias("_sec"))
+    metrics = data.join(sections, ["file", "_sec"]).groupBy("file", "kind", "segment", "type").agg(
+        F.max_by("value", "line_no").alias("value"))
     return metrics, case_errors
 
 
 def acceptable(thr: Column, err: Column, type_: Column) -> Column:
     """A17 rule for one (type, threshold, error)."""
-    base = F.when(type_ != F.lit(MEDIAN), err < 1.0).otherwise((err < 0.5) | ((thr >= 0.5) & (err < 1.0)))
-    return base | ((thr < 10.0) & ((err - thr) < 0.1)) | ((thr >= 10.0) & ((err - thr) < 1.0))
+    base = F.when(type_ != F.lit(MEDIAN), err < OTHER_MAX).otherwise(
+        (err < MEDIAN_MAX) | ((thr >= MEDIAN_LOOSE_FROM) & (err < MEDIAN_LOOSE_MAX)))
+    over = err - thr
+    return base | ((thr < THR_HIGH_FROM) & (over < OVER_LOW)) | ((thr >= THR_HIGH_FROM) & (over < OVER_HIGH))
 
 
 def pair_metrics(metrics: DataFrame, case_col: str = "file") -> DataFrame:
@@ -85,10 +86,11 @@ def pair_metrics(metrics: DataFrame, case_col: str = "file") -> DataFrame:
 
 def accept_cases(pairs: DataFrame, case_errors: DataFrame | None = None, case_col: str = "file",
                  cases: DataFrame | None = None) -> DataFrame:
-    """A17 (+J8 check): per case, ``case_error`` (segment counts or type sets
-    differ, or the log was misnested) and ``accepted`` (no case error and all
-    pairs acceptable; a case with no segments is accepted). ``cases`` lists
-    every analysed case, so logs without any section are reported too."""
+    """A17 (+J8 check): per case, ``case_error`` (the numbers of closed
+    threshold and error sections or the type sets differ, or the log was
+    misnested) and ``accepted`` (no case error and all pairs acceptable; a
+    case with no segments is accepted). ``cases`` lists every analysed case,
+    so logs without any section are reported too."""
     ok = acceptable(F.col("thr"), F.col("err"), F.col("type"))
     per = pairs.groupBy(case_col).agg(
         F.bool_or(F.col("thr").isNull() | F.col("err").isNull()).alias("_mismatch"),
@@ -96,7 +98,8 @@ def accept_cases(pairs: DataFrame, case_errors: DataFrame | None = None, case_co
     if cases is not None:
         per = cases.select(case_col).distinct().join(per, case_col, "left")
     if case_errors is not None:
-        per = per.join(case_errors, case_col, "left")
+        wrong = F.col("error") | (F.col("n_threshold") != F.col("n_error"))
+        per = per.join(case_errors.select(case_col, wrong.alias("error")), case_col, "left" if cases is not None else "full_outer")
     else:
         per = per.withColumn("error", F.lit(False))
     err = F.coalesce(F.col("_mismatch"), F.lit(False)) | F.coalesce(F.col("error"), F.lit(False))
@@ -132,28 +135,25 @@ def own_tool(specs: DataFrame) -> DataFrame:
     return specs.select("id", "parent", first_eval["processor"].alias("tool"))
 
 
-def resolve_tools(specs: DataFrame, max_rounds: int = 64) -> DataFrame:
+def resolve_tools(specs: DataFrame) -> DataFrame:
     """Each spec's evaluation tool, inherited from the nearest ancestor
-    that has one (``id, tool``; null when no ancestor has one or a parent is
-    missing).
+    that has one (``id, tool, cycle``; tool is null when no ancestor has one or
+    a parent is missing; ``cycle`` marks specs whose ancestors never end).
 
     Pointer doubling: every round joins the unresolved rows with the state
-    itself, so a chain of depth d is resolved in about log2(d) rounds. The
-    state is checkpointed to the shared folder each round (bounded lineage);
-    a cycle simply stops at ``max_rounds`` with a null tool.
+    itself, which is stored each round, so a chain of n specs is resolved in
+    about log2(n) rounds. What is open when all specs would fit into the
+    chains followed so far can only be a cycle.
     """
-    checkpoint_dir(specs.sparkSession)
-    state = own_tool(specs).select("id", "tool", F.when(F.col("tool").isNull(), F.col("parent")).alias("ptr"))
-    for _ in range(max_rounds):
-        if state.filter(F.col("tool").isNull() & F.col("ptr").isNotNull()).limit(1).count() == 0:
-            break
+    state = materialize(own_tool(specs).select("id", "tool", F.when(F.col("tool").isNull(), F.col("parent")).alias("ptr")), "specs")
+    followed, n = 1, state.count()
+    while followed <= 2 * n and not state.filter(F.col("ptr").isNotNull()).isEmpty():
         look = state.select(F.col("id").alias("_pid"), F.col("tool").alias("_ptool"), F.col("ptr").alias("_pptr"))
-        j = state.join(look, F.col("ptr") == F.col("_pid"), "left")
-        nxt = j.select("id",
-                       F.coalesce(F.col("tool"), F.col("_ptool")).alias("tool"),
-                       F.when(F.col("tool").isNull() & F.col("_ptool").isNull(), F.col("_pptr")).alias("ptr"))
-        state = nxt.checkpoint()
-    return state.select("id", "tool")
+        state = materialize(state.join(look, F.col("ptr") == F.col("_pid"), "left").select(
+            "id", F.coalesce(F.col("tool"), F.col("_ptool")).alias("tool"),
+            F.when(F.col("tool").isNull() & F.col("_ptool").isNull(), F.col("_pptr")).alias("ptr")), "specs")
+        followed *= 2
+    return state.select("id", "tool", F.col("ptr").isNotNull().alias("cycle"))
 
 
 def relabel(results: DataFrame, accepted: DataFrame, case_col: str = "test_api",

@@ -43,7 +43,7 @@ def next_midpoint(axis: DataFrame, ranges: DataFrame, keys: Sequence[str]) -> Da
     return m.join(pos, [*keys, "idx"]).select(*keys, "good_cl", "bad_cl", F.col(CL).alias("mid_cl"))
 
 
-def first_bad(verdicts: DataFrame, ranges: DataFrame, keys: Sequence[str], max_rounds: int = 64) -> DataFrame:
+def first_bad(verdicts: DataFrame, ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The first failing build per range by bisection over recorded
     verdicts, with the reference's rules: test the midpoint; a failure
     moves the bad end there, a pass moves the good end; stop when the
@@ -67,9 +67,7 @@ def first_bad(verdicts: DataFrame, ranges: DataFrame, keys: Sequence[str], max_r
                 .select(*keys, "good_cl", "bad_cl", "lo", "hi", F.col("lo").alias("lo0"),
                         F.lit(False).alias("done"), F.lit(0).alias("rounds")))
     st = st.checkpoint()
-    for _ in range(max_rounds):
-        if st.filter(~F.col("done")).limit(1).count() == 0:
-            break
+    while not st.filter(~F.col("done")).isEmpty():  # every round halves the open ranges
         m = st.withColumn("_mid", F.when(~F.col("done"), midpoint()))
         stop = F.col("_mid") == F.col("lo")
         j = m.join(p.select(*keys, F.col("idx").alias("_mid"), F.col("fail").alias("_fail")), [*keys, "_mid"], "left")

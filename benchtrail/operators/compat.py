@@ -137,6 +137,10 @@ def overall(df: DataFrame, keys: Sequence[str] = (), cols: Sequence[str] = ("bui
 
 # --- J4 ---------------------------------------------------------------------------
 
+#: length of the strings by which lines and configurations are joined
+GRAM = 8
+
+
 def expectation_check(builds: DataFrame, expected: DataFrame, config: str = "config",
                       build_failed: str = "build_failed", mode: str = "equal") -> DataFrame:
     """A build is a failure when it was expected to succeed and failed,
@@ -144,22 +148,25 @@ def expectation_check(builds: DataFrame, expected: DataFrame, config: str = "con
     configuration; lines naming the Windows tool are abbreviated (P8) first.
 
     mode="equal": the configuration equals the line.
-    mode="contains": the configuration occurs anywhere in a line. Each line is
-    cut into its substrings at the lengths that configuration names have
-    (a short driver-side list), and those equi-join the builds -- exact, and
-    no build is compared with every line.
+    mode="contains": the configuration occurs anywhere in a line. A line that
+    contains it also holds each of its ``GRAM``-character strings (all of it
+    if it is shorter); the one with the smallest hash joins the strings of
+    the lines, and the joined lines are searched for the configuration.
     """
     line = F.trim(F.col("line"))
     exp = expected.select(F.when(line.contains(WINDOWS_TOOL), abbreviate(line)).otherwise(line).alias("_exp"))
     if mode == "contains":
-        lengths = sorted(r[0] for r in builds.select(F.length(config).alias("n")).distinct().collect() if r[0])
-        n = F.length("_exp")
-        starts = exp.filter(n > 0).select("_exp", F.explode(F.sequence(F.lit(1), n)).alias("_st"))
-        sub = starts.select("_exp", "_st", F.explode(F.array(*[F.lit(int(x)) for x in lengths])
-                                                      if lengths else F.array().cast("array<int>")).alias("_len"))
-        sub = sub.filter(F.col("_st") + F.col("_len") - 1 <= F.length("_exp"))
-        found = (sub.select(F.expr("substring(_exp, _st, _len)").alias(config)).distinct()
-                    .withColumn("_found", F.lit(True)))
+        def grams(text: str, size: Column) -> Column:
+            return F.transform(F.sequence(F.lit(1), F.length(text) - size + 1), lambda i: F.substr(F.col(text), i, size))
+
+        names = builds.select(F.col(config).alias("_cfg")).filter(F.length("_cfg") > 0).distinct()
+        own = grams("_cfg", F.least(F.length("_cfg"), F.lit(GRAM)))
+        names = names.select("_cfg", F.array_min(F.transform(own, lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g"))))["g"].alias("_gram"))
+        lines = exp.filter(F.length("_exp") > 0).distinct()
+        held = lines.select("_exp", F.explode(F.sequence(F.lit(1), F.least(F.length("_exp"), F.lit(GRAM)))).alias("_n"))
+        held = held.select("_exp", F.explode(F.array_distinct(grams("_exp", F.col("_n")))).alias("_gram"))
+        found = (held.join(names, "_gram").filter(F.col("_exp").contains(F.col("_cfg")))
+                     .select(F.col("_cfg").alias(config)).distinct().withColumn("_found", F.lit(True)))
     elif mode == "equal":
         found = exp.select(F.col("_exp").alias(config)).distinct().withColumn("_found", F.lit(True))
     else:

@@ -11,49 +11,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from benchtrail.session import checkpoint_dir
+from benchtrail.session import materialize
 
 # The match rules of the coverage scripts.
 # An API matches a report line when it is preceded by a character other than
 # '_' and followed by ' ', '|', '(' or the end of the line, or when it stands
 # between '(' and ','. A line counts as covered when it contains "lineCov".
 COVERED_MARK = "lineCov"
-ID = "A-Za-z0-9_"
-# maximal identifier runs followed by a boundary character or the line end
-RUN_ANY = rf"(?<![{ID}])[{ID}]+(?=[ |(]|$)"
-# the same, but with a character before the run
-RUN_INNER = rf"(?<=[^{ID}])[{ID}]+(?=[ |(]|$)"
-# a run between '(' and ','
-RUN_ARG = rf"(?<=\()[{ID}]+(?=,)"
+# the characters that end a name
+ENDS = "[ |(]"
+# what stands between '(' and ','
+ARGUMENT = r"\(([^(,]+)(?=,)"
 # '#define' followed by the defined name
 DEFINE = r"^#define +([^ |(]+)"
 
 
-def api_lengths(apis: DataFrame, col: str = "api") -> list[int]:
-    """Distinct name lengths of the API set: at most the longest identifier
-    length, so a small driver-side list."""
-    return sorted(r[0] for r in apis.select(F.length(col).alias("n")).distinct().collect())
-
-
 def match_candidates(lines: DataFrame, lengths: list[int], line_col: str = "line") -> DataFrame:
-    """The distinct strings an API could equal at a match position of some
-    line: whole runs that have a character before them, runs between '('
-    and ',', and proper suffixes of runs whose preceding character is not
-    '_' -- suffixes only at the given lengths. Returns one column ``cand``.
-
-    Suffixes depend on the run text alone, so runs are deduplicated before
-    they are expanded (the expansion is per distinct word, not per
-    occurrence)."""
+    """The strings an API could equal at a match position of some line, in one
+    column ``cand``. Lines are cut where a name ends, so an API with the
+    boundary rule is the end of a piece, and the character before it (the end
+    of the piece before, if it is a whole one) is not '_'; only ends of the
+    given lengths can be one. APIs are plain strings of any characters but
+    the boundary ones.
+
+    What a piece can match depends on its text alone: pieces are
+    deduplicated (with a map-side combine) before their ends are taken."""
     line = F.col(line_col)
-    arg = F.when(line.contains("("), F.regexp_extract_all(line, F.lit(RUN_ARG), 0)).otherwise(F.array().cast("array<string>"))
-    whole = lines.select(F.explode(F.concat(F.regexp_extract_all(line, F.lit(RUN_INNER), 0), arg)).alias("cand"))
-    runs = lines.select(F.explode(F.regexp_extract_all(line, F.lit(RUN_ANY), 0)).alias("run")).distinct()
-    n = F.length("run")
-    starts = runs.filter(n > 1).select("run", F.explode(F.sequence(F.lit(2), n)).alias("st"))
-    size = F.length("run") - F.col("st") + 1
-    suff = (starts.filter(size.isin(*[int(x) for x in lengths]) & (F.expr("substring(run, st - 1, 1)") != F.lit("_")))
-                  .select(F.expr("substring(run, st)").alias("cand")))
-    return whole.unionByName(suff).distinct()
+    pieces = (lines.select(F.posexplode(F.split(line, ENDS)).alias("pos", "piece")).filter("piece != ''")
+                   .groupBy("piece").agg(F.max((F.col("pos") > 0).cast("int")).alias("inner")).withColumn("n", F.length("piece")))
+    sizes = F.filter(F.array(*[F.lit(int(x)) for x in lengths]).cast("array<int>"), lambda k: k <= F.col("n"))
+    ends = pieces.select("piece", "inner", "n", F.explode(sizes).alias("k"))
+    whole = F.col("k") == F.col("n")
+    ends = ends.filter((whole & (F.col("inner") == 1)) | (~whole & (F.expr("substring(piece, n - k, 1)") != "_")))
+    arguments = lines.filter(line.contains("(")).select(F.explode(F.regexp_extract_all(line, F.lit(ARGUMENT), 1)).alias("cand"))
+    return ends.select(F.expr("right(piece, k)").alias("cand")).unionByName(arguments)
 
 
 def token_match(apis: DataFrame, report: DataFrame, covered: Column | None = None,
@@ -62,12 +53,10 @@ def token_match(apis: DataFrame, report: DataFrame, covered: Column | None = Non
     report. ``covered`` defaults to "line contains lineCov"."""
     cov = covered if covered is not None else F.col("line").contains(COVERED_MARK)
     lines = report.filter(cov).select("line")
-    # the API set is read twice (its name lengths, the final semi join): it is
-    # a vocabulary, so it is materialized once in the shared checkpoint folder
-    checkpoint_dir(apis.sparkSession)
-    names = apis.select(col).distinct().checkpoint()
-    cands = match_candidates(lines, api_lengths(names, col)).select(F.col("cand").alias(col))
-    return names.join(cands, col, "left_semi")
+    # read twice: for the lengths (one row: as many values as the longest name has characters) and the join
+    names = materialize(apis.select(col).distinct(), "names")
+    lengths = sorted(names.agg(F.collect_set(F.length(col))).first()[0])
+    return names.join(match_candidates(lines, lengths).withColumnRenamed("cand", col), col, "left_semi")
 
 
 def macro_defined(apis: DataFrame, header_lines: DataFrame, col: str = "api") -> DataFrame:
@@ -88,23 +77,19 @@ def coverage_chain(universe: DataFrame, trace: DataFrame, report: DataFrame, hea
     it: executed (trace hits >= 1), called macro (matched in a covered report
     line), macro (has a #define), deprecated; the rest is ``not_covered``.
 
-    Each test is a key set joined once onto the universe; the first true
-    flag in chain order is the reason (same result as removing step by step,
-    since a later test never changes an earlier removal)."""
-    u = universe.select(col).distinct()
-    flags = {
-        "executed": trace.filter(F.col("hits") >= 1).select(col),
-        "called_macro": token_match(u, report, col=col),
-        "macro": macro_defined(u, header_lines, col),
-        "deprecated": deprecated.select(col),
-    }
-    out = u
-    for name, keys in flags.items():
-        out = out.join(keys.distinct().withColumn(f"_{name}", F.lit(True)), col, "left")
-    reason = F.lit("not_covered")
-    for name in reversed(list(flags)):
-        reason = F.when(F.col(f"_{name}").isNotNull(), F.lit(name)).otherwise(reason)
-    return out.select(col, reason.alias("reason"))
+    Every test gives a set of names with its place in the chain; the smallest
+    place of a name is its reason (a later test never changes an earlier
+    removal), so one aggregation joins the universe once."""
+    u = materialize(universe.select(col).distinct(), "universe")
+    tests = (trace.filter(F.col("hits") >= 1).select(col), token_match(u, report, col=col),
+             macro_defined(u, header_lines, col), deprecated.select(col))
+    places = None
+    for place, names in enumerate(tests):
+        names = names.withColumn("_place", F.lit(place))
+        places = names if places is None else places.unionByName(names)
+    first = places.groupBy(col).agg(F.min("_place").alias("_place"))
+    reason = F.element_at(F.array(*[F.lit(r) for r in REASONS]), F.coalesce("_place", F.lit(len(REASONS) - 1)) + 1)
+    return u.join(first, col, "left").select(col, reason.alias("reason"))
 
 
 def chain_counts(chain: DataFrame) -> DataFrame:

@@ -261,7 +261,7 @@ def report_rows(runs: DataFrame, changelist: int | None = None, variant: str = "
 
     first = int(min); spread = round(100*(avg-min)/first) (null when first is 0
     or avg is missing); fft: work = 5 n log2 n with n the last ``_`` part,
-    third = round(first/work, 2); math: first = first div 100 after the spread
+    third = round(first/work, 2), both null when n isn't a number or work is 0; math: first = first div 100 after the spread
     (the nightly report divides integers).
 
     variant="two_build" (the DUT-vs-REF report): first is the minimum itself
@@ -278,15 +278,15 @@ def report_rows(runs: DataFrame, changelist: int | None = None, variant: str = "
         rec = rec.filter(F.col("avg_value").isNotNull())
         mn = F.col("min_value")
         spread2 = F.round(F.try_divide(100 * (F.col("avg_value") - mn), mn), 0)
-        n2 = F.element_at(F.split("test_case_name", "_"), -1).cast("bigint")
+        n2 = F.element_at(F.split("test_case_name", "_"), -1).try_cast("bigint")
         return rec.select(
             *SERIES, "algorithm", CL,
             F.when(F.col("algorithm") == "math", F.round(mn / 100, 0)).otherwise(mn).alias("first"),
             spread2.alias("spread"),
-            F.when(F.col("algorithm") == "fft", F.round(mn / (5 * n2 * F.log2(n2)), 2)).alias("third"))
+            F.when(F.col("algorithm") == "fft", F.round(F.try_divide(mn, 5 * n2 * F.log2(n2)), 2)).alias("third"))
     first = F.col("min_value").cast("bigint")
     spread = F.round(F.try_divide(100 * (F.col("avg_value") - F.col("min_value")), first), 0)
-    n = F.element_at(F.split("test_case_name", "_"), -1).cast("bigint")
+    n = F.element_at(F.split("test_case_name", "_"), -1).try_cast("bigint")
     work = 5 * n * F.log2(n)
     is_fft = F.col("algorithm") == "fft"
     is_math = F.col("algorithm") == "math"
@@ -295,7 +295,7 @@ def report_rows(runs: DataFrame, changelist: int | None = None, variant: str = "
         F.when(is_math, F.floor(first / 100)).otherwise(first).cast("bigint").alias("first"),
         spread.alias("spread"),
         F.when(is_fft, F.round(work, 6)).alias("work"),
-        F.when(is_fft, F.round(first / work, 2)).alias("third"))
+        F.when(is_fft, F.round(F.try_divide(first, work), 2)).alias("third"))
 
 
 # --- O2 / Q1 / Q2 -----------------------------------------------------------------

@@ -98,7 +98,8 @@ def scale_to_frame(nodes: DataFrame, frame_node: str) -> DataFrame:
     """A4: per log, when the frame node is present and there is more than one
     node: nodes without a call count are dropped, and every other node's
     max/min/avg is multiplied by ceil(calls / frame_calls) if it ran more
-    often than the frame node (else by 1). Otherwise the log is unchanged.
+    often than the frame node (else by 1, also if the frame node never ran).
+    Otherwise the log is unchanged.
     """
     per_file = nodes.groupBy("file").agg(
         F.max(F.when(F.col("name") == frame_node, F.col("num_calls"))).alias("_frame_calls"),
@@ -109,7 +110,7 @@ def scale_to_frame(nodes: DataFrame, frame_node: str) -> DataFrame:
     is_frame = F.col("name") == frame_node
     scale = F.when(~active | is_frame, F.lit(1)).when(
         F.col("num_calls") > F.col("_frame_calls"),
-        F.ceil(F.col("num_calls") / F.col("_frame_calls"))).otherwise(F.lit(1))
+        F.coalesce(F.ceil(F.try_divide("num_calls", "_frame_calls")), F.lit(1))).otherwise(F.lit(1))
     keep = ~active | is_frame | F.col("num_calls").isNotNull()
     return (j.filter(keep)
              .select(*[c for c in nodes.columns if c not in ("max", "min", "avg")],

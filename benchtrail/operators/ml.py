@@ -202,6 +202,6 @@ def bake_off(train: DataFrame, test: DataFrame, makers: dict[str, Callable[[], o
                          float(m["precision"]) if binary and m["precision"] is not None else None,
                          float(m["recall"]) if binary and m["recall"] is not None else None, None))
         except Exception as e:  # recorded, not swallowed
-            rows.append((name, float(time.time() - t0), None, None, None, f"{type(e).__name__}: {str(e)[:200]}"))
+            rows.append((name, float(time.time() - t0), None, None, None, f"{type(e).__name__}: {e}"))
     schema = "model string, seconds double, accuracy double, precision double, recall double, error string"
     return train.sparkSession.createDataFrame(rows, schema)

@@ -59,13 +59,11 @@ def regression_alerts(runs: DataFrame, value: str = "min_value", threshold: floa
         out = out.drop("base_cl", "base_value").join(b.select(*keys, "base_cl", "base_value"), keys, "left")
 
     delta = F.try_divide(100 * (F.col("cand_value") - F.col("base_value")), F.col("base_value"))
-    out = out.select(*keys, "cand_cl", "cand_value", "base_cl", "base_value").withColumn("delta_pct", F.round(delta, 6))
     thr = F.lit(float(threshold))
-    alert = (F.col("delta_pct") > thr) | (F.col("delta_pct") < -thr)
-    return (out.withColumn("alert", F.coalesce(alert, F.lit(False)))
-               .withColumn("flag", F.when(F.col("delta_pct") > 0, 1).otherwise(0))
-               .withColumn("status", F.when(F.col("delta_pct").isNull(), "no_baseline")
-                                      .when(alert, "out_of_range").otherwise("in_range")))
+    alert = (delta > thr) | (delta < -thr)  # the exact value decides, the shown one is rounded
+    return out.select(*keys, "cand_cl", "cand_value", "base_cl", "base_value", F.round(delta, 6).alias("delta_pct"),
+                      F.coalesce(alert, F.lit(False)).alias("alert"), F.when(delta > 0, 1).otherwise(0).alias("flag"),
+                      F.when(delta.isNull(), "no_baseline").when(alert, "out_of_range").otherwise("in_range").alias("status"))
 
 
 def slower_than_previous(runs: DataFrame, threshold: float = DEFAULT_THRESHOLD,

@@ -33,7 +33,7 @@ lat as (select * from (select *, row_number() over (partition by test_case_name,
 bas as (select test_case_name, board, max(changelist) as base_cl, avg(min_value) as base_value from recs
         where changelist between {RANGE[0]} and {RANGE[1]} group by 1, 2),
 rng as (select l.test_case_name, l.board, b.base_cl, l.changelist as cand_cl, b.base_value from lat l join bas b using (test_case_name, board)
-        where round(100 * (l.min_value - b.base_value) / b.base_value, 6) > {THR}),
+        where 100 * (l.min_value - b.base_value) / b.base_value > {THR}),
 pos as (select r.test_case_name, r.board, r.changelist,
                cast(row_number() over (partition by r.test_case_name, r.board order by r.changelist) - 1 as bigint) as idx,
                r.min_value > a.base_value * (1 + {THR} / 100) as fail
@@ -105,19 +105,13 @@ def w10_nearest_buildable(spark, sf_dir):
     return B.nearest_buildable(builds, builds.select("changelist"), k=5)
 
 
-TOP_CTES = BISECT_CTES.replace(
-    f"""        where round(100 * (l.min_value - b.base_value) / b.base_value, 6) > {THR}),""",
-    f"""        where round(100 * (l.min_value - b.base_value) / b.base_value, 6) > {THR}
-        order by round(100 * (l.min_value - b.base_value) / b.base_value, 6) desc, l.test_case_name, l.board limit 10),""")
-
-
 @query("l2_nightly_culprits", _rec(with_fixtures("""
 select f.*, c.author, 'NO' as emailed from fin f left join changes c on f.culprit_cl = c.changelist
-""", "f1_runs", ctes=TOP_CTES + ",\nchanges as (" + CHANGES_SQL + ")")))
+""", "f1_runs", ctes=BISECT_CTES + ",\nchanges as (" + CHANGES_SQL + ")")))
 def l2_nightly_culprits(spark, sf_dir):
     from benchtrail.plans.nightly import nightly_report
     r = runs(spark, sf_dir)
-    return nightly_report(r, spark.sql(CHANGES_SQL), threshold=THR, top_k=10, cl_range=RANGE)["culprits"]
+    return nightly_report(r, spark.sql(CHANGES_SQL), threshold=THR, cl_range=RANGE)["culprits"]
 
 
 # the change axis is every build of the fixture; results exist only for the

@@ -20,7 +20,7 @@ CONFIGS = """select distinct user_id,
          case user_id % 4 when 0 then 'gnu' when 1 then 'icc' when 2 then 'rvct_cslibc' else 'c6run' end) as build_config,
   concat('bench_', case user_id % 7 when 0 then 'generic_float32' when 1 then 'armv7int_neon' when 2 then 'armv7int'
                    when 3 then 'c64plus' when 4 then 'ipp_float_interleaved' when 5 then 'ipp_float_non_interleaved' else 'sse4' end,
-         case when user_id % 11 = 0 then '_release' else '_dlb_profile' end) as executable
+         case when user_id % 11 = 0 then '_release' else '_cycle_profile' end) as executable
 from events"""
 
 
@@ -35,7 +35,7 @@ select user_id, executable,
        when executable like '%armv7int%' then 'armv7int' when executable like '%c64plus%' then 'c64plus'
        when executable like '%ipp_float_interleaved%' then 'ipp_float_interleaved'
        when executable like '%ipp_float_non_interleaved%' then 'ipp_float_non_interleaved' end as backend,
-  case when executable like '%dlb_profile%' then 'dlb_profile' end as target
+  case when executable like '%cycle_profile%' then 'cycle_profile' end as target
 from ({CONFIGS}) c
 """)
 def p5_derive_backend(spark, sf_dir):

@@ -32,7 +32,7 @@ select c.test_case_name, c.board, c.changelist as cand_cl, c.min_value as cand_v
        b.changelist as base_cl, b.min_value as base_value,
        round(100 * (c.min_value - b.min_value) / b.min_value, 6) as delta_pct
 from ranked c join ranked b on c.test_case_name = b.test_case_name and c.board = b.board and c.r = 1 and b.r = 2
-where round(100 * (c.min_value - b.min_value) / b.min_value, 6) > 10
+where 100 * (c.min_value - b.min_value) / b.min_value > 10
 """, "f1_runs", ctes=RANKED))
 def r1_regression_alert(spark, sf_dir):
     return R.slower_than_previous(runs(spark, sf_dir))
@@ -45,10 +45,10 @@ def _alerts_sql(cand_sql: str, base_sql: str) -> str:
     return with_fixtures(f"""
 select s.test_case_name, s.board, c.cand_cl, c.cand_value, b.base_cl, round(b.base_value, 6) as base_value,
        round(100 * (c.cand_value - b.base_value) / nullif(b.base_value, 0), 6) as delta_pct,
-       coalesce(abs(round(100 * (c.cand_value - b.base_value) / nullif(b.base_value, 0), 6)) > 10, false) as alert,
-       case when round(100 * (c.cand_value - b.base_value) / nullif(b.base_value, 0), 6) > 0 then 1 else 0 end as flag,
+       coalesce(abs(100 * (c.cand_value - b.base_value) / nullif(b.base_value, 0)) > 10, false) as alert,
+       case when 100 * (c.cand_value - b.base_value) / nullif(b.base_value, 0) > 0 then 1 else 0 end as flag,
        case when b.base_value is null or b.base_value = 0 then 'no_baseline'
-            when abs(round(100 * (c.cand_value - b.base_value) / b.base_value, 6)) > 10 then 'out_of_range'
+            when abs(100 * (c.cand_value - b.base_value) / b.base_value) > 10 then 'out_of_range'
             else 'in_range' end as status
 from (select distinct test_case_name, board from recs) s
 left join ({cand_sql}) c on s.test_case_name = c.test_case_name and s.board = c.board
@@ -84,7 +84,7 @@ select c.test_case_name, c.board, c.changelist as cand_cl, b.changelist as base_
        concat(cast(round(100 * (c.min_value - b.min_value) / b.min_value, 6) as varchar), ';', c.changelist, ',', b.changelist,
               ';', c.algorithm, ';', c.test_case_name, ';nightly;5.0') as record
 from ranked c join ranked b on c.test_case_name = b.test_case_name and c.board = b.board and c.r = 1 and b.r = 2
-where round(100 * (c.min_value - b.min_value) / b.min_value, 6) > 5
+where 100 * (c.min_value - b.min_value) / b.min_value > 5
 """, "f1_runs", ctes=RANKED))
 def r2_alert_records(spark, sf_dir):
     r = runs(spark, sf_dir)

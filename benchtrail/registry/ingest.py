@@ -224,7 +224,7 @@ def t1_ingest_logs(spark, sf_dir):
     from benchtrail.streaming import ingest as S
     folder = _write_logs(spark, sf_dir, "t1-logs")
     out = scratch_path(spark, f"t1-nodes-{uuid.uuid4().hex[:8]}")
-    S.ingest_logs(S.log_file_stream(spark, folder, "*.txt"), L.parse_profile_report, out, "t1-logs")
+    S.ingest_logs(S.log_file_stream(spark, folder, "*.txt"), L.parse_profile_report, out, f"{out}-checkpoint")
     nodes = spark.read.parquet(out)
     f = F.col("file")
     nodes = nodes.select("*", F.regexp_extract(f, LOG_PATH, 1).cast("bigint").alias("changelist"),

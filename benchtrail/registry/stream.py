@@ -50,7 +50,7 @@ def t1_dispatch_ingest(spark, sf_dir):
     d.register("error", errors)
     d.register("purchase", purchases)
     d.register("purchase", purchases)     # registered once only
-    S.run_available(stream, d, "t1")
+    S.run_available(stream, d, f"{out}-checkpoint")
     return spark.read.parquet(f"{out}/errors").unionByName(spark.read.parquet(f"{out}/purchases")).drop("batch_id")
 
 
@@ -62,7 +62,7 @@ def t2_gate(spark, sf_dir):
     builds = spark.sql(BUILDS_SQL)
     stream = S.file_stream(spark, sf_dir, "events").selectExpr(*RUN_EXPRS)
     out = _out(spark, "t2")
-    S.run_available(S.gate(stream, builds, "changelist").select("event_id", "changelist"), S.batch_writer(out), "t2")
+    S.run_available(S.gate(stream, builds, "changelist").select("event_id", "changelist"), S.batch_writer(out), f"{out}-checkpoint")
     return spark.read.parquet(out).drop("batch_id")
 
 
@@ -74,8 +74,8 @@ def t3_latest_record_stream(spark, sf_dir):
     agg = S.latest_record_stream(stream, H.RECORD,
                                  values=["updatetime", "event_id", "max_value", "min_value", "avg_value"])
     out = _out(spark, "t3a")
-    S.run_available(agg, S.snapshot_writer(out), "t3a", output_mode="complete")
-    return spark.read.parquet(out)
+    S.run_available(agg, S.batch_writer(out), f"{out}-checkpoint", output_mode="update")
+    return S.read_latest(spark, out, H.RECORD)
 
 
 @query("t3_usage_totals_stream", with_fixtures("""
@@ -86,5 +86,5 @@ def t3_usage_totals_stream(spark, sf_dir):
                .filter("l_partkey % 4 <> 3 or l_suppkey % 3 = 0").selectExpr(*USAGE_EXPRS))
     agg = S.usage_totals_stream(stream)
     out = _out(spark, "t3b")
-    S.run_available(agg, S.snapshot_writer(out), "t3b", output_mode="complete")
-    return spark.read.parquet(out).select("api", "changelist", F.col("total"))
+    S.run_available(agg, S.batch_writer(out), f"{out}-checkpoint", output_mode="update")
+    return S.read_latest(spark, out, ("api", "changelist"))

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from benchtrail.session import materialize
+
 # Table definitions (columns and keys of the result tables). Keys are
 # documented and checked by ``key_violations``; Spark does not enforce them.
 PROFILE_RUNS = T.StructType([
@@ -72,15 +74,12 @@ CSV_COLUMNS = ("test_case_name", "max_value", "min_value", "avg_value")
 
 def fan_out(df: DataFrame, paths: Sequence[str], csv_path: str | None = None) -> None:
     """K3: one frame to several tables plus a four-column CSV copy; the frame
-    is computed once (persisted across the writes)."""
-    df = df.persist()
-    try:
-        for p in paths:
-            df.write.mode("append").parquet(p)
-        if csv_path:
-            df.select(*CSV_COLUMNS).write.mode("overwrite").option("header", True).csv(csv_path)
-    finally:
-        df.unpersist()
+    is computed once."""
+    df = materialize(df, "fan-out")
+    for p in paths:
+        df.write.mode("append").parquet(p)
+    if csv_path:
+        df.select(*CSV_COLUMNS).write.mode("overwrite").option("header", True).csv(csv_path)
 
 
 def write_parallel(df: DataFrame, path: str, n: int, batch: int = 1000, fmt: str = "parquet",

@@ -9,14 +9,13 @@ output instead of appending twice.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benchtrail.operators.history import latest_record
-from benchtrail.session import scratch_path
+from benchtrail.session import materialize
 
 Handler = Callable[[DataFrame, int], None]
 
@@ -47,14 +46,11 @@ class Dispatcher:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if not self._handlers:
             return
-        kept = batch.filter(F.col(self.type_col).isin(self.types())).persist()
-        try:
-            for t in self.types():
-                part = kept.filter(F.col(self.type_col) == t)
-                for h in self._handlers[t]:
-                    h(part, batch_id)
-        finally:
-            kept.unpersist()
+        kept = materialize(batch.filter(F.col(self.type_col).isin(self.types())), "dispatch")
+        for t in self.types():
+            part = kept.filter(F.col(self.type_col) == t)
+            for h in self._handlers[t]:
+                h(part, batch_id)
 
 
 def batch_writer(path: str, transform: Callable[[DataFrame], DataFrame] | None = None) -> Handler:
@@ -66,24 +62,24 @@ def batch_writer(path: str, transform: Callable[[DataFrame], DataFrame] | None =
     return write
 
 
-def snapshot_writer(path: str) -> Handler:
-    """A handler for complete-mode results: the whole result replaces the
-    previous snapshot."""
-    def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(path)
-    return write
+def read_latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """The newest row of each key among the batches that a ``batch_writer``
+    wrote for an update-mode stream: every batch holds the keys it changed,
+    so a failed write never touches an earlier state."""
+    rows = spark.read.parquet(path)
+    values = [c for c in rows.columns if c not in (*keys, "batch_id")]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_v"))
+    return newest.select(*keys, *[F.col("_v")[c].alias(c) for c in values])
 
 
-def run_available(stream: DataFrame, sink: Handler, name: str, output_mode: str = "append") -> str:
+def run_available(stream: DataFrame, sink: Handler, checkpoint: str, output_mode: str = "append") -> None:
     """Run ``stream`` over everything available now (then stop) into the
-    foreachBatch ``sink``; the checkpoint lives in the shared folder.
-    Returns the checkpoint path."""
-    spark = stream.sparkSession
-    ckpt = scratch_path(spark, f"streams/{name}-{uuid.uuid4().hex[:8]}")
+    foreachBatch ``sink``. ``checkpoint`` names the stream for good: a later
+    run with it continues after the last batch (new batch ids, only new
+    files); it has to lie in a folder that all executors share."""
     q = (stream.writeStream.outputMode(output_mode).foreachBatch(sink)
-               .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+               .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return ckpt
 
 
 def file_stream(spark: SparkSession, folder: str, name: str, max_files: int | None = None) -> DataFrame:
@@ -136,8 +132,10 @@ def log_file_stream(spark: SparkSession, folder: str, glob: str = "*.log", max_f
                      F.regexp_replace("line", "\r$", "").alias("line"))
 
 
-def ingest_logs(lines_stream: DataFrame, to_rows: Callable[[DataFrame], DataFrame], out: str, name: str) -> str:
+def ingest_logs(lines_stream: DataFrame, to_rows: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> None:
     """T1 for log files: every micro-batch of new logs is turned into rows by
     ``to_rows`` (e.g. parse + loop merge) and written under
-    ``out/batch_id=<id>`` (a replayed batch replaces its own output)."""
-    return run_available(lines_stream, batch_writer(out, to_rows), name)
+    ``out/batch_id=<id>`` (a replayed batch replaces its own output). Run
+    again with the same ``checkpoint``, it reads only new logs and keeps what
+    earlier runs wrote."""
+    run_available(lines_stream, batch_writer(out, to_rows), checkpoint)

@@ -126,14 +126,18 @@ def test_stream_latest_record_equals_batch(spark, tmp_dir):
     src = os.path.join(tmp_dir, "src")
     rows = [(f"c{i % 5}", i % 3, i, float(i)) for i in range(60)]
     df = spark.createDataFrame(rows, "k string, cl bigint, event_id bigint, v double").withColumn("updatetime", F.col("event_id").cast("timestamp"))
-    df.repartition(3).write.parquet(src)
+    df.filter("event_id < 40").repartition(3).write.parquet(src)
     stream = spark.readStream.schema(df.schema).parquet(src)
     agg = S.latest_record_stream(stream, ["k", "cl"], values=["v"])
     out = os.path.join(tmp_dir, "snap")
-    S.run_available(agg, S.snapshot_writer(out), f"t3-{uuid.uuid4().hex[:6]}", output_mode="complete")
+    checkpoint = os.path.join(tmp_dir, "checkpoint")
+    S.run_available(agg, S.batch_writer(out), checkpoint, output_mode="update")
+    df.filter("event_id >= 40").write.mode("append").parquet(src)         # a restart continues from the state
+    S.run_available(S.latest_record_stream(spark.readStream.schema(df.schema).parquet(src), ["k", "cl"], values=["v"]),
+                    S.batch_writer(out), checkpoint, output_mode="update")
     from benchtrail.operators.history import latest_record
     batch = {(r.k, r.cl): r.v for r in latest_record(df, ["k", "cl"], values=["v"]).collect()}
-    assert {(r.k, r.cl): r.v for r in spark.read.parquet(out).collect()} == batch
+    assert {(r.k, r.cl): r.v for r in S.read_latest(spark, out, ["k", "cl"]).collect()} == batch
 
 
 def test_append_known_and_tables(spark, tmp_dir):
@@ -144,3 +148,35 @@ def test_append_known_and_tables(spark, tmp_dir):
     K.append_known(df, f"{prefix}notification")
     r = spark.table(f"{prefix}notification").first()
     assert (r.changelist, r.author, r.emailed, r.ack) == (5, "dev", "NO", None)
+
+
+def sections(*parts):
+    """Log text: "t" / "e" open and close a threshold / error section around the metrics given."""
+    out = []
+    for kind, metrics in parts:
+        out.append(A.THR_OPEN if kind == "t" else A.ERR_OPEN + " per band")
+        out += [f"Largest {t} power error:  * {v} dB" for t, v in metrics]
+        out.append(A.THR_CLOSE if kind == "t" else A.ERR_CLOSE)
+    return "\n".join(out)
+
+
+def test_section_counts_decide_on_acceptance(spark):
+    ok = [("average", 0.1)]
+    lines = lines_df(spark, {
+        "even": sections(("t", ok), ("e", ok)), "none": "nothing", "more_thr": sections(("t", ok), ("t", []), ("e", ok)),
+        "empty_pair": sections(("t", []), ("e", []), ("t", ok), ("e", ok)), "unclosed": sections(("t", ok), ("e", ok)) + "\n" + A.THR_OPEN,
+        "only_empty": sections(("t", [])), "nested": A.THR_OPEN + "\n" + sections(("e", ok))})
+    metrics, errors = A.parse_metric_sections(lines)
+    got = {r.file: (r.case_error, r.accepted) for r in A.accept_cases(A.pair_metrics(metrics), errors, cases=lines).collect()}
+    good, bad = (False, True), (True, False)
+    assert got == {"even": good, "none": good, "more_thr": bad, "empty_pair": good, "unclosed": good, "only_empty": bad, "nested": bad}
+
+
+def test_tools_of_deep_chains_and_cycles(spark):
+    step = [("eval", "X")]
+    rows = [(f"n{i}", f"n{i + 1}" if i < 300 else None, step if i == 300 else []) for i in range(301)]
+    rows += [("a", "b", []), ("b", "a", []), ("c", "a", []), ("d", "missing", [])]
+    specs = spark.createDataFrame(rows, "id string, parent string, steps array<struct<type: string, processor: string>>")
+    got = {r.id: (r.tool, r.cycle) for r in A.resolve_tools(specs).collect()}
+    assert all(got[f"n{i}"] == ("X", False) for i in range(301))
+    assert got["a"] == got["b"] == got["c"] == (None, True) and got["d"] == (None, False)

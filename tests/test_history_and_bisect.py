@@ -168,3 +168,27 @@ def test_group_median_equals_percentile_with_hot_group(spark):
     a = {r.k: r.m for r in group_median(df, "k", "v", "m", partitions=5).collect()}
     b = {r.k: r.m for r in df.groupBy("k").agg(F.median("v").alias("m")).collect()}
     assert a == b and a["two"] == 2.5
+
+
+def test_alerts_compare_the_exact_delta(spark):
+    from benchtrail.plans.regression import regression_alerts
+    df = runs(spark, [("fft_a_16", "b", 1, 1, 1, 100.0), ("fft_a_16", "b", 2, 2, 2, 110.0000003),
+                      ("fft_b_16", "b", 1, 1, 3, 100.0), ("fft_b_16", "b", 2, 2, 4, 110.0)])
+    got = {r.test_case_name: (r.alert, r.delta_pct, r.status) for r in regression_alerts(df, threshold=10).collect()}
+    assert got == {"fft_a_16": (True, 10.0, "out_of_range"), "fft_b_16": (False, 10.0, "in_range")}
+
+
+def test_report_rows_of_odd_case_names(spark):
+    df = runs(spark, [("fft_1", "b", 1, 1, 1, 100.0), ("fft_x", "b", 1, 1, 2, 100.0), ("fft_16", "b", 1, 1, 3, 640.0)])
+    df = df.withColumn("algorithm", F.lit("fft"))
+    for variant in ("nightly", "two_build"):
+        got = {r.test_case_name: r.third for r in H.report_rows(df, variant=variant).collect()}
+        assert got == {"fft_1": None, "fft_x": None, "fft_16": 2.0}
+
+
+def test_frame_that_never_ran_scales_nothing(spark):
+    from benchtrail.operators.merge import scale_to_frame
+    df = spark.createDataFrame([("f", "frame", 0, 8.0, 2.0, 4.0), ("f", "n", 5, 8.0, 2.0, 4.0), ("g", "frame", 2, 8.0, 2.0, 4.0), ("g", "n", 5, 8.0, 2.0, 4.0)],
+                               "file string, name string, num_calls bigint, max double, min double, avg double")
+    got = {(r.file, r.name): r.max for r in scale_to_frame(df, "frame").collect()}
+    assert got == {("f", "frame"): 8.0, ("f", "n"): 8.0, ("g", "frame"): 8.0, ("g", "n"): 24.0}

@@ -50,9 +50,17 @@ def test_log_stream_ingest(spark, tmp_dir):
         with open(os.path.join(src, name), "w") as f:
             f.write(text)
     out = os.path.join(tmp_dir, "nodes")
-    S.ingest_logs(S.log_file_stream(spark, src), L.parse_profile_report, out, "plans-test")
+    checkpoint = os.path.join(tmp_dir, "checkpoint")
+    S.ingest_logs(S.log_file_stream(spark, src), L.parse_profile_report, out, checkpoint)
     got = {(os.path.basename(r.file), r.name): r.min for r in spark.read.parquet(out).collect()}
     assert got[("a.log", "fir")] == 100.0 and got[("b.log", "fir")] == 90.0 and len(got) == 6
+    # a later run with the same checkpoint keeps these and reads the new file only
+    os.remove(os.path.join(src, "a.log"))
+    with open(os.path.join(src, "c.log"), "w") as f:
+        f.write(LOOP3)
+    S.ingest_logs(S.log_file_stream(spark, src), L.parse_profile_report, out, checkpoint)
+    rows = [os.path.basename(r.file) for r in spark.read.parquet(out).collect()]
+    assert len(rows) == 9 and {f: rows.count(f) for f in set(rows)} == {"a.log": 3, "b.log": 3, "c.log": 3}
 
 
 def test_nightly_report(spark):

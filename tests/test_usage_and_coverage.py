@@ -125,3 +125,13 @@ def test_usage_relations_of_irregular_logs(spark):
     assert got[3] == {0: ("a", None, 0), 1: ("b", 0, 1), 2: ("b", 0, 1), 3: ("c", 2, 3), 5: ("d", 2, 2), 7: ("e", 0, 1)}
     assert got[4][30 - 1] == ("n29", 28, 29) and got[4][59] == ("last", 0, 1) and len(got[4]) == 31
     assert got[5] == {} and got[6] == {0: ("only", None, 0)}
+
+
+def test_token_match_of_names_of_any_characters(spark):
+    names = ["foo", "ns::fn", "a$b", "x-y", "operator+", "dith", "+", "arg::one", "start", "a.b"]
+    lines = ["lineCov z foo(1)", "lineCov q=ns::fn(x)", "lineCov t a$b|", "lineCov x-y", "lineCov operator+ 1", "lineCov e_dith(2)", "lineCov f(arg::one, 2)",
+             "start lineCov", "lineCov axb "]
+    apis = spark.createDataFrame([(n,) for n in names], "api string")
+    report = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = {r.api for r in V.token_match(apis, report).collect()}
+    assert got == {"foo", "ns::fn", "a$b", "x-y", "operator+", "arg::one", "+"}   # "+" ends "operator+"
