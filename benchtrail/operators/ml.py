@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, Transformer
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, NaiveBayes, OneVsRest,
                                        RandomForestClassifier)
@@ -96,6 +96,18 @@ def rff_transform(df: DataFrame, features: str, dim: int, gamma: float, n_compon
     return df.withColumn(out, array_to_vector(rff(arr)))
 
 
+class NonNegative(Transformer):
+    """Rows outside the range that a scaler was fitted on can come out below 0; naive Bayes counts them as 0."""
+
+    def __init__(self, column: str):
+        super().__init__()
+        self.column = column
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        kept = F.transform(vector_to_array(self.column), lambda x: F.greatest(x, F.lit(0.0)))
+        return df.withColumn(self.column, array_to_vector(kept))
+
+
 # --- estimators -------------------------------------------------------------------
 
 def estimators(n_features: int, n_classes: int, features: str = "features", label: str = "label",
@@ -105,7 +117,7 @@ def estimators(n_features: int, n_classes: int, features: str = "features", labe
 
     def nb():
         scaled = f"{features}_scaled"
-        return Pipeline(stages=[MinMaxScaler(inputCol=features, outputCol=scaled),
+        return Pipeline(stages=[MinMaxScaler(inputCol=features, outputCol=scaled), NonNegative(scaled),
                                 NaiveBayes(featuresCol=scaled, labelCol=label, smoothing=0.01, modelType="multinomial")])
 
     def gbt():
@@ -195,13 +207,25 @@ def bake_off(train: DataFrame, test: DataFrame, makers: dict[str, Callable[[], o
             secs = time.time() - t0
             pred = model.transform(test).select(F.col(label).cast("double").alias("_t"),
                                                 F.col("prediction").cast("double").alias("_p"))
-            m = confusion_metrics(pred, "_t", "_p", 1.0).first()
+            m = confusion_metrics(pred, "_t", "_p", 1.0).withColumn("n", F.lit(pred.count())).first()
             if save_dir:
                 model.write().overwrite().save(f"{save_dir.rstrip('/')}/{name}")
             rows.append((name, float(secs), float(m["accuracy"] or 0.0),
                          float(m["precision"]) if binary and m["precision"] is not None else None,
-                         float(m["recall"]) if binary and m["recall"] is not None else None, None))
+                         float(m["recall"]) if binary and m["recall"] is not None else None, m["n"], None))
         except Exception as e:  # recorded, not swallowed
-            rows.append((name, float(time.time() - t0), None, None, None, f"{type(e).__name__}: {e}"))
-    schema = "model string, seconds double, accuracy double, precision double, recall double, error string"
+            rows.append((name, float(time.time() - t0), None, None, None, None, f"{type(e).__name__}: {e}"))
+    schema = "model string, seconds double, accuracy double, precision double, recall double, n_scored long, error string"
     return train.sparkSession.createDataFrame(rows, schema)
+
+
+def component_summary(projected: DataFrame, k: int, column: str = "pca") -> DataFrame:
+    """M13 summary of a projection: rows, components, whether their variances
+    don't increase and whether no two of them are correlated."""
+    parts = projected.select(*[vector_to_array(column)[i].alias(f"c{i}") for i in range(k)])
+    pairs = [(i, j) for i in range(k) for j in range(i)]
+    s = parts.agg(F.count(F.lit(1)).alias("n_rows"), *[F.variance(f"c{i}").alias(f"v{i}") for i in range(k)],
+                  *[F.abs(F.corr(f"c{i}", f"c{j}")).alias(f"r{i}_{j}") for i, j in pairs])
+    ordered = [F.col(f"v{i}") <= F.col(f"v{i - 1}") * (1 + 1e-9) for i in range(1, k)]
+    return s.select("n_rows", F.lit(k).alias("n_components"), F.forall(F.array(*ordered), lambda x: x).alias("ordered"),
+                    (F.greatest(*[F.col(f"r{i}_{j}") for i, j in pairs]) < 1e-6).alias("uncorrelated"))

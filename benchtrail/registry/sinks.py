@@ -49,25 +49,27 @@ def k7_report_csv(spark, sf_dir):
 
 
 @query("k9_partition_by_algorithm", with_fixtures("""
-select test_case_name, board, changelist, min_value from recs where test_case_name like 'fft%'
+select test_case_name, algorithm, board, changelist, min_value from recs
 """, "f1_runs", ctes=RECS))
 def k9_partition_by_algorithm(spark, sf_dir):
     out = _dir(spark, "k9")
     recs = H.latest_record(runs(spark, sf_dir), H.RECORD, values=["algorithm", "min_value"])
     K.partition_by_algorithm(recs, out)
-    # the algorithm filter prunes to one folder
-    return spark.read.parquet(out).filter(F.col("algorithm") == "fft").select("test_case_name", "board", "changelist", "min_value")
+    return spark.read.parquet(out).select("test_case_name", "algorithm", "board", "changelist", "min_value")
 
 
 @query("k3_fan_out", with_fixtures("""
-select test_case_name, max_value, min_value, avg_value from f1_runs
+select t as target, test_case_name, max_value, min_value, avg_value from f1_runs cross join (select unnest(['t1', 't2', 'csv']) as t) x
 """, "f1_runs"))
 def k3_fan_out(spark, sf_dir):
     out = _dir(spark, "k3")
     r = runs(spark, sf_dir)
     K.fan_out(r, [f"{out}/t1", f"{out}/t2"], f"{out}/csv")
     schema = "test_case_name string, max_value double, min_value double, avg_value double"
-    return spark.read.schema(schema).option("header", True).csv(f"{out}/csv")
+    cols = [c.split()[0] for c in schema.split(", ")]
+    read = [spark.read.parquet(f"{out}/{t}").select(F.lit(t).alias("target"), *cols) for t in ("t1", "t2")]
+    csv = spark.read.schema(schema).option("header", True).csv(f"{out}/csv")
+    return read[0].unionByName(read[1]).unionByName(csv.select(F.lit("csv").alias("target"), *cols))
 
 
 @query("k2_write_table", with_fixtures("""
