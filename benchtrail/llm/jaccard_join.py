@@ -17,10 +17,12 @@ found on the level that satisfies the first of the two, where both are
 indexed. The sample thus changes costs, never results.
 
 Signatures are shuffled in packed blocks. Candidates are verified by the exact
-intersection of their sets (of 64-bit shingle hashes). Sets that agree on a
-signature are compared with one of them; where that leaves them in different
-components, they are compared with each other, so no link between components
-is lost and groups of copies aren't expanded into pairs.
+intersection of their sets (of 64-bit shingle hashes). Where many sets agree
+on a signature, they are compared with one of them only. If that leaves them
+in different components, the signature is open: a set that has enough other
+signatures does without it, and the sets that don't are compared with each
+other, in blocks. So no link between components is lost, and groups aren't expanded into
+pairs.
 
 Defined results: a null, empty or blank text has an empty set and is linked
 with nothing; equal sets are one node (by a 64-bit key); rows of one id are
@@ -50,8 +52,10 @@ NUM, DEN = 75, 100
 SAMPLE, FREQUENT, MAX_FREQUENT = 4000, 8, 100_000
 #: up to so many sets of one signature are compared with each other, more with one of them first
 SMALL = 4
+#: least parity bits of a set, and sets of a cluster that are compared with each other at a time
+BITS, BLOCK = 1024, 2048
 #: signatures a task packs at a time, and blocks per shuffle partition
-PACK, BLOCKS = 2_000_000, 4
+PACK, BLOCKS = 2_000_000, 1
 LOW = np.uint64(2**48 - 1)
 
 
@@ -70,11 +74,13 @@ def _tags(sums: np.ndarray, segment: np.ndarray, scheme: int, level: int) -> np.
     return mix(sums * np.uint64(0xD6E8FEB86659FD93) + mix(segment + np.uint64((scheme << 40) + (level << 56))))
 
 
-def signatures(x: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """All signatures of a set (sorted token hashes), given the sorted frequent tokens."""
-    n, out = len(x), []
+def signatures(x: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, int]:
+    """All signatures of a set (sorted token hashes), given the sorted frequent
+    tokens; and its slack: without that many of them, the others still find
+    all similar sets."""
+    n, out, slack = len(x), [], 2**31 - 1
     if not n:
-        return x
+        return x, slack
     k = bisect_right(EDGES, n) - 1
     schemes = [(k, differ(n, n * DEN // NUM))]  # the smaller set of a pair names its scheme
     if k and n * NUM <= (EDGES[k] - 1) * DEN:
@@ -102,24 +108,40 @@ def signatures(x: np.ndarray, frequent: np.ndarray) -> np.ndarray:
                 left = rares[back] - c > 0
                 out.append(_tags((sums[back] - z)[left], segment[left], scheme, level))
             # a segment of two rare tokens still has one after a deletion
-            if (rares > min(level, 1)).sum() > (most if level == 0 else most // 2):
+            spare = int((rares > min(level, 1)).sum()) - (most if level == 0 else most // 2) - 1
+            if spare >= 0:
+                slack = min(slack, spare)
                 break
-    return np.concatenate(out) if out else x[:0]
+    return np.unique(np.concatenate(out)) if out else x[:0], slack
+
+
+def parity_bits(x: np.ndarray) -> bytes:
+    """A bit per hash value that tells whether an odd number of tokens has it."""
+    size = max(BITS, 1 << int(2 * len(x)).bit_length())
+    return np.packbits(np.bincount((x & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1, bitorder="little").tobytes()
+
+
+def _may_be_similar(p: bytes, q: bytes, n: int, m: int) -> bool:
+    """No similar sets are refused: every bit in which two parities differ takes a token that only one set has."""
+    a, b = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
+    size = min(len(a), len(b))
+    odd = np.bitwise_xor.reduce(a.reshape(-1, size), axis=0) ^ np.bitwise_xor.reduce(b.reshape(-1, size), axis=0)
+    return min(n, m) * DEN >= NUM * max(n, m) and int(np.bitwise_count(odd).sum()) <= differ(n, m)
 
 
 def set_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text_hash, n, u) per document: size and key of its shingle set."""
+    """(id, text_hash, n, u, bits) per document: size, key and parities of its shingle set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = (shingle_set(t.as_py()) for t in b.column(2))
-            rows = [(len(s), set_key(s)) for s in sets]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1))],
-                                             ["id", "text_hash", "n", "u"])
+            rows = [(len(s), set_key(s), parity_bits(s)) for s in sets]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array([r[i] for r in rows], k) for i, k in enumerate(
+                (pa.int64(), pa.int64(), pa.binary())))], ["id", "text_hash", "n", "u", "bits"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return (docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-            .mapInArrow(run, f"id {kind}, text_hash long, n long, u long"))
+            .mapInArrow(run, f"id {kind}, text_hash long, n long, u long, bits binary"))
 
 
 def _sets(texts: DataFrame) -> DataFrame:
@@ -156,7 +178,7 @@ def _signature_key(bucket, low: np.ndarray) -> np.ndarray:
     return (low ^ (np.asarray(bucket).astype(np.uint64) << np.uint64(48))).astype(np.int64)
 
 
-PACKED = "bucket int, low binary, doc binary, keys binary, large binary, star binary, members binary"
+PACKED = "bucket int, low binary, doc binary, keys binary, slack binary, large binary, star binary, members binary"
 
 
 def packed_signatures(texts: DataFrame, buckets: int, frequent: np.ndarray) -> DataFrame:
@@ -167,8 +189,10 @@ def packed_signatures(texts: DataFrame, buckets: int, frequent: np.ndarray) -> D
     of a large signature through any bucket, so no bucket grows with a group.
     """
 
-    def pack(sigs: list, keys: list) -> pa.RecordBatch:
+    def pack(sigs: list, keys: list, slacks: list) -> pa.RecordBatch:
         u = np.repeat(np.array(keys, np.int64), [len(s) for s in sigs])
+        order = np.argsort(np.array(keys, np.int64))
+        known, spare = np.array(keys, np.int64)[order], np.array(slacks, np.int64)[order]
         sig = np.concatenate(sigs)
         order = np.lexsort((u, sig))
         sig, u = sig[order], u[order]
@@ -180,7 +204,7 @@ def packed_signatures(texts: DataFrame, buckets: int, frequent: np.ndarray) -> D
         bucket = (((sig >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
         low = sig & LOW
         star = np.unique(np.stack([np.repeat(u[first], size)[large & ~head], u[large & ~head]], axis=1), axis=0)
-        members = np.stack([_signature_key(bucket, low)[large], u[large]], axis=1)
+        members = np.stack([_signature_key(bucket, low)[large], u[large], spare[np.searchsorted(known, u[large])]], axis=1)
         ship = ~large | head
         bucket, low, u, flag = bucket[ship], low[ship], u[ship], large[ship]
         rows = []
@@ -189,34 +213,35 @@ def packed_signatures(texts: DataFrame, buckets: int, frequent: np.ndarray) -> D
             i = slice(at[b], at[b + 1])
             names, place = np.unique(u[i], return_inverse=True)
             rows.append((int(b), _six(low[i]), place.astype("<u4" if len(names) > 65535 else "<u2").tobytes(), names.tobytes(),
-                         low[i][flag[i]].tobytes(), b"", b""))
+                         spare[np.searchsorted(known, names)].astype("<i4").tobytes(), low[i][flag[i]].tobytes(), b"", b""))
         through = int(np.uint64(mix(np.array(keys[:1], np.int64).astype(np.uint64))[0]) % np.uint64(buckets))
         for part in range(0, max(len(star), len(members)), 100_000):
-            rows.append(((through + part // 100_000) % buckets, b"", b"", b"", b"", star[part:part + 100_000].tobytes(),
+            rows.append(((through + part // 100_000) % buckets, b"", b"", b"", b"", b"", star[part:part + 100_000].tobytes(),
                          members[part:part + 100_000].tobytes()))
         cols = list(zip(*rows))
         return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])],
                                           [c.split()[0] for c in PACKED.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sigs, keys, seen, total = [], [], set(), 0
+        sigs, keys, slacks, seen, total = [], [], [], set(), 0
         for b in batches:
             for t in b.column(0):
                 x = shingle_set(t.as_py())
                 key = set_key(x)
                 if key in seen:
                     continue
-                s = np.unique(signatures(x, frequent))
+                s, slack = signatures(x, frequent)
                 if len(s):
                     seen.add(key)
                     sigs.append(s)
                     keys.append(key)
+                    slacks.append(slack)
                     total += len(s)
                 if total >= PACK:
-                    yield pack(sigs, keys)
-                    sigs, keys, seen, total = [], [], set(), 0
+                    yield pack(sigs, keys, slacks)
+                    sigs, keys, slacks, seen, total = [], [], [], set(), 0
         if sigs:
-            yield pack(sigs, keys)
+            yield pack(sigs, keys, slacks)
 
     return texts.mapInArrow(run, PACKED)
 
@@ -232,25 +257,27 @@ def _from_six(raw: bytes) -> np.ndarray:
 
 
 def meet(packed: DataFrame) -> DataFrame:
-    """(kind, a, b): candidate pairs (kind 0), and members b of large signatures a (kind 1)."""
+    """(kind, a, b, slack): candidate pairs (kind 0), and members b of large signatures a (kind 1)."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        lows, us, large, pairs, members = [], [], [np.zeros(0, np.uint64)], [], []
+        lows, us, slacks, large, pairs, members = [], [], [], [np.zeros(0, np.uint64)], [], []
         for r in rows.itertuples():
             if r.low:
                 names, low = np.frombuffer(r.keys, np.int64), _from_six(r.low)
                 lows.append(low)
-                us.append(names[np.frombuffer(r.doc, "<u4" if len(names) > 65535 else "<u2")])
+                place = np.frombuffer(r.doc, "<u4" if len(names) > 65535 else "<u2")
+                us.append(names[place])
+                slacks.append(np.frombuffer(r.slack, "<i4")[place])
                 large.append(np.frombuffer(r.large, np.uint64))
             if r.star or r.members:
                 pairs.append(np.frombuffer(r.star, np.int64).reshape(-1, 2))
-                members.append(np.frombuffer(r.members, np.int64).reshape(-1, 2))
+                members.append(np.frombuffer(r.members, np.int64).reshape(-1, 3))
         if lows:
-            low, u = np.concatenate(lows), np.concatenate(us)
+            low, u, spare = np.concatenate(lows), np.concatenate(us), np.concatenate(slacks).astype(np.int64)
             order = np.lexsort((u, low))
-            low, u = low[order], u[order]
+            low, u, spare = low[order], u[order], spare[order]
             fresh = np.append(True, (low[1:] != low[:-1]) | (u[1:] != u[:-1]))  # one set may come from several tasks
-            low, u = low[fresh], u[fresh]
+            low, u, spare = low[fresh], u[fresh], spare[fresh]
             first = _group_starts(low)
             size = np.diff(np.append(first, len(low)))
             big = (size > SMALL) | np.isin(low[first], np.concatenate(large))
@@ -258,67 +285,111 @@ def meet(packed: DataFrame) -> DataFrame:
                 near = np.flatnonzero((low[d:] == low[:-d]) & ~np.repeat(big, size)[d:])
                 pairs.append(np.stack([u[near], u[near + d]], axis=1))
             tail = np.repeat(big, size)
-            members.append(np.stack([_signature_key(np.full(int(tail.sum()), rows["bucket"].iloc[0]), low[tail]), u[tail]], axis=1))
+            members.append(np.stack([_signature_key(np.full(int(tail.sum()), rows["bucket"].iloc[0]), low[tail]), u[tail], spare[tail]], axis=1))
             tail[first] = False
             pairs.append(np.stack([np.repeat(u[first], size)[tail], u[tail]], axis=1))
         found = np.unique(np.sort(np.concatenate(pairs), axis=1), axis=0)
         found = found[found[:, 0] != found[:, 1]]
         member = np.concatenate(members)
-        both = np.concatenate([found, member])
-        return pd.DataFrame({"kind": np.repeat([0, 1], [len(found), len(member)]).astype(np.int32), "a": both[:, 0], "b": both[:, 1]})
+        both = np.concatenate([np.insert(found, 2, 0, axis=1), member])
+        return pd.DataFrame({"kind": np.repeat([0, 1], [len(found), len(member)]).astype(np.int32),
+                             "a": both[:, 0], "b": both[:, 1], "slack": both[:, 2]})
 
-    return packed.groupBy("bucket").applyInPandas(run, "kind int, a long, b long")
+    return packed.groupBy("bucket").applyInPandas(run, "kind int, a long, b long, slack long")
 
 
-def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of keys whose sets are similar."""
+def _checked(pairs: DataFrame, left: DataFrame, right: DataFrame, test) -> DataFrame:
+    """The pairs (a, b) that pass ``test`` on the columns that come with a and b."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = []
-            for x, y in zip(b.column(2), b.column(3)):
-                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if min(len(p), len(q)) * DEN < NUM * max(len(p), len(q)):
-                    keep.append(False)
-                    continue
-                at = np.searchsorted(q, p)
-                same = int((q[np.minimum(at, len(q) - 1)] == p).sum())
-                keep.append(DEN * same >= NUM * (len(p) + len(q) - same))
+            keep = [test(*(c.as_py() for c in row)) for row in zip(*(b.column(i) for i in range(2, b.num_columns)))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    one = sets.select(F.col("u").alias("a"), F.col("members").alias("x"))
-    two = sets.select(F.col("u").alias("b"), F.col("members").alias("y"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", *left.columns[1:], *right.columns[1:]).mapInArrow(run, "a long, b long")
+
+
+def _similar(x: bytes, y: bytes) -> bool:
+    p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    same = int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum())
+    return DEN * same >= NUM * (len(p) + len(q) - same)
+
+
+def verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The pairs (a, b) of keys whose sets are similar: first by sizes and
+    parities, a thirtieth of the sets, then by the sets themselves, built anew
+    from the texts of what is left."""
+    side = lambda x, y: firsts.select(F.col("u").alias(x), *[F.col(c).alias(f"{c}{y}") for c in ("bits", "n")])
+    likely = stored(_checked(pairs, side("a", 1), side("b", 2), lambda p, n, q, m: _may_be_similar(p, q, n, m)), "likely")
+    keys = likely.select(F.col("a").alias("u")).union(likely.select("b")).distinct()
+    first = firsts.join(keys, "u").select(F.col("d.id").alias("first_id"), F.col("d.text_hash").alias("first_hash"))
+    wanted = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text")).join(
+        first, F.col("id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))).select("text")
+    sets = stored(_sets(wanted).dropDuplicates(["u"]), "sets")
+    members = lambda x, y: sets.select(F.col("u").alias(x), F.col("members").alias(y))
+    return stored(_checked(likely, members("a", "x"), members("b", "y"), _similar), "linked")
 
 
 def links(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Links (a, b) between the keys of different sets that give all components."""
-    spark = docs.sparkSession
     texts = docs.select(F.col(text_col).alias("text")).filter("text is not null")
     frequent = frequent_tokens(texts, rows.count())
-    buckets = BLOCKS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = BLOCKS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = stored(meet(packed_signatures(texts, buckets, frequent)), "met")
     pairs = stored(met.filter("kind = 0").select("a", "b").distinct(), "candidates")
-    # the sets of all candidates, each from one of its documents
-    keys = pairs.select(F.col("a").alias("u")).union(met.filter("kind = 1").select(F.col("b").alias("u"))).union(pairs.select("b")).distinct()
-    first = rows.join(keys, "u").groupBy("u").agg(F.min(F.struct("id", "text_hash")).alias("d"))
-    first = first.select(F.col("d.id").alias("first_id"), F.col("d.text_hash").alias("first_hash"))
-    wanted = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text")).join(
-        first, F.col("id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))).select("text")
-    sets = stored(_sets(wanted).dropDuplicates(["u"]), "sets")
-    linked = stored(similar(pairs, sets), "linked")
-    # large signatures whose sets are still in several components: compare across
-    roots = components(linked)
-    members = met.filter("kind = 1").select(F.col("a").alias("sig"), F.col("b").alias("u")).distinct()
-    rooted = members.join(roots.withColumnRenamed("node", "u"), "u", "left").withColumn("root", F.coalesce("root", "u"))
-    open_ = rooted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("sig")
-    rest = stored(rooted.join(open_, "sig"), "open")
+    firsts = stored(rows.groupBy("u").agg(F.min(F.struct("id", "text_hash")).alias("d"), F.first("n").alias("n"), F.first("bits").alias("bits")), "firsts")
+    linked = verified(pairs, firsts, docs, id_col, text_col)
+    # large signatures whose sets are in several components are open. A set that its other
+    # signatures suffice for is done; the open sets left are compared across components
+    members = met.filter("kind = 1").select(F.col("a").alias("sig"), F.col("b").alias("u"), "slack").distinct()
+    rooted = members.join(components(linked).withColumnRenamed("node", "u"), "u", "left").withColumn("root", F.coalesce("root", "u"))
+    rooted = stored(rooted, "members")
+    several = rooted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("sig")
+    open_ = stored(rooted.join(several, "sig"), "open")
+    unsafe = open_.groupBy("u").agg(F.count(F.lit(1)).alias("k"), F.min("slack").alias("spare")).filter("k > spare").select("u")
+    rest = stored(open_.join(unsafe, "u").select("sig", "u", "root"), "unsafe")
     if rest.isEmpty():
         return linked
-    other = rest.select("sig", F.col("u").alias("b"), F.col("root").alias("other"))
-    across = (rest.select("sig", F.col("u").alias("a"), "root").join(other, "sig").filter("a < b and root != other")
-              .select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"))
-    return linked.unionByName(stored(similar(across, sets), "linked-across"))
+    across = across_roots(rest, firsts).join(pairs, ["a", "b"], "left_anti")
+    return linked.unionByName(verified(across, firsts, docs, id_col, text_col))
+
+
+def across_roots(rest: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different roots within the clusters that signatures
+    join (sig, u, root), as far as sizes and parities allow.
+
+    Sets of one cluster share many signatures, so each cluster is compared
+    once, in blocks against blocks, instead of once per signature; only the
+    pairs that may be similar leave a task.
+    """
+    lead = rest.groupBy("sig").agg(F.min("u").alias("b"))
+    clusters = components(rest.join(lead, "sig").select(F.col("u").alias("a"), "b"))
+    sets = (rest.select("u", "root").distinct().join(clusters.select(F.col("node").alias("u"), F.col("root").alias("cluster")), "u")
+            .join(firsts.select("u", "n", "bits"), "u"))
+    blocks = clusters.groupBy(F.col("root").alias("cluster")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    spread = sets.join(blocks, "cluster").withColumn("own", F.pmod(F.xxhash64("u"), F.col("blocks")).cast("int"))
+    spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    spread = spread.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        u, root, n, own = (rows[c].to_numpy() for c in ("u", "root", "n", "own"))
+        odd = np.stack([np.bitwise_xor.reduce(np.frombuffer(b, np.uint64).reshape(-1, BITS // 64), axis=0) for b in rows["bits"]])
+        signs = 1 - 2 * np.unpackbits(odd.view(np.uint8), axis=1).astype(np.float32)
+        out = []
+        for at in range(0, len(u), 512):
+            few = slice(at, at + 512)
+            differing = (BITS - signs[few] @ signs.T) / 2
+            a, b = n[few][:, None], n[None]
+            may = ((differing <= (a + b) * (DEN - NUM) // (DEN + NUM)) & (np.minimum(a, b) * DEN >= NUM * np.maximum(a, b))
+                   & (root[few][:, None] != root[None]) & (u[few][:, None] < u[None]))
+            if rows["i"].iloc[0] != rows["j"].iloc[0]:
+                may &= own[few][:, None] != own[None]
+            x, y = np.nonzero(may)
+            out.append(np.stack([u[few][x], u[y]], axis=1))
+        return pd.DataFrame(np.concatenate(out), columns=["a", "b"])
+
+    return (spread.select("cluster", "i", "j", "own", "u", "root", "n", "bits").groupBy("cluster", "i", "j")
+            .applyInPandas(run, "a long, b long"))
 
 
 def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

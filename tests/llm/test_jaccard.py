@@ -52,7 +52,22 @@ def test_similar_sets_share_a_signature_whatever_is_frequent():
         if not len(b) or 100 * inter < 75 * (len(a) + len(b) - inter) or len(a) == len(b) == inter:
             continue
         frequent = np.sort(rng.choice(pool, int(len(pool) * rng.choice([0, 0.1, 0.3, 0.7, 1.0])), replace=False))
-        assert len(np.intersect1d(J.signatures(a, frequent), J.signatures(b, frequent))), (n, drop, add)
+        assert len(np.intersect1d(J.signatures(a, frequent)[0], J.signatures(b, frequent)[0])) > min(J.signatures(a, frequent)[1], J.signatures(b, frequent)[1]), (n, drop, add)
+
+
+def test_parities_never_refuse_similar_sets():
+    rng = np.random.default_rng(3)
+    refused = 0
+    for trial in range(600):
+        n = int(rng.integers(1, 900))
+        pool = mix(rng.integers(1, 2**62, 2 * n + 5).astype(np.uint64))
+        a, b = np.unique(pool[:n]), np.unique(pool[int(rng.integers(0, n // 2 + 1)):n + int(rng.integers(0, n // 3 + 1))])
+        inter = len(np.intersect1d(a, b))
+        may = J._may_be_similar(J.parity_bits(a), J.parity_bits(b), len(a), len(b))
+        if 100 * inter >= 75 * (len(a) + len(b) - inter):
+            assert may
+        refused += not may
+    assert refused > 100
 
 
 def test_pair_at_the_threshold_links():
@@ -114,3 +129,21 @@ def test_components_of_a_long_chain(spark):
 def test_shingles_of_short_texts():
     assert [len(shingle_set(t)) for t in (None, "", " ", "a", "a b c d", "a b c d e", "a a a a a a a")] == [0, 0, 0, 1, 1, 1, 1]
     assert (shingle_set("A É") == shingle_set("a É")).all() and (shingle_set("É") != shingle_set("é")).all()
+
+
+def test_open_groups_in_blocks(spark, monkeypatch):
+    """Families of one base that drift apart: signatures stay shared, components differ."""
+    monkeypatch.setattr(J, "BLOCK", 7)
+    r = random.Random(23)
+    texts = []
+    for _ in range(4):
+        base = [f"b{r.randrange(10**6)}" for _ in range(90)]
+        for _ in range(22):
+            w = list(base)
+            for _ in range(r.randint(0, 6)):
+                w[r.randrange(90)] = f"e{r.randrange(10**6)}"
+            texts.append(" ".join(w))
+    _, comps = brute(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    assert {x.id: x.component for x in J.similarity_components(df).collect()} == dict(enumerate(comps))
+    assert 4 < len(set(comps)) < 60
