@@ -167,13 +167,24 @@ def relabel(results: DataFrame, accepted: DataFrame, case_col: str = "test_api",
                     flip.alias("relabeled"))
 
 
+def comparator_verdicts(lines: DataFrame) -> DataFrame:
+    """Per case (``file``) whether its comparator log is acceptable."""
+    metrics, errors = parse_metric_sections(lines)
+    return accept_cases(pair_metrics(metrics), errors, cases=lines)
+
+
+#: evaluation tool -> function from log lines to verdicts (file, accepted)
+ANALYSERS = {ANALYSABLE_TOOL: comparator_verdicts}
+
+
 def accept_failures(results: DataFrame, metric_lines: DataFrame, specs: DataFrame,
-                    case_col: str = "test_api") -> DataFrame:
-    """S8 -> J8 -> A17, gated by J9 (only cases whose tool is the
-    comparator are analysed; others stay FAILED) -> P18."""
-    metrics, errs = parse_metric_sections(metric_lines)
-    verdict = accept_cases(pair_metrics(metrics), errs, cases=metric_lines).withColumnRenamed("file", case_col)
-    tools = resolve_tools(specs).withColumnRenamed("id", case_col)
-    gated = verdict.join(tools, case_col, "inner").select(
-        case_col, (F.col("accepted") & (F.col("tool") == ANALYSABLE_TOOL)).alias("accepted"))
-    return relabel(results, gated, case_col)
+                    case_col: str = "test_api", analysers=None) -> DataFrame:
+    """Every case's log goes to the analyser registered for its evaluation
+    tool (J9); cases of other tools stay FAILED; accepted ones are re-labelled (P18)."""
+    tools = resolve_tools(specs).select(F.col("id").alias("file"), "tool")
+    verdicts = None
+    for tool, analyse in (analysers or ANALYSERS).items():
+        own = metric_lines.join(tools.filter(F.col("tool") == tool).select("file"), "file", "left_semi")
+        found = analyse(own).select(F.col("file").alias(case_col), "accepted")
+        verdicts = found if verdicts is None else verdicts.unionByName(found)
+    return relabel(results, verdicts, case_col)

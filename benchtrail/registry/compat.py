@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from benchtrail.fixtures import fixture, with_fixtures
 from benchtrail.operators import compat as C
 from benchtrail.registry import query
+from benchtrail.session import scratch_path
+from benchtrail.sinks import writers as K
 from benchtrail.sources import logs as L
 
 KEY = list(C.KEY)
@@ -200,7 +204,21 @@ from f4_builds
 def k6_update_where(spark, sf_dir):
     b = fixture(spark, sf_dir, "f4_builds").select(*KEY, "updated_by")
     t = F.col("updated_by")
-    return C.update_where(b, t.startswith("v") & ~t.endswith("release"), {"updated_by": None})
+    root = scratch_path(spark, f"sink-out/k6-{uuid.uuid4().hex[:8]}")
+    K.write_update(root, b, F.lit(False), {}, version=1)
+    K.write_update(root, K.read_snapshot(spark, root), t.startswith("v") & ~t.endswith("release"), {"updated_by": None}, version=2)
+    return K.read_snapshot(spark, root)
+
+
+@query("k4_write_routed", with_fixtures(f"""
+select 'Compatibility' as target, count(*) as n from f4_results join cmp using ({KEYS_SQL})
+union all select 'CompatTestSummary', count(*) from cmp union all select 'CompatBuildSummary', count(*) from cmp
+""", "f4_results", ctes=R5_CTES))
+def k4_write_routed(spark, sf_dir):
+    root = scratch_path(spark, f"sink-out/k4-{uuid.uuid4().hex[:8]}")
+    names = K.write_routed(C.compat_summary(*parsed(spark, sf_dir)), root)
+    counts = [spark.read.parquet(f"{root}/{n}").agg(F.lit(n).alias("target"), F.count(F.lit(1)).alias("n")) for n in names]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
 @query("p17_pending_notifications", with_fixtures("""

@@ -79,6 +79,17 @@ def p9_coerce_number(spark, sf_dir):
     return env.withColumn("number", L.coerce_number(F.col("value")))
 
 
+@query("p9_coerce_value", with_fixtures("""
+select file, key, case when not f then try_cast(value as bigint) end as integer, case when f then try_cast(value as double) end as number,
+       case when (case when f then try_cast(value as double) else try_cast(value as bigint) end) is null then value end as text
+from (select *, value like '%.%' or value like '%e%' as f from last) v
+""", "f2_env_lines", ctes=ENV_LAST))
+def p9_coerce_value(spark, sf_dir):
+    env = L.parse_environment(fixture(spark, sf_dir, "f2_env_lines"))
+    v = L.coerce_value(F.col("value"))
+    return env.select("file", "key", *[v[c].alias(c) for c in ("integer", "number", "text")])
+
+
 def _merge_sql(fn: str) -> str:
     return with_fixtures(f"""
 select changelist, board, test_case_name,

@@ -89,6 +89,15 @@ def coerce_number(text: Column) -> Column:
     return F.when(is_float, text.try_cast("double")).otherwise(text.try_cast("bigint").cast("double"))
 
 
+def coerce_value(text: Column) -> Column:
+    """P9 in full: struct(integer, number, text) with the first form that the
+    text has -- an integer (kept exact), else a number, else the text itself."""
+    is_float = text.contains(".") | text.contains("e")
+    integer = F.when(~is_float, text.try_cast("bigint"))
+    number = F.when(is_float, text.try_cast("double"))
+    return F.struct(integer.alias("integer"), number.alias("number"), F.when(integer.isNull() & number.isNull(), text).alias("text"))
+
+
 def parse_profile_report(lines: DataFrame, chunk: int | None = None) -> DataFrame:
     """Form-A profile report -> one row per node block:
     ``file, node_ix (header line), name, total, max, min, avg, num_calls``.
