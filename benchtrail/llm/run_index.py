@@ -45,7 +45,9 @@ GRAM = 32
 #: window starts that are looked at together in a long text
 SLICE = 4_000_000
 #: bytes of segments in one index, and different segments of one anchor beyond which windows are hashed
-INDEX_BYTES, MANY = 1_000_000, 1000
+INDEX_BYTES, MANY = 1_000_000, 5000
+#: symbols that one integer holds
+PACKED = 7
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
 BASE2 = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -113,19 +115,24 @@ class RunIndex:
 
     def __init__(self, symbols: np.ndarray):
         n = len(symbols)
-        rank = np.unique(symbols, return_inverse=True)[1].astype(np.int64)
-        self.ranks, span = [rank], 1
-        while rank.max() < n - 1:  # suffixes by their first 2, 4, 8, ... symbols
-            key = rank * (n + 1)
-            key[:n - span] += rank[span:] + 1
-            order = np.argsort(key, kind="stable")
-            step = np.append(0, np.cumsum(key[order][1:] != key[order][:-1]))
-            rank = np.empty(n, np.int64)
-            rank[order] = step
+        self.symbols, self.ranks, self.spans = symbols, [], []
+        padded, key = np.append(symbols, np.zeros(PACKED - 1, np.int64)), np.zeros(n, np.int64)
+        for k in range(PACKED):
+            key = key << 9 | padded[k:k + n]
+        span = PACKED
+        while True:  # suffixes by their first 7, 14, 28, ... symbols
+            order = np.argsort(key)
+            ordered = key[order]
+            rank = np.empty(n, np.int32)
+            rank[order] = np.append(0, np.cumsum(ordered[1:] != ordered[:-1], dtype=np.int32))
             self.ranks.append(rank)
+            self.spans.append(span)
+            if rank[order[-1]] == n - 1:
+                break
+            key = rank * np.int64(n + 1)
+            key[:n - span] += rank[span:] + np.int64(1)
             span *= 2
-        suffix = np.empty(n, np.int64)
-        suffix[rank] = np.arange(n)
+        suffix = order
         bwt = symbols[suffix - 1]
         bwt[rank[0]] = -1  # nothing stands before the first symbol
         ends = np.flatnonzero(bwt[1:] != bwt[:-1])  # last of each run but the final one
@@ -136,13 +143,20 @@ class RunIndex:
         self.ends, self.end_match = np.append(suffix[ends], suffix[-1]), np.append(common, 0)
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Length of the common prefix of pairs of suffixes."""
-        total = np.zeros(len(a), np.int64)
-        for k in range(len(self.ranks) - 1, -1, -1):
+        """Length of the common prefix of pairs of different suffixes."""
+        n, total = len(self.symbols), np.zeros(len(a), np.int64)
+        for rank, span in zip(self.ranks[::-1], self.spans[::-1]):
             x, y = a + total, b + total
-            inside = np.flatnonzero(np.maximum(x, y) + 2**k <= len(self.ranks[0]))
-            same = self.ranks[k][x[inside]] == self.ranks[k][y[inside]]
-            total[inside[same]] += 2**k
+            inside = np.flatnonzero(np.maximum(x, y) + span <= n)
+            same = rank[x[inside]] == rank[y[inside]]
+            total[inside[same]] += span
+        going = np.arange(len(a))
+        for _ in range(PACKED - 1):
+            x, y = a[going] + total[going], b[going] + total[going]
+            inside = np.maximum(x, y) < n
+            going, x, y = going[inside], x[inside], y[inside]
+            going = going[self.symbols[x] == self.symbols[y]]
+            total[going] += 1
         return total
 
     def matching_statistics(self) -> np.ndarray:
