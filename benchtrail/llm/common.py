@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,19 +37,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def word_count(text: Column) -> Column:
-    """Number of words of a text (null: 0), as a native expression.
-
-    Gaps become single bytes first, so that counting the starts of words
-    needs no list of them.
-    """
+    """Number of words of a text (null: 0), as a native expression."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_RE)), F.lit(0)).cast("long")
 
 
-def same(a: DataFrame, b: DataFrame, keys: list[tuple[str, str]]) -> Column:
-    """Join condition on pairs of columns, null equal to null."""
-    return reduce(lambda x, y: x & y, [a[p].eqNullSafe(b[q]) for p, q in keys])
-
-
 def id_text(col: Column) -> Column:
     """An id as text (null: empty)."""
     return F.coalesce(col.cast("string"), F.lit(""))

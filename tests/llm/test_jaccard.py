@@ -3,7 +3,7 @@ import random
 import re
 
 import numpy as np
-from cases import SMOKE, awkward, awkward_rows, empty, smoke_texts
+from cases import SMOKE, awkward, empty, smoke_texts
 
 from benchtrail.llm import jaccard_join as J
 from benchtrail.llm.components import components
