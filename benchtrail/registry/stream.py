@@ -6,7 +6,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
 
 from benchtrail.fixtures import fixture, with_fixtures
 from benchtrail.operators import history as H
