@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from benchtrail.fixtures import fixture, raw, with_fixtures
 from benchtrail.operators import coverage as V
+from benchtrail.plans.coverage import coverage_report
 from benchtrail.registry import query
 from benchtrail.sources import logs as L
 
@@ -113,3 +114,20 @@ def u5_list_diff(spark, sf_dir):
     ref = raw(spark, sf_dir, "part").filter(F.col("p_size").between(20, 30)) \
         .select(F.concat(F.lit("op_"), F.col("p_partkey").cast("string")).alias("api"))
     return V.list_diff(ch.filter(F.col("reason") == "not_covered"), ref)
+
+
+@query("r7_coverage_report", with_fixtures(f"""
+select reason as kind, count(*) as n from ch group by 1
+union all
+select case when r.api is null then 'added' else 'removed' end, count(*)
+from (select distinct api from ch where reason = 'not_covered') c full outer join ({REF_LIST}) r on c.api = r.api
+where c.api is null or r.api is null group by 1
+""", ctes=CHAIN))
+def r7_coverage_report(spark, sf_dir):
+    api = fixture(spark, sf_dir, "f3_api")
+    ref = raw(spark, sf_dir, "part").filter(F.col("p_size").between(20, 30)) \
+        .select(F.concat(F.lit("op_"), F.col("p_partkey").cast("string")).alias("api"))
+    found = coverage_report(universe(spark, sf_dir), trace(spark, sf_dir), fixture(spark, sf_dir, "f3_report_lines"),
+                            fixture(spark, sf_dir, "f3_header_lines"), api.filter(F.col("deprecated")), ref)
+    return found["chain"].groupBy(F.col("reason").alias("kind")).agg(F.count(F.lit(1)).alias("n")).unionByName(
+        found["changes"].groupBy(F.col("change").alias("kind")).agg(F.count(F.lit(1)).alias("n")))

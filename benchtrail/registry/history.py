@@ -365,3 +365,19 @@ from (select *, cast(split_part(test_case_name, '_', -1) as bigint) as n from
 """, "f1_runs"))
 def r3_report_rows_two_build(spark, sf_dir):
     return H.report_rows(runs(spark, sf_dir), changelist=CAND_CL, variant="two_build")
+
+
+_UNPIVOT = "select '{0}' as part, metric, n from (unpivot ({1}) on columns(*) into name metric value n)"
+
+
+@query("r4_two_build_statistic", _UNPIVOT.format("histogram", _hist_sql("reference")) + " union all " + _UNPIVOT.format(
+    "builds", "select cast(sum(better) as bigint) as better, cast(sum(worse) as bigint) as worse, cast(sum(no_change) as bigint) as no_change, "
+    "cast(sum(total) as bigint) as total from (" + with_fixtures("select * from s", "f1_runs", ctes=RECS + ",\n" + _PAIRS + ",\n" + _SUMMARY) + ")"))
+def r4_two_build_statistic(spark, sf_dir):
+    histogram, builds = R.two_build_statistic(runs(spark, sf_dir), DUT, REF, BASE_CL, CAND_CL, threshold=5)
+    builds = builds.agg(*[F.sum(c).alias(c) for c in ("better", "worse", "no_change", "total")])
+
+    def rows(df, part):
+        return df.unpivot([], df.columns, "metric", "n").select(F.lit(part).alias("part"), "metric", F.col("n").cast("bigint").alias("n"))
+
+    return rows(histogram, "histogram").unionByName(rows(builds, "builds"))
