@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from benchtrail.fixtures import fixture, with_fixtures
 from benchtrail.operators import accept as A
 from benchtrail.operators import compat as C
 from benchtrail.registry import query
+from benchtrail.session import scratch_path
 
 
 def specs(spark, sf_dir):
@@ -119,3 +122,16 @@ def a14_relabeled_summary(spark, sf_dir):
     # the summary of the original log, corrected by the re-labelled count
     original = r.withColumn("test_result", F.when(F.col("relabeled"), F.lit("failed")).otherwise(F.col("test_result")))
     return C.result_summary(original, relabeled="relabeled")
+
+
+@query("s9_read_specs", with_fixtures("""
+select id, parent, cast(row_number() over (partition by id order by step_no) - 1 as int) as pos, step_type as type, processor from f5_specs
+""", "f5_specs"))
+def s9_read_specs(spark, sf_dir):
+    """Specs written as XML files and read back."""
+    folder = scratch_path(spark, f"specs-{uuid.uuid4().hex[:8]}")
+    (specs(spark, sf_dir).select(F.col("id").alias("_id"), F.col("parent").alias("_parent"),
+                                 F.transform("steps", lambda x: F.struct(x["type"].alias("_type"), x["processor"].alias("processor"))).alias("step"))
+     .write.format("xml").option("rootTag", "testspecs").option("rowTag", "testspec").save(folder))
+    return A.read_specs(spark, folder).select("id", "parent", F.posexplode("steps").alias("pos", "s")).select(
+        "id", "parent", "pos", F.col("s.type").alias("type"), F.col("s.processor").alias("processor"))

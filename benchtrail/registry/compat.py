@@ -228,3 +228,10 @@ from f4_notify where emailed = 'NO'
 """, "f4_notify"))
 def p17_pending_notifications(spark, sf_dir):
     return C.pending_notifications(fixture(spark, sf_dir, "f4_notify"))
+
+
+@query("s15_read_expected", with_fixtures("select distinct config from f4_builds where build_failed = 0", "f4_builds"))
+def s15_read_expected(spark, sf_dir):
+    ok = fixture(spark, sf_dir, "f4_builds").filter("build_failed = 0")
+    lines = ok.select(F.explode(F.array(F.concat(F.lit("  "), F.col("config"), F.lit(" ")), F.lit(""), F.col("config"))).alias("line"))
+    return L.read_expected(lines)
