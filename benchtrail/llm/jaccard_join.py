@@ -20,9 +20,11 @@ Signatures are shuffled in packed blocks. Candidates are verified by the exact
 intersection of their sets (of 64-bit shingle hashes). Where many sets agree
 on a signature, they are compared with one of them only. If that leaves them
 in different components, the signature is open: a set that has enough other
-signatures does without it, and the sets that don't are compared with each
-other, in blocks. So no link between components is lost, and groups aren't expanded into
-pairs.
+signatures does without it, and a set that doesn't is compared with all sets
+of its open signatures, in blocks: the other set of a pair may have gone on to
+a level where this one has no signatures, so its own spare ones don't tell
+about the pair. So no link between components is lost, and groups aren't
+expanded into pairs.
 
 Defined results: a null, empty or blank text has an empty set and is linked
 with nothing; equal sets are one node (by a 64-bit key); rows of one id are
@@ -340,52 +342,68 @@ def links(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataF
     firsts = stored(rows.groupBy("u").agg(F.min(F.struct("id", "text_hash")).alias("d"), F.first("n").alias("n"), F.first("bits").alias("bits")), "firsts")
     linked = verified(pairs, firsts, docs, id_col, text_col)
     # large signatures whose sets are in several components are open. A set that its other
-    # signatures suffice for is done; the open sets left are compared across components
+    # signatures suffice for is safe; the others are compared across components
     members = met.filter("kind = 1").select(F.col("a").alias("sig"), F.col("b").alias("u"), "slack").distinct()
     rooted = members.join(components(linked).withColumnRenamed("node", "u"), "u", "left").withColumn("root", F.coalesce("root", "u"))
     rooted = stored(rooted, "members")
     several = rooted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("sig")
     open_ = stored(rooted.join(several, "sig"), "open")
-    unsafe = open_.groupBy("u").agg(F.count(F.lit(1)).alias("k"), F.min("slack").alias("spare")).filter("k > spare").select("u")
-    rest = stored(open_.join(unsafe, "u").select("sig", "u", "root"), "unsafe")
+    rest = stored(unfinished(open_), "unsafe")
     if rest.isEmpty():
         return linked
     across = across_roots(rest, firsts).join(pairs, ["a", "b"], "left_anti")
     return linked.unionByName(verified(across, firsts, docs, id_col, text_col))
 
 
+def unfinished(open_: DataFrame) -> DataFrame:
+    """(sig, u, root, unsafe): the open signatures (sig, u, root, slack) that an unsafe set has, with all
+    their sets. A similar pair is found if the one of its sets that stops at the first level is safe."""
+    marks = open_.groupBy("u").agg((F.count(F.lit(1)) > F.min("slack")).alias("unsafe"))
+    marked = open_.join(marks, "u")
+    return marked.join(marked.filter("unsafe").select("sig").distinct(), "sig").select("sig", "u", "root", "unsafe")
+
+
 def across_roots(rest: DataFrame, firsts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different roots within the clusters that signatures
-    join (sig, u, root), as far as sizes and parities allow.
+    """Pairs (a, b) of different roots, one of them unsafe, within the clusters
+    that signatures of unsafe sets join (sig, u, root, unsafe), as far as sizes
+    and parities allow.
 
     Sets of one cluster share many signatures, so each cluster is compared
     once, in blocks against blocks, instead of once per signature; only the
-    pairs that may be similar leave a task.
+    pairs that may be similar leave a task. Safe sets come with every cluster
+    that has one of their signatures, in blocks of their own, which are
+    compared with the blocks of unsafe sets only.
     """
-    lead = rest.groupBy("sig").agg(F.min("u").alias("b"))
-    clusters = components(rest.join(lead, "sig").select(F.col("u").alias("a"), "b"))
-    sets = (rest.select("u", "root").distinct().join(clusters.select(F.col("node").alias("u"), F.col("root").alias("cluster")), "u")
-            .join(firsts.select("u", "n", "bits"), "u"))
-    blocks = clusters.groupBy(F.col("root").alias("cluster")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    spread = sets.join(blocks, "cluster").withColumn("own", F.pmod(F.xxhash64("u"), F.col("blocks")).cast("int"))
-    spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    needy = rest.filter("unsafe")
+    lead = needy.groupBy("sig").agg(F.min("u").alias("b"))
+    joined = components(needy.join(lead, "sig").select(F.col("u").alias("a"), "b")).select(F.col("node").alias("b"), F.col("root").alias("cluster"))
+    clusters = lead.join(joined, "b", "left").select("sig", F.coalesce("cluster", "b").alias("cluster"))
+    slim = stored(rest.join(clusters, "sig").select("cluster", "u", "root", "unsafe").distinct(), "clusters")
+    blocks = slim.groupBy("cluster").agg(*[F.ceil(F.count_if(c) / BLOCK).cast("int").alias(k) for k, c in (("first", F.col("unsafe")), ("more", ~F.col("unsafe")))])
+    turn = lambda k: F.pmod(F.xxhash64("u"), F.col(k)).cast("int")
+    spread = slim.join(firsts.select("u", "n", "bits"), "u").join(blocks, "cluster")
+    spread = spread.withColumn("own", F.when(F.col("unsafe"), turn("first")).otherwise(F.col("first") + turn("more")))
+    upto = F.when(F.col("unsafe"), F.col("first") + F.col("more")).otherwise(F.col("first"))
+    spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), upto - 1)))
     spread = spread.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         u, root, n, own = (rows[c].to_numpy() for c in ("u", "root", "n", "own"))
         odd = np.stack([np.bitwise_xor.reduce(np.frombuffer(b, np.uint64).reshape(-1, BITS // 64), axis=0) for b in rows["bits"]])
         signs = 1 - 2 * np.unpackbits(odd.view(np.uint8), axis=1).astype(np.float32)
-        out = []
-        for at in range(0, len(u), 512):
-            few = slice(at, at + 512)
-            differing = (BITS - signs[few] @ signs.T) / 2
-            a, b = n[few][:, None], n[None]
+        i, j = rows["i"].iloc[0], rows["j"].iloc[0]
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        out = [np.zeros((0, 2), np.int64)]
+        for at in range(0, len(left), 512):
+            few = left[at:at + 512]
+            differing = (BITS - signs[few] @ signs[right].T) / 2
+            a, b = n[few][:, None], n[right][None]
             may = ((differing <= (a + b) * (DEN - NUM) // (DEN + NUM)) & (np.minimum(a, b) * DEN >= NUM * np.maximum(a, b))
-                   & (root[few][:, None] != root[None]) & (u[few][:, None] < u[None]))
-            if rows["i"].iloc[0] != rows["j"].iloc[0]:
-                may &= own[few][:, None] != own[None]
+                   & (root[few][:, None] != root[right][None]))
+            if i == j:
+                may &= u[few][:, None] < u[right][None]
             x, y = np.nonzero(may)
-            out.append(np.stack([u[few][x], u[y]], axis=1))
+            out.append(np.sort(np.stack([u[few][x], u[right][y]], axis=1), axis=1))
         return pd.DataFrame(np.concatenate(out), columns=["a", "b"])
 
     return (spread.select("cluster", "i", "j", "own", "u", "root", "n", "bits").groupBy("cluster", "i", "j")

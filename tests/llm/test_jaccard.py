@@ -147,3 +147,30 @@ def test_open_groups_in_blocks(spark, monkeypatch):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
     assert {x.id: x.component for x in J.similarity_components(df).collect()} == dict(enumerate(comps))
     assert 4 < len(set(comps)) < 60
+
+
+def test_unsafe_sets_meet_safe_ones_of_their_open_signatures(spark, monkeypatch):
+    """Sets of 10 and 13 (Jaccard 10/13): the one that stops at level 0 is unsafe, the one that goes on counts as safe."""
+    rng = np.random.default_rng(5)
+    found = []
+    while len(found) < 3:
+        pool = mix(rng.integers(1, 2**62, 13).astype(np.uint64))
+        x, y = np.sort(pool), np.sort(pool[:10])
+        frequent = np.sort(rng.choice(pool, int(rng.integers(1, 9)), replace=False))
+        (s, spare), (t, other) = J.signatures(x, frequent), J.signatures(y, frequent)
+        shared = np.intersect1d(s, t).view(np.int64)
+        if other < len(shared) <= spare:
+            found.append((x, y, shared, spare, other))
+    rows, firsts, want = [], [], set()
+    for k, (x, y, shared, spare, other) in enumerate(found):
+        a, b = 10 * k + 1, 10 * k + 2
+        want.add((a, b))
+        firsts += [(u, len(z), bytearray(J.parity_bits(z))) for u, z in ((a, x), (b, y))]
+        rows += [(int(sig), u, u, slack) for sig in shared for u, slack in ((a, spare), (b, other))]
+    open_ = spark.createDataFrame(rows, "sig long, u long, root long, slack long")
+    firsts = spark.createDataFrame(firsts, "u long, n long, bits binary")
+    for block in (J.BLOCK, 1):
+        monkeypatch.setattr(J, "BLOCK", block)
+        rest = J.unfinished(open_)
+        assert {r.u for r in rest.filter("unsafe").collect()} == {b for _, b in want}
+        assert {tuple(p) for p in J.across_roots(rest, firsts).collect()} == want
