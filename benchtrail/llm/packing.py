@@ -19,6 +19,8 @@ packed each; an empty table gives no sequence; other columns are ignored.
 from __future__ import annotations
 
 import base64
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import compress
@@ -36,6 +38,8 @@ from pyspark.sql import functions as F
 from benchtrail.llm.common import documents, stored
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: the same vocabulary for the tokenizers library, with its added tokens
+ADDED = "byte_bpe_50k.json"
 LENGTH = 1024
 END_ID = 2
 #: a bin with at most this share unused is emitted in any round
@@ -54,12 +58,16 @@ class Encoder:
     before a space. So the ids of a text are those of its words, each with the
     space before it. The distinct words of a run of texts are encoded in one
     call, told apart by the ids that begin with a space, and dealt out.
+
+    ``added`` are tokens with ids of their own: a text that holds one is cut
+    there first, and encoded alone.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: dict[str, int] | None = None):
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.vocabulary = tiktoken.Encoding("corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.vocabulary = tiktoken.Encoding("corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added or {})
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.opens = np.zeros(max(ranks.values()) + 1, bool)
         self.opens[[i for token, i in ranks.items() if token[:1] == b" "]] = True
 
@@ -67,6 +75,13 @@ class Encoder:
         return np.asarray(self.vocabulary.encode_ordinary(text), "<u4")
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if not self.added:
+            return self._encode(texts)
+        holds = [self.added.search(t) is not None for t in texts]
+        rest = iter(self._encode([t for t, h in zip(texts, holds) if not h]))
+        return [np.asarray(self.vocabulary.encode(t, allowed_special="all"), "<u4") if h else next(rest) for t, h in zip(texts, holds)]
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         split = pc.split_pattern(pa.array(texts, pa.string()), " ")
         ends = np.asarray(split.offsets)
         coded = split.flatten().dictionary_encode()
@@ -92,15 +107,21 @@ class Encoder:
         return out
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Ids of the added tokens of a JSON file of the tokenizers library."""
+    with open(path, encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+
+
 def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None,
                  length: int = LENGTH, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32 and, if asked for, ids as bytes):
     one row per piece. ``vocabulary`` is a file of ranks that workers can read; by default the
     byte-level one of the installed package, whose ids are those of its JSON
-    form for the tokenizers library (which is several times slower)."""
+    form for the tokenizers library (which is several times slower), added tokens included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary or public_tokenizers.path(VOCABULARY))
+        encoder = Encoder(vocabulary) if vocabulary else Encoder(public_tokenizers.path(VOCABULARY), added_tokens(public_tokenizers.path(ADDED)))
         for b in batches:
             for at, texts in _runs(b.column(1)):
                 rows = []

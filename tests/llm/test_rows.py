@@ -251,3 +251,23 @@ def test_encoder_is_that_of_the_tokenizers_library():
 
 def test_best_fit_takes_the_fullest_bin():
     assert packing.best_fit([6, 5, 4, 3, 2], 10) == ([0, 1, 0, 1, 1], [0, 0, 6, 5, 8], [0, 0])
+
+
+def test_added_tokens_have_the_ids_of_the_tokenizers_library(spark):
+    """With the library's defaults: a literal added token in a text is that token."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path(packing.ADDED))
+    encode = lambda text: library.encode(text, add_special_tokens=False).ids
+    assert encode("a <|endoftext|> b") == [64, 220, 50256, 275]
+    r, own = random.Random(6), packing.Encoder(public_tokenizers.path(packing.VOCABULARY), packing.added_tokens(public_tokenizers.path(packing.ADDED)))
+    for _ in range(400):
+        texts = ["".join(r.choices(list("ab1 '.,\n\t \x1cé中\0s|<>") + ["<|endoftext|>", "<|endoftext", " the", "  "], k=r.randint(0, 30))) for _ in range(r.randint(0, 3))]
+        assert [x.tolist() for x in own.encode(texts)] == [encode(t) for t in texts], texts
+    texts = ["a <|endoftext|> b", "<|endoftext|>" * 3, "plain words", "one <|endoftext|>\n two " * 400]
+    found = packing.token_pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), with_ids=True).collect()
+    got = collections.defaultdict(list)
+    for x in sorted(found, key=lambda x: x.piece):
+        got[x.doc_id] += np.frombuffer(x.ids, "<u4").tolist()
+    assert got == {i: encode(t) + [2] for i, t in enumerate(texts)}
