@@ -75,8 +75,9 @@ def found(work: DataFrame, history: DataFrame, keys: Sequence[str]) -> DataFrame
     return work.join(history.select(*keys).distinct(), list(keys), "left_semi")
 
 
-def first_seen_order(df: DataFrame, case: str, seen: str, then: Sequence[str] = ("changelist",)) -> DataFrame:
-    """O3: rows ordered by the first appearance of their case, then by
-    ``then``; ``first_seen`` is the case's smallest ``seen`` value."""
-    fs = df.groupBy(case).agg(F.min(seen).alias("first_seen"))
-    return df.join(fs, case).orderBy("first_seen", case, *then)
+def first_seen_order(df: DataFrame, case: str | Sequence[str], seen: str, then: Sequence[str] = ("changelist",)) -> DataFrame:
+    """O3: rows ordered by the first appearance of their case (one column or
+    several), then by ``then``; ``first_seen`` is the case's smallest ``seen`` value."""
+    case = [case] if isinstance(case, str) else list(case)
+    fs = df.groupBy(*case).agg(F.min(seen).alias("first_seen"))
+    return df.join(fs, case).orderBy("first_seen", *case, *then)

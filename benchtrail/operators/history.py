@@ -245,14 +245,16 @@ def distinct_counts(runs: DataFrame) -> DataFrame:
                     F.count_distinct("min_value").cast("bigint").alias("n_values"))
 
 
-def benchmark_pivot(runs: DataFrame, algorithm: str, columns: Sequence[str], column: str = "board",
+def benchmark_pivot(runs: DataFrame, algorithm: str | None, columns: Sequence[str], column: str = "board",
                     value: str = "min_value") -> DataFrame:
     """Function rows x backend columns for one algorithm; each cell is
     the latest build's latest value of that series (joined by name, D9).
-    ``columns`` is the fixed list of backends (the pivot has a known width)."""
-    sel = runs.filter(F.col("algorithm") == F.lit(algorithm))
-    rec = latest_record(sel, ["test_case_name", column], ts=CL, tie=("updatetime", "event_id"), values=[value])
-    return rec.groupBy("test_case_name").pivot(column, list(columns)).agg(F.first(value))
+    ``columns`` is the fixed list of backends (the pivot has a known width).
+    ``algorithm`` None gives the tables of all algorithms, with it as a key."""
+    sel = runs if algorithm is None else runs.filter(F.col("algorithm") == F.lit(algorithm))
+    keys = ["algorithm"] * (algorithm is None) + ["test_case_name"]
+    rec = latest_record(sel, [*keys, column], ts=CL, tie=("updatetime", "event_id"), values=[value])
+    return rec.groupBy(*keys).pivot(column, list(columns)).agg(F.first(value))
 
 
 def report_rows(runs: DataFrame, changelist: int | None = None, variant: str = "nightly") -> DataFrame:

@@ -108,6 +108,15 @@ def o3_first_seen_order(spark, sf_dir):
     return D.first_seen_order(r, "test_case_name", "event_id")
 
 
+@query("o3_first_seen_order_boards", with_fixtures("""
+select board, test_case_name, changelist, event_id, min(event_id) over (partition by board, test_case_name) as first_seen
+from f1_runs
+""", "f1_runs"))
+def o3_first_seen_order_boards(spark, sf_dir):
+    r = fixture(spark, sf_dir, "f1_runs").select("board", "test_case_name", "changelist", "event_id")
+    return D.first_seen_order(r, ["board", "test_case_name"], "event_id")
+
+
 CATALOGUE = """select concat(category, '.txt') as file, cast(row_number() over (partition by category order by api) as bigint) as line_no,
   concat('  ', case when is_macro then 'mc_' else 'hl_' end, api, ' op (entered ', cast(length(api) as varchar(4)), ' times)') as line
 from f3_api"""

@@ -274,6 +274,16 @@ def a15_benchmark_pivot(spark, sf_dir):
     return H.benchmark_pivot(runs(spark, sf_dir), "dct", ["board_a", "board_b"])
 
 
+@query("a15_benchmark_pivots", with_fixtures("""
+select algorithm, test_case_name, max(case when board = 'board_a' then min_value end) as board_a,
+       max(case when board = 'board_b' then min_value end) as board_b
+from lr group by 1, 2
+""", "f1_runs", ctes="""lr as (select * from (select *, row_number() over (partition by algorithm, test_case_name, board
+   order by changelist desc, updatetime desc, event_id desc) as r from f1_runs) t where r = 1)"""))
+def a15_benchmark_pivots(spark, sf_dir):
+    return H.benchmark_pivot(runs(spark, sf_dir), None, ["board_a", "board_b"])
+
+
 @query("a19_series_extent", with_fixtures("""
 select test_case_name, board, round(lo - f * 0.01, 6) as y_min, round(hi + f * 0.01, 6) as y_max,
        round(100 * (lo - f) / f - 1, 6) as delta_min, round(100 * (hi - f) / f + 1, 6) as delta_max from g

@@ -192,3 +192,15 @@ def test_frame_that_never_ran_scales_nothing(spark):
                                "file string, name string, num_calls bigint, max double, min double, avg double")
     got = {(r.file, r.name): r.max for r in scale_to_frame(df, "frame").collect()}
     assert got == {("f", "frame"): 8.0, ("f", "n"): 8.0, ("g", "frame"): 8.0, ("g", "n"): 24.0}
+
+
+def test_whole_table_queries_hold_every_board_and_algorithm(spark):
+    import __spark_entry__ as E
+    from benchtrail.fixtures import fixture
+    from conftest import SMOKE
+
+    runs, q = fixture(spark, SMOKE, "f1_runs"), E.queries()
+    assert q["o3_first_seen_order_boards"](spark, SMOKE).count() == runs.count()
+    tables = q["a15_benchmark_pivots"](spark, SMOKE).select("algorithm", "test_case_name").collect()
+    assert sorted(map(tuple, tables)) == sorted(map(tuple, runs.select("algorithm", "test_case_name").distinct().collect()))
+    assert len({r.algorithm for r in tables}) > 1
