@@ -66,7 +66,9 @@ def band_verdict(raw: bytes, codec: zstandard.ZstdCompressor) -> bool:
     _, low, high = BANDS[bisect_right(BANDS, (len(raw), 1e9)) - 1]
     if not raw or not low <= len(codec.compress(raw)) / len(raw) <= high:
         return False
-    chunks = [raw[i:i + CHUNK] for i in range(0, len(raw) - CHUNK + 1, CHUNK)] if len(raw) >= 2 * CHUNK else []
+    chunks = [raw[i:i + CHUNK] for i in range(0, len(raw) - CHUNK + 1, CHUNK)]
+    if chunks and len(raw) % CHUNK:
+        chunks.append(raw[-CHUNK:])  # anchored at the end, so every byte lies in a chunk
     out = sum(not CHUNK_BAND[0] <= len(codec.compress(c)) / CHUNK <= CHUNK_BAND[1] for c in chunks)
     return out <= MAX_CHUNKS_OUT * len(chunks)
 

@@ -50,6 +50,15 @@ def test_bands_reject_repetition_and_noise_and_keep_prose():
     assert not quality_rules.band_verdict(b"", codec)
 
 
+def test_bands_judge_the_tail_and_texts_of_one_chunk():
+    codec, r = zstandard.ZstdCompressor(level=3), random.Random(1)
+    prose = " ".join("".join(r.choices([a + b for a in "bcdfghlmnprst" for b in "aeiou"], k=r.randint(1, 4))) for _ in range(2000)).encode()
+    for n in (2100, 3000, 4095, 4096, 6143, 8000):
+        assert quality_rules.band_verdict(prose[:n], codec), n
+    assert not quality_rules.band_verdict(prose[:4096] + b"la " * 682, codec)
+    assert not quality_rules.band_verdict(prose[:1500] + b"la " * 700, codec)
+
+
 def test_repeat_words_without_overflow_for_large_vocabularies():
     words = [f"{i}".encode() for i in range(30_000)]
     assert quality_rules.repeat_words(words) == 0
