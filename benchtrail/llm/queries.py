@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from benchtrail.llm import collision_search, jaccard_join, language_id, mixing, packing, quality_model, quality_rules, run_index, secret_scan, sharding
+from benchtrail.llm import (angular_negatives, collision_search, jaccard_join, kd_search, language_id, mixing, packing, quality_model, quality_rules,
+                            run_index, secret_scan, sharding)
 
 QUERIES = {f.__name__: f for f in (
     jaccard_join.op1_segment_join,
@@ -15,5 +16,11 @@ QUERIES = {f.__name__: f for f in (
     sharding.op8_byte_prefix_shards,
     language_id.op9_family_then_pairs,
     secret_scan.op10_secret_scan,
+    angular_negatives.op12_angular_negatives,
+    kd_search.op13_kd_search,
 )}
-ORACLE = {"op4_hash_threshold_mix": mixing.OP4_SQL}
+ORACLE = {
+    "op4_hash_threshold_mix": mixing.OP4_SQL,
+    "op12_angular_negatives": angular_negatives.OP12_SQL,
+    "op13_kd_search": kd_search.OP13_SQL,
+}
