@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from benchtrail.llm.common import stored
-from benchtrail.llm.vectors import as_long, cell_count, first, for_products, integer_rows, matrix, meet, sample, without_dominated
+from benchtrail.llm.vectors import LONG, cell_count, first, for_products, held, integer_rows, matrix, meet, sample, without_dominated
 
 POSITIVES, NEGATIVES, SCALE = 5, 5, 256
 #: a negative's score lies between these percentages of its positive's
@@ -75,7 +75,7 @@ def score_bounds(norm: float, angles: np.ndarray, norms, low: np.ndarray, high:
     best = norm * np.where(top >= 0, largest, least) * top
     worst = norm * np.where(bottom >= 0, least, largest) * bottom
     slack = SLACK * norm * largest + SLACK
-    return np.floor(worst - slack), np.ceil(best + slack)
+    return np.clip(np.floor(worst - slack), -LONG, LONG), np.clip(np.ceil(best + slack), -LONG, LONG)  # as doubles: 2**63 either way
 
 
 class Block:
@@ -95,7 +95,7 @@ class Block:
 
     def scores(self, at: np.ndarray, query: np.ndarray) -> list[int]:
         self.scored += len(at)
-        return [int(s) for s in (self.exact[at] @ query).tolist()]
+        return [int(s) for s in held(self.exact[at] @ query).tolist()]
 
     def positives(self, own: int, label: int, query: np.ndarray, norm: float, angles: np.ndarray, floor: int | None, k: int) -> list[tuple]:
         """[(score, id)] with all rows of the label that can be among the k best, given that k others reach the floor."""
@@ -189,7 +189,7 @@ def _positives(dim: int, k: int):
             block = Block(rows, dim)
             for r, query in _each(block, queries, dim):
                 floor = None if r.scores is None else int(r.scores[0])
-                out += [(r.id, i, as_long(s)) for s, i in block.positives(r.id, r.label, query, r.norm, r.angles, floor, k)]
+                out += [(r.id, i, s) for s, i in block.positives(r.id, r.label, query, r.norm, r.angles, floor, k)]
         return pd.DataFrame(out, columns=["anchor_id", "vec_id", "score"]).astype("int64")
     return search
 
@@ -202,7 +202,7 @@ def _negatives(dim: int, k: int):
             for r, query in _each(block, queries, dim):
                 positives = r.scores.tolist()
                 for p, found in zip(positives, block.negatives(r.label, query, r.norm, r.angles, positives, k)):
-                    out += [(r.id, p, i, as_long(s)) for s, i in found]
+                    out += [(r.id, p, i, s) for s, i in found]
         return pd.DataFrame(out, columns=["anchor_id", "positive_score", "vec_id", "score"]).astype("int64")
     return search
 

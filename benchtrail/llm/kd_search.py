@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from benchtrail.llm.common import stored
-from benchtrail.llm.vectors import as_long, cell_count, first, for_products, integer_rows, matrix, meet, sample, without_dominated
+from benchtrail.llm.vectors import cell_count, first, for_products, held, integer_rows, matrix, meet, sample, without_dominated
 
 TOP, SCALE, LEAF = 10, 1024, 128
 FOUND = "query_id long, vec_id long, score long"
@@ -38,7 +38,7 @@ FOUND = "query_id long, vec_id long, score long"
 def bounds(queries: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """(query, box): the largest inner product of the query with a point of the box."""
     zero = queries * 0
-    return np.maximum(queries, zero) @ high.T + np.minimum(queries, zero) @ low.T
+    return held(np.maximum(queries, zero) @ high.T + np.minimum(queries, zero) @ low.T)
 
 
 class Tree:
@@ -116,7 +116,7 @@ class Shard:
                             if kth is None or limit[child] >= kth:
                                 heapq.heappush(heap, (-limit[child], child))
                         continue
-                    scores = points[start:stop] @ query
+                    scores = held(points[start:stop] @ query)
                     self.scored += stop - start
                     take = np.arange(stop - start) if kth is None else np.flatnonzero(scores >= kth)
                     for s, i in zip(scores[take].tolist(), self.ids[start:stop][take].tolist()):
@@ -138,7 +138,7 @@ def _searcher(k: int, dim: int):
             shard = Shard(rows["id"].to_numpy(), matrix(rows["v"], dim))
             floors = [None if pd.isna(f) else int(f) for f in queries["floor"].astype(object)]
             for query_id, best in shard.search(queries["id"].to_numpy(), matrix(queries["v"], dim), floors, k):
-                out += [(query_id, i, as_long(s)) for s, i in best]
+                out += [(query_id, i, int(s)) for s, i in best]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
     return search
 

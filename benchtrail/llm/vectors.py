@@ -58,8 +58,9 @@ def for_products(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x.astype(kind), y.astype(kind)
 
 
-def as_long(score) -> int:
-    return max(-LONG - 1, min(LONG, int(score)))
+def held(scores: np.ndarray) -> np.ndarray:
+    """Scores, or bounds of scores, held to the range of long (doubles of ``for_products`` never leave it)."""
+    return np.clip(scores, -LONG - 1, LONG) if scores.dtype == object else scores
 
 
 def sample(rows: DataFrame, dim: int) -> np.ndarray:
