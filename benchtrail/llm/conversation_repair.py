@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from benchtrail.functions.ranking import dense_index
 from benchtrail.llm.common import WORD_GAPS, stored
 
-SPAN, LEAF, HEAD = 1024, 8, 256
+SPAN, LEAF, HEAD = 1024, 8, 64
 #: fixed values: what an edit costs
 REROLE, DELETE, INSERT, TRUNCATED = 1, 2, 5, 5
 ROLES = {"u": "user", "a": "assistant"}
@@ -168,23 +168,27 @@ RUNS = "key string, run long, cell string, ends string, illegal long"
 
 
 def numbered(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """(key, turn, role, text, at, initial, fault): the rows in order, with the first fault of
-    each: b blank, d duplicate, t truncated, c none."""
+    """(key, turn, role, text, at): the rows in order."""
     conv = F.col(conv_col).cast("string")
     role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in (role_col, text_col))
     plain = rows.select(F.when(conv.isNull(), "n").otherwise(F.concat(F.lit("v"), conv)).alias("key"), F.col(turn_col).alias("turn"),
                         role.alias("role"), text.alias("text"), F.substring(text, 1, HEAD).alias("head"))
-    rows = stored(dense_index(plain, ["key", "turn", "role", "head"], "at").drop("head"), "repair-rows")
+    return dense_index(plain, ["key", "turn", "role", "head"], "at").drop("head")
+
+
+def faults(rows: DataFrame) -> DataFrame:
+    """(key, turn, at, initial, fault) of ``numbered`` rows, without their texts. The fault is
+    the first that a row has: b blank, d duplicate, t truncated, c none."""
     end = F.rtrim(F.col("text"), F.lit(WORD_GAPS))
-    firsts = rows.filter(end != "").groupBy("key", "role", F.sha2("text", 256)).agg(F.min("at").alias("at")).select("at", F.lit(True).alias("new"))
     initial = F.substring("role", 1, 1)
-    return rows.join(firsts, "at", "left").select(
-        "key", "turn", "role", "text", "at", F.when(initial.isin("s", "u", "a"), initial).otherwise("o").alias("initial"),
-        F.when(end == "", "b").when(F.col("new").isNull(), "d").when(~F.substring(end, -1, 1).isin(".", "!", "?"), "t").otherwise("c").alias("fault"))
+    firsts = rows.filter(end != "").groupBy("key", "role", F.sha2("text", 256)).agg(F.min("at").alias("at")).select("at", F.lit(True).alias("new"))
+    marks = rows.select("key", "turn", "at", F.when(initial.isin("s", "u", "a"), initial).otherwise("o").alias("initial"), F.substring(end, -1, 1).alias("end"))
+    fault = F.when(F.col("end") == "", "b").when(F.col("new").isNull(), "d").when(~F.col("end").isin(".", "!", "?"), "t").otherwise("c")
+    return stored(marks.join(firsts, "at", "left").select("key", "turn", "at", "initial", fault.alias("fault")), "repair-faults")
 
 
 def plans(rows: DataFrame) -> DataFrame:
-    """(key, illegal, cost, audit) of every conversation of ``numbered`` rows."""
+    """(key, illegal, cost, audit) of every conversation, from the ``faults`` of its rows."""
     letters = F.concat("initial", F.when(F.col("fault") == "b", "d").otherwise(F.col("fault")))
     run = F.expr(f"at div {SPAN}")
     words = rows.groupBy("key", run.alias("run")).agg(F.array_sort(F.collect_list(F.struct("at", letters.alias("word")))).alias("w"))  # ``SPAN`` at most
@@ -291,8 +295,8 @@ def repaired(rows: DataFrame, plan: DataFrame) -> DataFrame:
 
 def repair(conversations: DataFrame, **columns) -> DataFrame:
     """The repaired rows of a table of conversations."""
-    rows = stored(numbered(conversations, **columns), "repair-numbered")
-    return repaired(rows, stored(plans(rows), "repair-plans"))
+    rows = numbered(conversations, **columns)
+    return repaired(rows, stored(plans(faults(rows)), "repair-plans"))
 
 
 def damaged(conversations: DataFrame) -> DataFrame:
@@ -312,9 +316,10 @@ def count_of(fault: str) -> Column:
 
 def report(original: DataFrame, rows: DataFrame) -> DataFrame:
     """Counts, cheapest repair and digest of every conversation of ``original``, whose rows are now ``rows``."""
-    rows = stored(numbered(rows), "repair-numbered")
-    plan = stored(plans(rows), "repair-plans")
-    turns = rows.groupBy("key", "turn").agg(*(count_of(f).alias(f) for f in "bdt")).groupBy("key").agg(
+    rows = numbered(rows)
+    marks = faults(rows)
+    plan = stored(plans(marks), "repair-plans")
+    turns = marks.groupBy("key", "turn").agg(*(count_of(f).alias(f) for f in "bdt")).groupBy("key").agg(
         F.coalesce(F.max("turn") - F.min("turn") + 1 - F.count("turn"), F.lit(0)).cast("long").alias("gaps"), *(F.sum(f).alias(f) for f in "bdt"))
     sha = _in_order(rows, plan).mapInArrow(_digests, "key string, sha string")
     conv = F.col("conv_id").cast("string")
