@@ -90,6 +90,39 @@ select concat('count_', product, '_', cast(changelist as varchar(8)), '.log') as
 ) u
 """
 
+# F3 (deep usage trees): one log per brand, one subtree per part: a (2) > stage (4) >
+# c and d (6), under every third d a deep node (8), then leaf (4) under a. The stage and
+# a are returned to by closing headers; every fourth group has a closing header of no
+# node. Only c has a TOTAL line; details after a closing header are lost.
+F3_TREE = """
+select concat('tree_', cast(brand as varchar(20)), '.log') as file, g, k, size, kind, name, indent, times from (
+  select brand, cast(0 as bigint) as g, 0 as k, 0 as size, 'h' as kind, 'frame_process' as name, 0 as indent, cast(2 as bigint) as times from (select distinct p_brand as brand from part) b
+  union all select brand, g, 1, size, 'h', concat('hl_a', cast(g as varchar(12))), 2, cast(1 + size % 5 as bigint) from f3_groups
+  union all select brand, g, 2, size, 'h', concat('stage', cast(g as varchar(12))), 4, cast(2 as bigint) from f3_groups
+  union all select brand, g, 3, size, 'h', concat('hl_c', cast(g as varchar(12))), 6, cast(size as bigint) from f3_groups
+  union all select brand, g, 4, size, 'd', concat('api_', cast(size % 7 as varchar(12))), 8, cast(size + 10 as bigint) from f3_groups
+  union all select brand, g, 5, size, 'd', 'TOTAL', 8, cast(size + 10 as bigint) from f3_groups
+  union all select brand, g, 6, size, 'h', concat('hl_d', cast(g as varchar(12))), 6, cast(0 as bigint) from f3_groups
+  union all select brand, g, 7, size, 'h', concat('deep', cast(g as varchar(12))), 8, cast(1 as bigint) from f3_groups where g % 3 = 0
+  union all select brand, g, 8, size, 'd', 'api_x', 10, cast(4 as bigint) from f3_groups
+  union all select brand, g, 9, size, 'c', concat('stage', cast(g as varchar(12))), 4, cast(9 as bigint) from f3_groups
+  union all select brand, g, 10, size, 'd', 'api_lost', 8, cast(7 as bigint) from f3_groups
+  union all select brand, g, 11, size, 'o', concat('ghost', cast(g as varchar(12))), 2, cast(1 as bigint) from f3_groups where g % 4 = 1
+  union all select brand, g, 12, size, 'c', concat('hl_a', cast(g as varchar(12))), 2, cast(9 as bigint) from f3_groups
+  union all select brand, g, 13, size, 'h', concat('leaf', cast(g as varchar(12))), 4, cast(3 as bigint) from f3_groups
+  union all select brand, g, 14, size, 'c', concat('hl_a', cast(g as varchar(12))), 2, cast(9 as bigint) from f3_groups) t
+"""
+F3_GROUPS = """
+select p_brand as brand, cast(row_number() over (partition by p_brand order by p_partkey) as bigint) as g, p_size as size from part
+"""
+
+F3_TREE_LINES = """
+select file, cast(row_number() over (partition by file order by g, k) as bigint) as line_no,
+       case kind when 'd' then concat(substring('            ', 1, indent), name, '  ', cast(times as varchar(12)), '.5  ', cast(times as varchar(12)))
+                 else concat(substring('            ', 1, indent), name, ' op (entered ', cast(times as varchar(12)), ' times)') end as line
+from f3_tree
+"""
+
 # F3 (coverage): header lines per category (one "poison" line per API with a
 # comment, a #define for macro APIs) and report lines (covered when the span
 # class is lineCov; some calls pass the API as the first argument).
@@ -213,6 +246,9 @@ FIXTURES = {
     "f2_env_lines": F2_ENV_LINES,
     "f3_usage": F3_USAGE,
     "f3_usage_lines": F3_USAGE_LINES,
+    "f3_groups": F3_GROUPS,
+    "f3_tree": F3_TREE,
+    "f3_tree_lines": F3_TREE_LINES,
     "f3_api": F3_API,
     "f3_trace": F3_TRACE,
     "f3_header_lines": F3_HEADER_LINES,
@@ -229,13 +265,14 @@ FIXTURES = {
 
 # Fixtures a fixture depends on (CTE order for the oracle).
 DEPENDS = {"f2_profile_lines": ("f1_runs",), "f2_env_lines": ("f1_runs",), "f3_usage_lines": ("f3_usage",), "f3_header_lines": ("f3_api",),
+           "f3_tree": ("f3_groups",), "f3_tree_lines": ("f3_groups", "f3_tree"),
            "f4_log_lines": ("f4_results",), "f4_builds": ("f4_results",),
            "f5_log_lines": ("f5_metric",), "f5_results": ("f5_metric",)}
 
 # Raw tables each fixture reads.
 SOURCES = {"f1_runs": ("events",), "f2_profile_lines": ("events",), "f2_env_lines": ("events",),
            "f3_usage": ("lineitem",), "f3_usage_lines": ("lineitem",),
-           "f3_api": ("part",), "f3_header_lines": ("part",), "f3_report_lines": ("part",), "f3_trace": ("lineitem",), "f4_results": ("orders",), "f4_log_lines": ("orders",), "f4_builds": ("orders",),
+           "f3_groups": ("part",), "f3_tree": ("part",), "f3_tree_lines": ("part",), "f3_api": ("part",), "f3_header_lines": ("part",), "f3_report_lines": ("part",), "f3_trace": ("lineitem",), "f4_results": ("orders",), "f4_log_lines": ("orders",), "f4_builds": ("orders",),
            "f4_notify": ("orders",),
            "f5_metric": ("lineitem",), "f5_log_lines": ("lineitem",), "f5_results": ("lineitem",),
            "f5_specs": ("supplier",)}

@@ -1,4 +1,4 @@
-"""Operator-usage trees (S6) and usage totals.
+"""Operator-usage trees (S6), their nested form, and usage totals.
 
 A usage log is a tree of headers ``<indent><name> <tag> (entered N times)``
 with detail lines ``<blanks><api> <average> <total>`` under a node and a
@@ -11,7 +11,7 @@ no log is ever held in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from benchtrail.functions.scan import previous_max, running_count, running_max
@@ -140,6 +140,51 @@ def high_usage(nodes: DataFrame, prefix: str) -> tuple[DataFrame, DataFrame]:
     return summary, details
 
 
+def usage_trees(nodes: DataFrame, details: DataFrame, prefix: str, changelist: Column) -> DataFrame:
+    """The nested form of usage trees: ``file, node_id, tree`` with one row per
+    root and its whole tree as JSON text. A node is an object with name, id,
+    loop_times, low_usage, high_usage (each null, or a summary and the details by api), pid
+    (its depth id), changelist and, if it has children, child_node: a list in the order of their ids.
+
+    Trees are folded bottom-up, one depth a round: the finished texts of a
+    depth are grouped under their parents and embedded there, so a task only
+    ever holds a node with its children's texts. ``changelist``: the build of a file, an expression over ``file``.
+    """
+    usage = lambda average, total, by: F.struct(F.struct(average.alias("average"), total.alias("total")).alias("summary"), by.alias("details"))
+    entry = lambda average, total: F.struct("api", F.struct(average.alias("average"), F.col(total).alias("total")).alias("u"))
+    by_api = lambda average, total: F.map_from_entries(F.array_sort(F.collect_list(entry(average, total))))
+    live = nodes.filter(~F.col("orphan"))
+    low = details.groupBy("file", "node_id").agg(by_api(F.col("average"), "total").alias("_low"))
+    high_total, high_details = high_usage(live, prefix)
+    high = high_details.groupBy("file", "node_id").agg(by_api(F.lit(None).cast("double"), "total").alias("_high")).join(high_total, ["file", "node_id"])
+    no_details = F.from_json(F.lit("{}"), "map<string, struct<average: double, total: bigint>>")
+    fields = F.struct("name", F.col("node_id").alias("id"), "loop_times",
+                      F.when(F.col("low_total").isNotNull(), usage(F.col("low_average"), F.col("low_total"), F.coalesce("_low", no_details))).alias("low_usage"),
+                      F.when(F.col("_high").isNotNull(), usage(F.lit(None).cast("double"), F.col("high_total"), F.col("_high"))).alias("high_usage"),
+                      F.col("depth_id").alias("pid"), changelist.alias("changelist"))
+    above = live.select("file", F.col("node_id").alias("parent_id"), F.col("depth_id").alias("parent_depth"))
+    head = F.to_json(fields, {"ignoreNullFields": "false"})
+    state = materialize(live.join(low, ["file", "node_id"], "left").join(high, ["file", "node_id"], "left").withColumn("head", head)
+                        .join(above, ["file", "parent_id"], "left").select("file", "node_id", "parent_id", "parent_depth", "depth_id", "head"), "tree-nodes")
+    depth = state.agg(F.max("depth_id")).first()[0]
+    done = None  # finished nodes, deepest first
+    for d in range(-1 if depth is None else depth, -1, -1):
+        level = state.filter(F.col("depth_id") == d)
+        if done is None:
+            level = level.withColumn("children", F.lit(None).cast("array<struct<node_id: bigint, tree: string>>"))
+        else:
+            kids = (done.filter(F.col("parent_depth") == d).groupBy("file", F.col("parent_id").alias("node_id"))
+                        .agg(F.array_sort(F.collect_list(F.struct("node_id", "tree"))).alias("children")))
+            level = level.join(kids, ["file", "node_id"], "left")
+        inner = F.concat(F.lit(',"child_node":['), F.array_join("children.tree", ","), F.lit("]"))
+        whole = F.concat(F.expr("substring(head, 1, length(head) - 1)"), F.coalesce(inner, F.lit("")), F.lit("}"))
+        level = materialize(level.select("file", "node_id", "parent_id", "parent_depth", whole.alias("tree")), "tree-level")
+        done = level if done is None else done.unionByName(level)
+    if done is None:
+        return state.select("file", "node_id", F.col("head").alias("tree"))
+    return done.filter(F.col("parent_id").isNull()).select("file", "node_id", "tree")
+
+
 def usage_totals(details: DataFrame, changelist_of_file=None) -> DataFrame:
     """A5: usage summed by (api, changelist) over nodes and files (partial
     sums map-side), largest first. ``changelist_of_file``: a Column giving the

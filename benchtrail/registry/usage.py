@@ -119,3 +119,55 @@ pc as (select category, count(distinct api) as n_items, count(distinct case when
 pp as (select category, product, count(distinct api) as n_used_by_product from j where product is not null group by 1, 2)"""))
 def a16_category_coverage(spark, sf_dir):
     return U.category_coverage(fixture(spark, sf_dir, "f3_api"), fixture(spark, sf_dir, "f3_usage"))
+
+
+# the deep trees: ids count all headers; which node a subtree's rows belong to is known from the fixture
+DEEP = """heads as (select *, cast(row_number() over (partition by file order by g, k) - 1 as bigint) as id from f3_tree where kind <> 'd'),
+nodes as (select h.file, h.g, h.k, h.id, h.name, h.indent, h.times, h.size, h.kind = 'o' as orphan,
+   case h.k when 0 then null when 1 then 0 when 11 then null else p.id end as parent,
+   case when h.kind = 'h' then cast(h.indent / 2 as bigint) end as depth
+  from heads h left join heads p on p.file = h.file and p.g = h.g
+    and p.k = case h.k when 2 then 1 when 13 then 1 when 3 then 2 when 6 then 2 when 7 then 6 else -1 end
+  where h.kind <> 'c'),
+flat as (select *, case when k = 3 then size + 10.5 end as low_average, case when k = 3 then cast(size + 10 as double) end as low_total from nodes)"""
+
+
+def deep_tree(spark, sf_dir):
+    return U.parse_usage_tree(fixture(spark, sf_dir, "f3_tree_lines"))
+
+
+@query("s6_deep_nodes", with_fixtures("""
+select file, id as node_id, name, 'op' as tag, indent as spaces, times as loop_times, parent as parent_id, depth as depth_id, orphan, low_average, low_total
+from flat
+""", "f3_tree", ctes=DEEP))
+def s6_deep_nodes(spark, sf_dir):
+    nodes, _ = deep_tree(spark, sf_dir)
+    return nodes
+
+
+TREE_JSON = DEEP + """,
+heads_of as (select *, concat('{"name":"', name, '","id":', cast(id as varchar), ',"loop_times":', cast(times as varchar), ',"low_usage":',
+   case when k = 3 then concat('{"summary":{"average":', cast(low_average as varchar), ',"total":', cast(low_total as varchar), '},"details":{"api_', cast(size % 7 as varchar),
+     '":{"average":', cast(low_average as varchar), ',"total":', cast(cast(size + 10 as bigint) as varchar), '}}}') else 'null' end) as front,
+   concat(',"pid":', cast(depth as varchar), ',"changelist":', cast(length(file) as varchar)) as back from flat where not orphan),
+high as (select file, parent, sum(times) as total, string_agg(concat('"', substr(name, 4), '":{"average":null,"total":', cast(times as varchar), '}'), ',' order by substr(name, 4)) as details
+  from flat where name like 'hl!_%' escape '!' and parent is not null group by 1, 2),
+texts as (select n.file, n.g, n.k, n.id, n.parent, concat(n.front, ',"high_usage":', case when h.total <> 0 then concat('{"summary":{"average":null,"total":', cast(h.total as varchar),
+   '},"details":{', h.details, '}}') else 'null' end, n.back) as body from heads_of n left join high h on h.file = n.file and h.parent = n.id),
+deep as (select file, parent, concat(body, '}') as t from texts where k = 7),
+inner_ as (select x.file, x.parent, x.id, concat(x.body, case when d.t is not null then concat(',"child_node":[', d.t, ']') else '' end, '}') as t
+  from texts x left join deep d on d.file = x.file and d.parent = x.id where x.k in (3, 6)),
+stage as (select x.file, x.parent, x.id, concat(x.body, ',"child_node":[', (select string_agg(i.t, ',' order by i.id) from inner_ i where i.file = x.file and i.parent = x.id), ']}') as t
+  from texts x where x.k = 2),
+under_a as (select * from stage union all select file, parent, id, concat(body, '}') from texts where k = 13),
+a as (select x.file, x.parent, x.id, concat(x.body, ',"child_node":[', u.t, ']}') as t from texts x
+  join (select file, parent, string_agg(t, ',' order by id) as t from under_a group by 1, 2) u on u.file = x.file and u.parent = x.id where x.k = 1)"""
+
+
+@query("json_usage_trees", with_fixtures("""
+select r.file, r.id as node_id, concat(r.body, ',"child_node":[', c.t, ']}') as tree
+from texts r join (select file, string_agg(t, ',' order by id) as t from a group by 1) c on c.file = r.file where r.k = 0
+""", "f3_tree", ctes=TREE_JSON))
+def json_usage_trees(spark, sf_dir):
+    nodes, details = deep_tree(spark, sf_dir)
+    return U.usage_trees(nodes, details, PREFIX, F.length("file"))

@@ -1,5 +1,7 @@
 """Usage trees (S6, A5, A6) and coverage matching."""
 
+from pyspark.sql import functions as F
+
 from benchtrail.operators import coverage as V
 from benchtrail.operators import usage as U
 from conftest import lines_df
@@ -135,3 +137,67 @@ def test_token_match_of_names_of_any_characters(spark):
     report = spark.createDataFrame([(x,) for x in lines], "line string")
     got = {r.api for r in V.token_match(apis, report).collect()}
     assert got == {"foo", "ns::fn", "a$b", "x-y", "operator+", "arg::one", "+"}   # "+" ends "operator+"
+
+
+def nested(log, prefix="hl_"):
+    """One log's tree, read line by line: the roots as dicts."""
+    import re
+    roots, opened, node, ident, closing = [], [], None, 0, False
+    for line in log.split("\n"):
+        head = re.match(r"^(\s*)(\S+)\s(\S+)\s\(entered\s(\d+)\stimes\)", line)
+        detail = re.match(r"^\s+(\S+)\s+([0-9]+\.?[0-9]*)\s+([0-9]+\.?[0-9]*)", line)
+        if head:
+            indent, closing = len(head[1]), False
+            new = {"name": head[2], "id": ident, "loop_times": int(head[4]), "low_usage": None, "indent": indent, "child_node": [], "up": None, "low": {}}
+            if node is not None and indent < node["indent"]:
+                node = next((n for n in reversed(opened) if n["name"] == head[2]), node)
+                closing = True
+            else:
+                new["up"] = node if node is not None and indent > node["indent"] else node and node["up"]
+                (new["up"]["child_node"] if new["up"] else roots).append(new)
+                opened.append(new)
+                node = new
+            ident += 1
+        elif detail and not closing and node is not None:
+            if detail[1] == "TOTAL":
+                node["low_usage"] = {"summary": {"average": float(detail[2]), "total": float(detail[3])}, "details": node["low"]}
+            else:
+                node["low"][detail[1]] = {"average": float(detail[2]), "total": int(float(detail[3]))}
+    ranks = {x: i for i, x in enumerate(sorted({n["indent"] for n in opened}))}
+
+    def shape(n):
+        high = {c["name"][len(prefix):]: {"average": None, "total": c["loop_times"]} for c in n["child_node"] if c["name"].startswith(prefix)}
+        total = sum(c["loop_times"] for c in n["child_node"] if c["name"].startswith(prefix))
+        out = {"name": n["name"], "id": n["id"], "loop_times": n["loop_times"], "low_usage": n["low_usage"],
+               "high_usage": {"summary": {"average": None, "total": total}, "details": high} if total else None, "pid": ranks[n["indent"]], "changelist": 7}
+        return out | ({"child_node": [shape(c) for c in n["child_node"]]} if n["child_node"] else {})
+    return [shape(r) for r in roots]
+
+
+def test_nested_trees_equal_a_reading_line_by_line(spark):
+    import json
+    import random
+    logs = {}
+    for seed in range(6):
+        r, lines, stack = random.Random(seed), [], []
+        for i in range(40):
+            step = r.random()
+            if stack and step < 0.25:
+                stack = stack[:r.randint(1, len(stack))]
+                lines.append(header(stack[-1][0], stack[-1][1], 99))  # back to an open node
+            else:
+                indent = (stack[-1][0] + r.choice([0, 2, 2, 4])) if stack else 0
+                while stack and stack[-1][0] >= indent:
+                    stack.pop()
+                stack.append((indent, r.choice(["hl_", "n_", 'q"\\']) + str(i)))
+                lines.append(header(*stack[-1], r.randint(0, 3)))
+            if r.random() < 0.5:
+                lines += [f"   api_{r.randint(0, 2)} 1.5 {r.randint(1, 9)}", "   api_z 2 3.0"] + ["   TOTAL 3.5 12"] * r.randint(0, 1)
+        logs[f"f{seed}"] = "\n".join(lines)
+    nodes, details = U.parse_usage_tree(lines_df(spark, logs))
+    got = {}
+    for r in U.usage_trees(nodes, details, "hl_", F.lit(7)).orderBy("file", "node_id").collect():
+        got.setdefault(r.file, []).append(json.loads(r.tree))
+    assert got == {f: nested(log) for f, log in logs.items()}
+    none = U.usage_trees(nodes.limit(0), details.limit(0), "hl_", F.lit(7))
+    assert none.count() == 0 and none.columns == ["file", "node_id", "tree"]
