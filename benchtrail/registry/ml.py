@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from benchtrail.fixtures import raw
 from benchtrail.operators import ml as M
+from benchtrail.operators import neighbours as N
 from benchtrail.registry import query
 
 FEATURES = ["user_id", "value", "c7"]
@@ -129,3 +130,27 @@ def m11_feature_importances(spark, sf_dir):
 def m13_pca(spark, sf_dir):
     projected, _ = M.pca_project(embedded(spark, sf_dir), "features", 8)
     return M.component_summary(projected, 8)
+
+
+PAIRS = """with e as (select vec_id, label, substr(md5(cast(vec_id as varchar)), 1, 2) < '33' as is_test, list_transform(embedding, lambda x: cast(x as double)) as v from embeddings),
+near as (select q.vec_id as query_id, t.vec_id, t.label, list_distance(q.v, t.v) as d,
+    row_number() over (partition by q.vec_id order by list_distance(q.v, t.v), t.vec_id) as rank
+  from e q join e t on q.is_test and not t.is_test qualify rank <= 5)
+"""
+
+
+def _nearest(spark, sf_dir):
+    train, test = M.split(raw(spark, sf_dir, "embeddings"), "vec_id")
+    return N.nearest_rows(train, test, 5, "vec_id", "embedding"), train
+
+
+@query("m4_nearest_rows", PAIRS + "select query_id, cast(rank as int) as rank, vec_id, round(d, 6) as distance from near")
+def m4_nearest_rows(spark, sf_dir):
+    return _nearest(spark, sf_dir)[0].select("query_id", "rank", F.col("id").alias("vec_id"), F.round("distance", 6).alias("distance"))
+
+
+@query("m4_knn_predictions", PAIRS + """select query_id, label as prediction from (select query_id, label, count(*) as n from near group by 1, 2)
+qualify row_number() over (partition by query_id order by n desc, label) = 1""")
+def m4_knn_predictions(spark, sf_dir):
+    near, train = _nearest(spark, sf_dir)
+    return N.vote(near, train, "vec_id", "label")
