@@ -13,6 +13,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from benchtrail.functions import blocks
+
 #: rows of a block, queries that meet it at a time, cells at most, sampled rows that shape the cells
 BLOCK, QUERY_BLOCK, CELLS, SAMPLE = 16_384, 16_384, 512, 8_192
 LONG = 2**63 - 1
@@ -75,21 +77,8 @@ def cell_count(spark, n: int) -> int:
 
 
 def meet(placed: DataFrame, sizes: dict[int, int], queries: DataFrame, n_queries: int, search: Callable, schema: str) -> DataFrame:
-    """``search(rows, queries)`` of every block with the queries sent to its cell.
-
-    ``placed`` has a column cell, ``queries`` one row per (query, cell) with
-    the cell to be searched; both have a column id. ``sizes`` has the rows of
-    each cell, at most ``CELLS`` of them."""
-    spark = placed.sparkSession
-    cells = lambda: F.broadcast(spark.createDataFrame([(c, -(-n // BLOCK)) for c, n in sizes.items()], "cell int, blocks int"))
-    parts = max(1, -(-n_queries // QUERY_BLOCK))
-    place = F.xxhash64("id")
-    rows = (placed.join(cells(), "cell").withColumn("block", F.pmod(place, "blocks").cast("int"))
-            .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))))
-    asked = (queries.join(cells(), "cell").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .withColumn("part", F.pmod(place, F.lit(parts)).cast("int")))
-    keys = ["cell", "block", "part"]
-    return rows.groupBy(keys).cogroup(asked.groupBy(keys)).applyInPandas(search, schema)
+    """``blocks.meet`` with the sizes of this module; ``sizes`` has at most ``CELLS`` cells."""
+    return blocks.meet(placed, sizes, queries, n_queries, search, schema, BLOCK, QUERY_BLOCK)
 
 
 def first(df: DataFrame, keys: list[str], k: int, score: str = "score", id_col: str = "vec_id") -> DataFrame:
