@@ -222,7 +222,8 @@ def bake_off(train: DataFrame, test: DataFrame, makers: dict[str, Callable[[], o
 def component_summary(projected: DataFrame, k: int, column: str = "pca") -> DataFrame:
     """M13 summary of a projection: rows, components, whether their variances
     don't increase and whether no two of them are correlated."""
-    parts = projected.select(*[vector_to_array(column)[i].alias(f"c{i}") for i in range(k)])
+    at = F.col(column) if dict(projected.dtypes)[column].startswith("array") else vector_to_array(column)
+    parts = projected.select(*[at[i].alias(f"c{i}") for i in range(k)])
     pairs = [(i, j) for i in range(k) for j in range(i)]
     s = parts.agg(F.count(F.lit(1)).alias("n_rows"), *[F.variance(f"c{i}").alias(f"v{i}") for i in range(k)],
                   *[F.abs(F.corr(f"c{i}", f"c{j}")).alias(f"r{i}_{j}") for i, j in pairs])
