@@ -122,7 +122,7 @@ def estimators(n_features: int, n_classes: int, features: str = "features", labe
 
     def gbt():
         g = GBTClassifier(featuresCol=features, labelCol=label, maxIter=gbt_rounds, seed=SEED)
-        return g if binary else OneVsRest(classifier=g, featuresCol=features, labelCol=label)
+        return g if binary else OneVsRest(classifier=g, featuresCol=features, labelCol=label, parallelism=8)  # classes at a time
 
     return {
         "NB": nb,
@@ -195,10 +195,11 @@ def confusion_metrics(df: DataFrame, truth: str, pred: str, positive=1) -> DataF
 
 
 def bake_off(train: DataFrame, test: DataFrame, makers: dict[str, Callable[[], object]], label: str = "label",
-             binary: bool = False, save_dir: str | None = None) -> DataFrame:
+             binary: bool = False, save_dir: str | None = None, train_scores: bool = False) -> DataFrame:
     """Train each estimator, time it, score it on the test split; an
     estimator that fails is recorded with its error instead of skipped
-    silently. Models are saved under ``save_dir`` when given."""
+    silently. Models are saved under ``save_dir`` when given; with
+    ``train_scores`` they are scored on the rows they were fitted on, too."""
     rows = []
     for name, make in makers.items():
         t0 = time.time()
@@ -210,12 +211,15 @@ def bake_off(train: DataFrame, test: DataFrame, makers: dict[str, Callable[[], o
             m = confusion_metrics(pred, "_t", "_p", 1.0).withColumn("n", F.lit(pred.count())).first()
             if save_dir:
                 model.write().overwrite().save(f"{save_dir.rstrip('/')}/{name}")
+            on_train = None
+            if train_scores:
+                on_train = float(confusion_metrics(model.transform(train).select(F.col(label).cast("double").alias("_t"), F.col("prediction").alias("_p")), "_t", "_p", 1.0).first()["accuracy"])
             rows.append((name, float(secs), float(m["accuracy"] or 0.0),
                          float(m["precision"]) if binary and m["precision"] is not None else None,
-                         float(m["recall"]) if binary and m["recall"] is not None else None, m["n"], None))
+                         float(m["recall"]) if binary and m["recall"] is not None else None, m["n"], None, on_train))
         except Exception as e:  # recorded, not swallowed
-            rows.append((name, float(time.time() - t0), None, None, None, None, f"{type(e).__name__}: {e}"))
-    schema = "model string, seconds double, accuracy double, precision double, recall double, n_scored long, error string"
+            rows.append((name, float(time.time() - t0), None, None, None, None, f"{type(e).__name__}: {e}", None))
+    schema = "model string, seconds double, accuracy double, precision double, recall double, n_scored long, error string, train_accuracy double"
     return train.sparkSession.createDataFrame(rows, schema)
 
 
