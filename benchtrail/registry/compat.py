@@ -204,10 +204,39 @@ from f4_builds
 def k6_update_where(spark, sf_dir):
     b = fixture(spark, sf_dir, "f4_builds").select(*KEY, "updated_by")
     t = F.col("updated_by")
-    root = scratch_path(spark, f"sink-out/k6-{uuid.uuid4().hex[:8]}")
-    K.write_update(root, b, F.lit(False), {}, version=1)
-    K.write_update(root, K.read_snapshot(spark, root), t.startswith("v") & ~t.endswith("release"), {"updated_by": None}, version=2)
-    return K.read_snapshot(spark, root)
+    table = K.versioned(spark, scratch_path(spark, f"sink-out/k6-{uuid.uuid4().hex[:8]}"), "CompatBuildSummary")
+    table.append(b)
+    table.update(t.startswith("v") & ~t.endswith("release"), {"updated_by": None})
+    return table.read().select(*KEY, "updated_by")
+
+
+@query("k10_defaults", with_fixtures(f"""
+select 'CompatBuildSummary' as target, cast(build_result as varchar) as a, build_msg as b, count(*) as n from
+  (select {KEYS_SQL}, 1 as build_result, 'Build passed!' as build_msg from f4_builds) t group by 1, 2, 3
+union all select 'CompatTestSummary', 'Tests pass', updated_by, count(*) from f4_builds group by 1, 2, 3
+union all select 'Compatibility', test_result, null, count(*) from f4_results group by 1, 2, 3
+union all select 'notification', 'NO', 'NO', count(*) from f4_notify group by 1, 2, 3
+union all select 'release_version_tag', tag, null, count(*) from (select distinct cast(intrinsic_version as bigint) as changelist, min(updated_by) as tag from f4_builds group by intrinsic_version) t group by 1, 2, 3
+union all select 'test_case_hierarchy', case when parent is null then 'root' else 'child' end, null, count(distinct id) from f5_specs group by 1, 2, 3
+""", "f4_results", "f4_builds", "f4_notify", "f5_specs"))
+def k10_defaults(spark, sf_dir):
+    root = scratch_path(spark, f"sink-out/k10-{uuid.uuid4().hex[:8]}")
+    builds, notify = fixture(spark, sf_dir, "f4_builds"), fixture(spark, sf_dir, "f4_notify")
+    tags = builds.groupBy(F.col("intrinsic_version").cast("bigint").alias("changelist")).agg(F.min("updated_by").alias("tag"))
+    specs = fixture(spark, sf_dir, "f5_specs").select(F.col("id").alias("test_case_name"), F.col("parent").alias("parent_test_case")).distinct()
+    given = {"CompatBuildSummary": (builds.select(*KEY), F.col("build_result").cast("string"), F.col("build_msg")),
+             "CompatTestSummary": (builds.select(*KEY, "updated_by"), F.col("compare_summary"), F.col("updated_by")),
+             "Compatibility": (fixture(spark, sf_dir, "f4_results"), F.col("test_result"), F.lit(None).cast("string")),
+             "notification": (notify.select("changelist", "author"), F.col("emailed"), F.col("ack")),
+             "release_version_tag": (tags, F.col("tag"), F.lit(None).cast("string")),
+             "test_case_hierarchy": (specs, F.when(F.col("parent_test_case").isNull(), "root").otherwise("child"), F.lit(None).cast("string"))}
+    out = None
+    for name, (rows, a, b) in given.items():
+        table = K.versioned(spark, root, name)
+        table.append(rows)
+        counted = table.read().groupBy(F.lit(name).alias("target"), a.alias("a"), b.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+        out = counted if out is None else out.unionByName(counted)
+    return out
 
 
 @query("k4_write_routed", with_fixtures(f"""

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from benchtrail.operators.compat import route_by_shape, update_where
 from benchtrail.session import materialize
+from benchtrail.sinks.versioned import VersionedTable
 
 # Table definitions (columns and keys of the result tables). Keys are
 # documented and checked by ``key_violations``; Spark does not enforce them.
@@ -30,8 +31,29 @@ NOTIFICATION = T.StructType([
     T.StructField("emailed", T.StringType()), T.StructField("ack", T.StringType()),
     T.StructField("jira", T.StringType()), T.StructField("comment", T.StringType()),
 ])
+KEYED = [T.StructField(c, T.StringType()) for c in ("intrinsic_version", "project_name", "project_version", "project_release")]
+BUILD_SUMMARY = T.StructType([*KEYED, T.StructField("build_result", T.LongType()), T.StructField("build_msg", T.StringType()), T.StructField("updated_by", T.StringType())])
+TEST_SUMMARY = T.StructType([*KEYED, *[T.StructField(c, T.StringType()) for c in (
+    "subtotal_on_passed", "subtotal_on_failed", "subtotal_on_unresolved", "compare_summary", "updated_by")]])
+COMPATIBILITY = T.StructType([*KEYED, T.StructField("test_api", T.StringType()), T.StructField("test_result", T.StringType())])
+HIERARCHY = T.StructType([T.StructField("test_case_name", T.StringType()), T.StructField("parent_test_case", T.StringType())])
+RELEASE_TAG = T.StructType([T.StructField("changelist", T.LongType()), *[T.StructField(c, T.StringType()) for c in ("tag", "sprint", "release_version")]])
+_KEY = ("intrinsic_version", "project_name", "project_version", "project_release")
 SCHEMAS = {"profile_runs": (PROFILE_RUNS, ("test_case_name", "board", "changelist", "updatetime")),
-           "notification": (NOTIFICATION, ("changelist",))}
+           "notification": (NOTIFICATION, ("changelist",)),
+           "CompatBuildSummary": (BUILD_SUMMARY, _KEY), "CompatTestSummary": (TEST_SUMMARY, _KEY),
+           "Compatibility": (COMPATIBILITY, (*_KEY, "test_api")),
+           "test_case_hierarchy": (HIERARCHY, ("test_case_name",)), "release_version_tag": (RELEASE_TAG, ("changelist",))}
+#: values of columns that a new row doesn't give (all others: null)
+DEFAULTS = {"notification": {"emailed": "NO", "ack": "NO"}, "CompatBuildSummary": {"build_result": 1, "build_msg": "Build passed!"},
+            "CompatTestSummary": {"compare_summary": "Tests pass"}}
+PARTITIONS = {"profile_runs": "algorithm", "CompatBuildSummary": "project_name", "CompatTestSummary": "project_name", "Compatibility": "project_name"}
+
+
+def versioned(spark: SparkSession, root: str, name: str) -> VersionedTable:
+    """The known table ``name`` below ``root``, with its defaults, keys and partitions."""
+    schema, keys = SCHEMAS[name]
+    return VersionedTable(spark, f"{root.rstrip('/')}/{name}", schema, keys, DEFAULTS.get(name), PARTITIONS.get(name))
 
 
 def create_tables(spark: SparkSession, root: str, names: Sequence[str] | None = None,
@@ -41,7 +63,8 @@ def create_tables(spark: SparkSession, root: str, names: Sequence[str] | None =
     made = []
     for name in names or SCHEMAS:
         schema, _ = SCHEMAS[name]
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        given = lambda f: f" DEFAULT {DEFAULTS[name][f]!r}" if f in DEFAULTS.get(name, {}) else ""
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}{given(f.name)}" for f in schema.fields)
         part = " PARTITIONED BY (algorithm, board)" if name == "profile_runs" else ""
         full = f"{prefix}{name}"
         spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({cols}) USING parquet{part} LOCATION '{root.rstrip('/')}/{full}'")
