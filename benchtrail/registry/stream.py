@@ -6,13 +6,18 @@ from __future__ import annotations
 
 import uuid
 
+import pandas as pd
+from pyarrow import fs as arrow_fs
+from pyspark.sql import functions as F
 
-from benchtrail.fixtures import fixture, with_fixtures
+from benchtrail.fixtures import fixture, raw, with_fixtures
 from benchtrail.operators import history as H
-from benchtrail.registry import query
+from benchtrail.registry import ORACLE, ingest, query  # noqa: F401  (ingest registers the oracle used below)
 from benchtrail.registry.culprit import BUILDS_SQL
 from benchtrail.registry.history import RECS
 from benchtrail.session import scratch_path
+from benchtrail.sources import logs as L
+from benchtrail.streaming import growing as G
 from benchtrail.streaming import ingest as S
 
 # The F1 projection of an events row (same expressions as the fixture view,
@@ -87,3 +92,42 @@ def t3_usage_totals_stream(spark, sf_dir):
     out = _out(spark, "t3b")
     S.run_available(agg, S.batch_writer(out), f"{out}-checkpoint", output_mode="update")
     return S.read_latest(spark, out, ("api", "changelist"))
+
+
+def _write_logs(lines, folder, share):
+    """Every file of ``lines`` with the first ``share`` of its lines, the last of them without its end."""
+    def write(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("line_no")
+        kept = "\n".join(rows["line"].iloc[:max(1, int(len(rows) * share))])
+        system, path = arrow_fs.FileSystem.from_uri(f"{folder}/{rows['file'].iat[0]}")
+        with system.open_output_stream(path) as f:
+            f.write(kept.encode())
+        return rows.iloc[:1][["file"]]
+    lines.select("file", "line_no", "line").groupBy("file").applyInPandas(write, "file string").write.format("noop").mode("overwrite").save()
+
+
+@query("t1_growing_logs", ORACLE["s2_parse_profile_report"])
+def t1_growing_logs(spark, sf_dir):
+    out = _out(spark, "t1-growing")
+    spark.range(1).write.parquet(f"{out}/logs/made")  # makes the folder on whatever file system it is
+    folder = spark.read.format("binaryFile").load(f"{out}/logs/made").select("path").first()[0].rsplit("/", 2)[0]
+    lines = fixture(spark, sf_dir, "f2_profile_lines")
+    logs = G.GrowingLogs(spark, folder, f"{out}/state")
+    for share in (0.3, 0.7, 1.0):
+        _write_logs(lines, folder, share)
+        logs.take(L.parse_profile_report, F.col("line").startswith("Node Name"), final=share == 1.0)
+    rows = logs.rows().withColumn("file", F.regexp_extract("file", "([^/]+)$", 1))
+    return rows.select(L.parse_profile_report(lines).columns)
+
+
+@query("t3_compacted_records", with_fixtures("""
+select test_case_name, board, changelist, updatetime, event_id, max_value, min_value, avg_value from recs
+""", "f1_runs", ctes=RECS))
+def t3_compacted_records(spark, sf_dir):
+    out = _out(spark, "t3c")
+    raw(spark, sf_dir, "events").repartition(8, "event_id").write.parquet(f"{out}/events")  # eight files, one a batch
+    stream = spark.readStream.schema(raw(spark, sf_dir, "events").schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/events").selectExpr(*RUN_EXPRS)
+    agg = S.latest_record_stream(stream, H.RECORD, values=["updatetime", "event_id", "max_value", "min_value", "avg_value"])
+    store = G.Compacted(spark, f"{out}/store", H.RECORD, every=3)
+    S.run_available(agg, store.add, f"{out}-checkpoint", output_mode="update")
+    return store.read()

@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from benchtrail.operators.compat import route_by_shape, update_where
+from benchtrail.operators.compat import route_by_shape
 from benchtrail.session import materialize
 from benchtrail.sinks.versioned import VersionedTable
 
@@ -154,16 +154,3 @@ def write_routed(frames: Sequence[DataFrame], root: str) -> list[str]:
     for df, name in zip(frames, names):
         df.write.mode("append").parquet(f"{root.rstrip('/')}/{name}")
     return names
-
-
-def write_update(root: str, df: DataFrame, predicate: Column, assignments: dict, version: int) -> None:
-    """K6: the updated rows as snapshot ``version`` of the table at ``root``;
-    earlier snapshots stay, so a failed write leaves the last one in place."""
-    update_where(df, predicate, assignments).write.mode("overwrite").parquet(f"{root.rstrip('/')}/version={version}")
-
-
-def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """The newest snapshot that ``write_update`` wrote."""
-    rows = spark.read.parquet(root)
-    newest = rows.agg(F.max("version")).first()[0]
-    return rows.filter(F.col("version") == newest).drop("version")
