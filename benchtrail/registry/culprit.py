@@ -3,14 +3,18 @@ nearest buildable build, culprit authors."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from benchtrail.fixtures import fixture, with_fixtures
 from benchtrail.operators import bisect as B
 from benchtrail.operators import history as H
+from benchtrail.operators import search as Q
 from benchtrail.plans import regression as R
 from benchtrail.registry import query
 from benchtrail.registry.history import RANGE, RECS
+from benchtrail.session import scratch_path
 
 KEYS = ["test_case_name", "board"]
 THR = 10.0
@@ -137,3 +141,42 @@ def w9_next_tests(spark, sf_dir):
     verdicts = recs.select(*KEYS, "changelist", F.lit(False).alias("fail"))
     return B.next_tests(r.select("changelist"), verdicts,
                         a.select(*KEYS, F.col("base_cl").alias("good_cl"), F.col("cand_cl").alias("bad_cl")), KEYS)
+
+
+# three of seven builds never build, so midpoints have to move and some ranges hold no build at all
+SEARCH_CTES = ALERT_CTES + """,
+gaps as (select changelist, cast(floor(changelist / 10) as bigint) % 7 not in (2, 3, 4) as build_ok from (select distinct changelist from f1_runs) c),
+ax as (select changelist, build_ok, cast(row_number() over (order by changelist) - 1 as bigint) as g from gaps),
+near as (select g, max(case when build_ok then g end) over (order by g) as before, min(case when build_ok then g end) over (order by g desc) as after from ax),
+s0 as (select a.test_case_name, a.board, a.base_cl as good_cl, a.cand_cl as bad_cl, l.g as lo, h.g as hi, l.g as lo0 from rng a join ax l on l.changelist = a.base_cl join ax h on h.changelist = a.cand_cl),
+vd as (select p.test_case_name, p.board, x.g, p.fail from pos p join ax x on x.changelist = p.changelist),
+walk as (
+  select test_case_name, board, good_cl, bad_cl, lo, hi, lo0, 0 as rounds, 'open' as status, cast(null as bigint) as nxt from s0
+  union all
+  select q.test_case_name, q.board, q.good_cl, q.bad_cl, case when q.pick is not null and not v.fail then q.pick else q.lo end,
+         case when q.pick is not null and v.fail then q.pick else q.hi end, q.lo0, q.rounds + case when q.pick is not null and v.fail is not null then 1 else 0 end,
+         case when q.look is null then 'found' when v.fail is null then 'waiting' when q.pick is null and v.fail then 'no answer' when q.pick is null then 'found' else 'open' end,
+         case when q.look is not null and v.fail is null then q.look end
+  from (select t.*, coalesce(t.pick, case when t.lo = t.lo0 then t.lo end) as look from
+    (select u.*, case when older is null then newer when newer is null then older when mid - older <= newer - mid then older else newer end as pick from
+      (select w.*, n.g as mid, case when n.before > w.lo and n.before < w.hi then n.before end as older, case when n.after > w.lo and n.after < w.hi then n.after end as newer
+       from walk w join near n on n.g = w.hi - (w.hi - w.lo + 1) // 2 where w.status = 'open') u) t) q
+  left join vd v on v.test_case_name = q.test_case_name and v.board = q.board and v.g = q.look)"""
+
+
+@query("w9_resumable_search", _rec(with_fixtures("""
+select w.test_case_name, w.board, w.good_cl, w.bad_cl, l.changelist as lo_cl, h.changelist as hi_cl, w.status, n.changelist as next_cl, w.rounds
+from walk w join ax l on l.g = w.lo join ax h on h.g = w.hi left join ax n on n.g = w.nxt where w.status <> 'open'
+""", "f1_runs", ctes=SEARCH_CTES)))
+def w9_resumable_search(spark, sf_dir):
+    r = runs(spark, sf_dir)
+    recs = H.latest_record(r, H.RECORD, values=["min_value"])
+    a = range_alerts(spark, sf_dir)
+    verdicts = (recs.join(a.select(*KEYS, "base_value"), KEYS)
+                    .select(*KEYS, "changelist", (F.col("min_value") > F.col("base_value") * (1 + THR / 100)).alias("fail")))
+    builds = r.select("changelist").distinct().withColumn("build_ok", ~(F.floor(F.col("changelist") / 10) % 7).isin(2, 3, 4))
+    search = Q.CulpritSearch(spark, scratch_path(spark, f"search/{uuid.uuid4().hex[:8]}"), KEYS)
+    search.begin(a.select(*KEYS, F.col("base_cl").alias("good_cl"), F.col("cand_cl").alias("bad_cl")), r.select("changelist"), builds)
+    for known in ("changelist % 30 = 0", "changelist % 20 = 0 or changelist % 30 = 0", "true"):  # results come in over three sessions
+        search.resume(r.select("changelist"), builds, verdicts.filter(known))
+    return search.state()
