@@ -141,14 +141,15 @@ select concat('<span class="', case when p_size % 3 = 0 then 'lineCov' else 'lin
 from part
 """
 
-# functional test results, REF = one year, DUT = the next.
+# functional test results, REF = one year, DUT = the next. One configuration passes all its cases from 1996 on.
 F4_RESULTS = """
 select intrinsic_version, project_name, project_version, project_release, test_api,
-       case status when 'F' then 'passed' when 'P' then 'failed' else 'unresolved' end as test_result
+       case when clean then 'passed' when status = 'F' then 'passed' when status = 'P' then 'failed' else 'unresolved' end as test_result
 from (select cast(year(o_orderdate) as varchar(4)) as intrinsic_version,
         case o_custkey % 3 when 0 then 'Mixer' when 1 then 'Dec_Pro' else 'Enc' end as project_name,
         'v1.0' as project_version, case o_custkey % 2 when 0 then 'generic_float_release' else 'neon_int_debug' end as project_release,
         concat('case_', cast(o_custkey % 400 as varchar(8))) as test_api, o_orderstatus as status,
+        year(o_orderdate) >= 1996 and o_custkey % 3 = 2 and o_custkey % 2 = 1 as clean,
         row_number() over (partition by year(o_orderdate), o_custkey % 3, o_custkey % 2, o_custkey % 400 order by o_orderkey desc) as rn
       from orders) o where rn = 1
 """
@@ -173,12 +174,12 @@ from (select intrinsic_version, project_name, project_version, project_release,
 cross join (select 1 as k union all select 2 union all select 3) kk
 """
 
-# F4 (builds): one build per (version, project) with a failed flag and a tag.
+# F4 (builds): one build per (version, project) with a failed flag (every third, others each year) and a tag.
 F4_BUILDS = """
 select intrinsic_version, project_name, project_version, project_release,
        concat(project_name, '_', project_version, '_', project_release) as config,
-       case when count(case when test_result = 'unresolved' then 1 end) > 2 then 1 else 0 end as build_failed,
-       case when count(case when test_result = 'failed' then 1 end) > 0 then 1 else 0 end as test_failed,
+       case when (cast(intrinsic_version as int) + length(project_name) + length(project_release)) % 3 = 0 then 1 else 0 end as build_failed,
+       case when count(case when test_result <> 'passed' then 1 end) > 0 then 1 else 0 end as test_failed,
        case cast(intrinsic_version as int) % 4 when 0 then concat('v', intrinsic_version, '_release')
             when 1 then concat('v', intrinsic_version, '_rc') when 2 then 'nightly' else 'V_upper' end as updated_by
 from f4_results group by 1, 2, 3, 4

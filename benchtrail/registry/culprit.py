@@ -20,7 +20,7 @@ KEYS = ["test_case_name", "board"]
 THR = 10.0
 
 CHANGES_SQL = """select distinct changelist, concat('dev_', cast((changelist / 10) % 13 as varchar(4))) as author from f1_runs"""
-BUILDS_SQL = """select distinct changelist, changelist % 70 <> 30 as build_ok from f1_runs"""
+BUILDS_SQL = """select distinct changelist, changelist % 130 >= 60 as build_ok from f1_runs"""
 
 
 def runs(spark, sf_dir):

@@ -99,15 +99,6 @@ def p11_found(spark, sf_dir):
     return D.found(spark.sql(WORK), spark.sql(DONE), ["test_case_name", "changelist"])
 
 
-@query("o3_first_seen_order", with_fixtures("""
-select test_case_name, changelist, event_id, min(event_id) over (partition by test_case_name) as first_seen
-from f1_runs where board = 'board_a'
-""", "f1_runs"))
-def o3_first_seen_order(spark, sf_dir):
-    r = fixture(spark, sf_dir, "f1_runs").filter(F.col("board") == "board_a").select("test_case_name", "changelist", "event_id")
-    return D.first_seen_order(r, "test_case_name", "event_id")
-
-
 @query("o3_first_seen_order_boards", with_fixtures("""
 select board, test_case_name, changelist, event_id, min(event_id) over (partition by board, test_case_name) as first_seen
 from f1_runs

@@ -23,8 +23,11 @@ def profile_lines(spark, sf_dir):
 
 
 def profile_nodes(spark, sf_dir):
+    return with_run_keys(L.parse_profile_report(profile_lines(spark, sf_dir)))
+
+
+def with_run_keys(n):
     """S2 nodes with the run key taken from the file name."""
-    n = L.parse_profile_report(profile_lines(spark, sf_dir))
     return n.select("*", F.regexp_extract("file", RUN_FILE, 1).cast("bigint").alias("changelist"),
                     F.regexp_extract("file", RUN_FILE, 2).alias("board"),
                     F.regexp_extract("file", RUN_FILE, 3).cast("bigint").alias("loop"))
@@ -115,6 +118,16 @@ def a1_merge_worst(spark, sf_dir):
     return M.merge_loops(profile_nodes(spark, sf_dir), ["changelist", "board"], behaviour="worst")
 
 
+@query("p16_root_dropped", _merge_sql("median"))
+def p16_root_dropped(spark, sf_dir):
+    """Every log begins with a root node, which is no test case."""
+    lines = fixture(spark, sf_dir, "f2_profile_lines")
+    root = [f"Node Name        : {M.ROOT_NODE}", *[f"{k:17s}: 999999 cycles" for k in ("Total", "Max", "Min", "Avg")], "Number of Calls  : 1"]
+    heads = lines.select("file").distinct().select("file", F.posexplode(F.array(*[F.lit(x) for x in root])).alias("n", "line"))
+    heads = heads.select("file", (F.col("n") - len(root)).cast("bigint").alias("line_no"), "line")
+    return M.merge_loops(with_run_keys(L.parse_profile_report(lines.unionByName(heads))), ["changelist", "board"], behaviour="default")
+
+
 @query("j11_positional_merge", with_fixtures("""
 select pos.changelist, pos.board, arg_min(test_case_name, loop_no) as test_case_name,
        cast(floor(median(floor(max_value * 100))) as bigint) as max_value,

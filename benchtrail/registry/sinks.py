@@ -84,13 +84,22 @@ def k2_write_table(spark, sf_dir):
     return spark.read.parquet(out)
 
 
-@query("k8_summary_json", with_fixtures("select * from s", "f1_runs", ctes=RECS + ",\n" + _PAIRS + ",\n" + _SUMMARY))
+@query("k8_summary_json", with_fixtures("""
+select 'summary' as part, concat(algorithm, ' ', board) as name, better, worse, no_change, total from s
+union all select verdict, test_case_name, null, null, null, null from (select test_case_name,
+  case when base - cand > base * 5.0 / 100 then 'better' when cand - base > base * 5.0 / 100 then 'worse' end as verdict from pairs) v where verdict is not null
+""", "f1_runs", ctes=RECS + ",\n" + _PAIRS + ",\n" + _SUMMARY))
 def k8_summary_json(spark, sf_dir):
     out = _dir(spark, "k8")
     r = runs(spark, sf_dir)
     K.write_summary_json(H.compare_builds(r, BASE_CL, CAND_CL, 5), H.case_lists(r, BASE_CL, CAND_CL, 5), out)
+    counts = ("better", "worse", "no_change", "total")
     schema = "algorithm string, board string, better bigint, worse bigint, no_change bigint, total bigint"
-    return spark.read.schema(schema).json(f"{out}/summary")
+    read = spark.read.schema(schema).json(f"{out}/summary").select(F.lit("summary").alias("part"), F.concat_ws(" ", "algorithm", "board").alias("name"), *counts)
+    for verdict in ("better", "worse"):
+        names = spark.read.text(f"{out}/{verdict}")
+        read = read.unionByName(names.select(F.lit(verdict).alias("part"), F.col("value").alias("name"), *[F.lit(None).cast("bigint").alias(c) for c in counts]))
+    return read
 
 
 @query("k1_append_known", with_fixtures("""
