@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from benchtrail.fixtures import fixture, with_fixtures
+from benchtrail.fixtures import fixture, raw, with_fixtures
 from benchtrail.operators import accept as A
 from benchtrail.operators import compat as C
 from benchtrail.registry import query
@@ -89,9 +89,18 @@ def _recursive(sql: str) -> str:
     return sql.replace("with ", "with recursive ", 1)
 
 
-@query("j9_resolve_tools", _recursive(with_fixtures("select id, tool, false as cycle from tools", "f5_specs", ctes=TOOLS_REC)))
+# specs that are each other's parent, beside the hierarchy; the last one may miss its partner
+PARTNER = "s_suppkey + case when s_suppkey % 2 = 0 then 1 else -1 end"
+
+
+@query("j9_resolve_tools", _recursive(with_fixtures("""select id, tool, false as cycle from tools
+union all select concat('loop_', cast(s_suppkey as varchar)), null, """ + PARTNER + """ in (select s_suppkey from supplier) from supplier""", "f5_specs", ctes=TOOLS_REC)))
 def j9_resolve_tools(spark, sf_dir):
-    return A.resolve_tools(specs(spark, sf_dir))
+    hierarchy = specs(spark, sf_dir)
+    loops = raw(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("loop_"), F.col("s_suppkey").cast("string")).alias("id"), F.concat(F.lit("loop_"), F.expr(PARTNER).cast("string")).alias("parent"),
+        F.array().cast(hierarchy.schema["steps"].dataType).alias("steps"))
+    return A.resolve_tools(hierarchy.unionByName(loops))
 
 
 R6 = TOOLS_REC + ",\n" + PAIRS + """,
