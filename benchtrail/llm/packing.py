@@ -1,16 +1,16 @@
 """Best-fit packing of token sequences by hierarchical residual packing.
 
 Documents become token ids; what is longer than a sequence is cut into whole
-sequences, the remainder first. Pieces shorter than a sequence are packed in
-rounds. In a round every partition packs its pieces best-fit (longest first,
-into the bin they fill up most), emits bins that are nearly full and hands the
-pieces of its underfull bins on. These are dealt to fewer partitions, so that
-the next round is one level up the tree: partitions that each had a few
-badly filled bins pack them together. The last round, when the rest fits one
-task or no longer shrinks, emits every bin.
+sequences, the remainder first. Pieces shorter than a sequence are packed up a
+tree. At its leaves every partition packs its pieces best-fit (longest first,
+into the bin they fill up most) and emits the bins that are nearly full, or too full
+for the shortest bin that is left anywhere. An underfull bin goes on as one item
+of its fill. A level up, the bins of ``FAN`` neighbouring groups are packed best-fit
+again, as items, and so on until one group is left, which emits every bin. A piece's
+place is found at the end, from the top down: the offsets of the bins that it lies in add up.
 
 A task holds at most ``TASK_PIECES`` slim rows (never texts or ids) at a time;
-a larger partition is packed in runs of that many.
+a larger group is packed in runs of that many.
 
 Defined results: a null or empty text is the end id alone; repeated rows are
 packed each; an empty table gives no sequence; other columns are ignored.
@@ -45,8 +45,8 @@ END_ID = 2
 #: a bin with at most this share unused is emitted in any round
 SLACK = 1 / 128
 TASK_PIECES = 250_000
-#: another round must place at least this share of what is left
-MIN_PROGRESS = 0.25
+#: groups that make one a level up
+FAN = 8
 #: characters that are encoded at a time
 RUN_CHARS = 8_000_000
 
@@ -182,57 +182,74 @@ def best_fit(lengths: list[int], capacity: int) -> tuple[list[int], list[int], l
     return bins, offsets, room
 
 
-def _round(pieces: DataFrame, number: int, last: bool, length: int) -> DataFrame:
-    keys = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+def _level(items: DataFrame, keys: list[str], level: int, last: bool, length: int) -> DataFrame:
+    """``keys`` of the items with bin, offset, fill, open (goes on as an item) and group. At level 0 a
+    group is a partition; above, rows come sorted by their group."""
+    order = ["length", *(["ids_crc32", "doc_id", "piece"] if level == 0 else ["item"])]
 
-    def pack(frame: pd.DataFrame, first: int) -> tuple[pd.DataFrame, int]:
-        frame = frame.sort_values(["length", "ids_crc32", "doc_id", "piece"], ascending=[False, True, True, True], kind="stable")
+    def pack(frame: pd.DataFrame, group: int, first: int) -> tuple[pd.DataFrame, int]:
+        frame = frame.sort_values(order, ascending=[False] + [True] * (len(order) - 1), kind="stable")
         bins, offsets, room = best_fit(frame["length"].tolist(), length)
-        out = np.asarray(room)[bins] <= (length if last else SLACK * length)
-        frame["sequence_id"] = pd.array(np.where(out, first + np.asarray(bins, np.int64), -1), "Int64")
-        frame["offset"] = np.asarray(offsets, np.int64)
-        frame.loc[~out, ["sequence_id"]] = pd.NA
+        left = np.asarray(room, np.int64)[bins]
+        frame = frame[keys].assign(bin=first + np.asarray(bins, np.int64), offset=np.asarray(offsets, np.int64), fill=length - left,
+                                   open=(not last) & (left > SLACK * length), group=group)
         return frame, first + len(room)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        first = (number << 58) + (TaskContext.get().partitionId() << 36)
-        held, n = [], 0
+        group, first, held, n = TaskContext.get().partitionId(), None, [], 0
         for frame in frames:
-            held.append(frame[keys])
-            n += len(frame)
-            if n >= TASK_PIECES:
-                out, first = pack(pd.concat(held), first)
-                held, n = [], 0
-                yield out
+            for g, part in [(group, frame)] if level == 0 else frame.groupby("group", sort=False):
+                if n and (g != group or n >= TASK_PIECES):
+                    out, first = pack(pd.concat(held), group, first)
+                    held, n = [], 0
+                    yield out
+                if first is None or g != group:
+                    group, first = g, (level << 58) + (int(g) << 36)
+                held.append(part)
+                n += len(part)
         if n:
-            yield pack(pd.concat(held), first)[0]
+            yield pack(pd.concat(held), group, first)[0]
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema if f.name in keys)
-    return pieces.mapInPandas(run, f"{schema}, sequence_id long, offset long")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in items.schema if f.name in keys)
+    return items.mapInPandas(run, f"{schema}, bin long, offset long, fill long, open boolean, group long")
+
+
+def _open_bins(packed: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """(item, length, group) of the bins that go on. One without room for the shortest of them stays as it is."""
+    bins = stored(packed.filter("open").groupBy(F.col("bin").alias("item")).agg(F.max("fill").alias("length"), F.max("group").alias("group")), name)
+    return bins, bins.agg(F.min("length")).first()[0] or 0
 
 
 def pack_pieces(pieces: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``pieces`` with sequence_id and offset. Every round is stored, so a lost
-    executor cannot change what earlier rounds placed."""
+    """``pieces`` with sequence_id and offset. Every level is stored, so a lost
+    executor cannot change what earlier levels placed."""
     pieces = stored(pieces, "pieces")
-    left, done, number = pieces.count(), [], 0
-    last = left <= TASK_PIECES and pieces.rdd.getNumPartitions() == 1
+    groups, keys = pieces.rdd.getNumPartitions(), pieces.columns
+    packed = stored(_level(pieces, keys, 0, groups == 1 and pieces.count() <= TASK_PIECES, length), "packed")
+    below, levels, level = packed, [], 0
     while True:
-        packed = stored(_round(pieces, number, last, length), "packed")
-        done.append(packed.filter("sequence_id is not null"))
-        if last:
+        items, shortest = _open_bins(below, "bins")
+        items = items.filter(F.col("length") + shortest <= length)
+        if items.isEmpty():
             break
-        pieces, before = packed.filter("sequence_id is null"), left
-        left = pieces.count()
-        if not left:
+        groups, level = -(-groups // FAN), level + 1
+        items = items.withColumn("group", F.expr(f"group div {FAN}"))
+        grouped = items.repartition(groups, "group").sortWithinPartitions("group")
+        below = stored(_level(grouped, ["item"], level, groups == 1, length), "level")
+        levels.append(below.select("item", "bin", "offset"))
+        if groups == 1:
             break
-        parts, number = -(-left // TASK_PIECES), number + 1
-        last = parts == 1 or left > (1 - MIN_PROGRESS) * before
-        pieces = pieces.repartition(parts)
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out
+    if not levels:
+        return packed.select(*keys, F.col("bin").alias("sequence_id"), "offset")
+    place = levels.pop()  # (item, bin, offset): where a bin ends up, from the top down
+    while levels:
+        up = place.select(F.col("item").alias("bin"), F.col("bin").alias("_bin"), F.col("offset").alias("_offset"))
+        place = stored(levels.pop().join(up, "bin", "left").select("item", F.coalesce("_bin", "bin").alias("bin"),
+                                                                  (F.col("offset") + F.coalesce("_offset", F.lit(0))).alias("offset")), "places")
+    up = place.select(F.col("item").alias("bin"), F.col("bin").alias("_bin"), F.col("offset").alias("_offset"))
+    moved = packed.filter("open").join(up, "bin", "left")
+    moved = moved.select(*keys, F.coalesce("_bin", "bin").alias("sequence_id"), (F.col("offset") + F.coalesce("_offset", F.lit(0))).alias("offset"))
+    return packed.filter("not open").select(*keys, F.col("bin").alias("sequence_id"), "offset").unionByName(moved)
 
 
 def pack_documents(docs: DataFrame, **options) -> DataFrame:

@@ -202,7 +202,6 @@ def encoder():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return lambda text: np.array(t.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
 
 
@@ -244,6 +243,25 @@ def test_packing_rounds(spark, monkeypatch):
     assert len({r.sequence_id for r in found}) == 300
 
 
+def test_bins_are_items_up_a_tree(spark, monkeypatch):
+    """Many small partitions: several levels, offsets add up, hardly more sequences than in one partition."""
+    monkeypatch.setattr(packing, "FAN", 3)
+    r = random.Random(8)
+    rows = [(i, 0, 0, r.choice([r.randint(1, 300), r.randint(300, 1024)]), r.randint(0, 2**32 - 1)) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    counts = {}
+    for parts in (1, 30):
+        found = packing.pack_pieces(df.repartition(parts)).collect()
+        assert sorted((x.doc_id, x.piece, x.start, x.length, x.ids_crc32) for x in found) == rows
+        by = collections.defaultdict(list)
+        for x in found:
+            by[x.sequence_id].append((x.offset, x.length))
+        for places in by.values():
+            assert [o for o, _ in sorted(places)] == [sum(n for _, n in sorted(places)[:k]) for k in range(len(places))] and sum(n for _, n in places) <= 1024
+        counts[parts] = len(by)
+    assert counts[30] <= 1.06 * counts[1]
+
+
 def test_packing_awkward_rows(spark):
     check_packing(packing.pack_documents(awkward(spark)).collect(), [(r[0], r[1]) for r in awkward_rows()])
     assert packing.pack_documents(empty(spark)).count() == 0
@@ -252,7 +270,8 @@ def test_packing_awkward_rows(spark):
 def test_encoder_is_that_of_the_tokenizers_library():
     import public_tokenizers
 
-    r, own, other = random.Random(4), packing.Encoder(public_tokenizers.path(packing.VOCABULARY)), encoder()
+    r, other = random.Random(4), encoder()
+    own = packing.Encoder(public_tokenizers.path(packing.VOCABULARY), packing.added_tokens(public_tokenizers.path(packing.ADDED)))
     for _ in range(400):
         texts = ["".join(r.choices(list("ab1 '.,\n\t \x1cé中\0s") + ["<|endoftext|>", " the", "  "], k=r.randint(0, 30))) for _ in range(r.randint(0, 3))]
         assert [x.tolist() for x in own.encode(texts)] == [other(t).tolist()[:-1] for t in texts], texts
