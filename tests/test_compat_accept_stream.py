@@ -143,7 +143,7 @@ def test_stream_latest_record_equals_batch(spark, tmp_dir):
 def test_append_known_and_tables(spark, tmp_dir):
     prefix = f"t{uuid.uuid4().hex[:6]}_"
     names = K.create_tables(spark, tmp_dir, prefix=prefix)
-    assert set(names) == {f"{prefix}profile_runs", f"{prefix}notification"}
+    assert set(names) == {f"{prefix}{n}" for n in K.SCHEMAS} and {f"{prefix}profile_runs", f"{prefix}notification"} <= set(names)
     df = spark.createDataFrame([(5, "dev", "NO", "x-extra")], "changelist int, author string, emailed string, extra string")
     K.append_known(df, f"{prefix}notification")
     r = spark.table(f"{prefix}notification").first()
