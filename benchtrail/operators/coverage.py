@@ -26,25 +26,33 @@ ARGUMENT = r"\(([^(,]+)(?=,)"
 DEFINE = r"^#define +([^ |(]+)"
 
 
-def match_candidates(lines: DataFrame, lengths: list[int], line_col: str = "line") -> DataFrame:
-    """The strings an API could equal at a match position of some line, in one
-    column ``cand``. Lines are cut where a name ends, so an API with the
-    boundary rule is the end of a piece, and the character before it (the end
-    of the piece before, if it is a whole one) is not '_'; only ends of the
-    given lengths can be one. APIs are plain strings of any characters but
-    the boundary ones.
-
-    What a piece can match depends on its text alone: pieces are
-    deduplicated (with a map-side combine) before their ends are taken."""
+# characters at the end of a name that tell which of its lengths are worth a try
+TAIL = 3
+
+
+def match_candidates(lines: DataFrame, names: DataFrame, line_col: str = "line", col: str = "api") -> DataFrame:
+    """The strings an API of ``names`` could equal at a match position of some
+    line, in one column ``cand``. Lines are cut where a name ends, so an API
+    with the boundary rule is the end of a piece, and the character before it
+    (the end of the piece before, if it is a whole one) is not '_'. APIs are
+    plain strings of any characters but the boundary ones.
+
+    What a piece or an argument can match depends on its text alone: both are
+    deduplicated in one aggregation (with a map-side combine), and a piece is
+    only cut at the lengths of the names that end in the same few characters
+    as itself."""
     line = F.col(line_col)
-    pieces = (lines.select(F.posexplode(F.split(line, ENDS)).alias("pos", "piece")).filter("piece != ''")
-                   .groupBy("piece").agg(F.max((F.col("pos") > 0).cast("int")).alias("inner")).withColumn("n", F.length("piece")))
-    sizes = F.filter(F.array(*[F.lit(int(x)) for x in lengths]).cast("array<int>"), lambda k: k <= F.col("n"))
-    ends = pieces.select("piece", "inner", "n", F.explode(sizes).alias("k"))
-    whole = F.col("k") == F.col("n")
-    ends = ends.filter((whole & (F.col("inner") == 1)) | (~whole & (F.expr("substring(piece, n - k, 1)") != "_")))
-    arguments = lines.filter(line.contains("(")).select(F.explode(F.regexp_extract_all(line, F.lit(ARGUMENT), 1)).alias("cand"))
-    return ends.select(F.expr("right(piece, k)").alias("cand")).unionByName(arguments)
+    pieces = lines.select(F.posexplode(F.split(line, ENDS)).alias("pos", "piece")).select("piece", (F.col("pos") > 0).alias("whole"), F.lit(True).alias("ends"))
+    arguments = lines.filter(line.contains("(")).select(F.explode(F.regexp_extract_all(line, F.lit(ARGUMENT), 1)).alias("piece"),
+                                                        F.lit(True).alias("whole"), F.lit(False).alias("ends"))
+    cut = (pieces.unionByName(arguments).filter("piece != ''").groupBy("piece").agg(F.max("whole").alias("whole"), F.max("ends").alias("ends"))
+           .withColumn("n", F.length("piece")))
+    tails = (names.select(F.right(F.col(col), F.lit(TAIL)).alias("tail"), F.length(col).alias("k"))
+             .groupBy("tail").agg(F.collect_set("k").alias("ks")))  # as many as names have lengths
+    tail = F.explode(F.transform(F.sequence(F.lit(1), F.least(F.lit(TAIL), "n")), lambda k: F.right(F.col("piece"), k)))
+    tried = cut.withColumn("tail", tail).join(tails, "tail").select("piece", "whole", "ends", "n", F.explode("ks").alias("k"))
+    inside = F.col("ends") & (F.col("k") < F.col("n")) & (F.expr("substring(piece, n - k, 1)") != "_")
+    return tried.filter((F.col("whole") & (F.col("k") == F.col("n"))) | inside).select(F.expr("right(piece, k)").alias("cand"))
 
 
 def token_match(apis: DataFrame, report: DataFrame, covered: Column | None = None,
@@ -52,11 +60,9 @@ def token_match(apis: DataFrame, report: DataFrame, covered: Column | None = Non
     """The APIs that occur (boundary rule above) in a covered line of the
     report. ``covered`` defaults to "line contains lineCov"."""
     cov = covered if covered is not None else F.col("line").contains(COVERED_MARK)
-    lines = report.filter(cov).select("line")
-    # read twice: for the lengths (one row: as many values as the longest name has characters) and the join
-    names = materialize(apis.select(col).distinct(), "names")
-    lengths = sorted(names.agg(F.collect_set(F.length(col))).first()[0])
-    return names.join(match_candidates(lines, lengths).withColumnRenamed("cand", col), col, "left_semi")
+    names = materialize(apis.select(col).distinct(), "names")  # read twice: for the tails and the join
+    found = match_candidates(report.filter(cov).select("line"), names, col=col)
+    return names.join(found.withColumnRenamed("cand", col), col, "left_semi")
 
 
 def macro_defined(apis: DataFrame, header_lines: DataFrame, col: str = "api") -> DataFrame:

@@ -96,7 +96,7 @@ cands as (select piece as cand from runs where prv is not null and nxt in (' ',
 @query("j6_token_match_documents", with_fixtures("select api from words where api in (select cand from cands)", ctes=DOC_CTES))
 def j6_token_match_documents(spark, sf_dir):
     docs = raw(spark, sf_dir, "documents")
-    apis = docs.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z0-9_]+"), 0)).alias("api")).distinct()
+    apis = docs.select(F.explode(F.split("text", "[^A-Za-z0-9_]+")).alias("api")).filter("api != ''").distinct()
     lines = docs.select(F.explode(F.split("text", "\n")).alias("line"))
     return V.token_match(apis, lines, covered=F.length("line") > 40)
 
