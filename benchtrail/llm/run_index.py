@@ -16,9 +16,13 @@ else. Three steps find all of them:
    so streaming over the text from sample to sample gives the matching
    statistics of every position; windows with a match of ``LENGTH`` repeat.
 
-Anchors with very many different segments (a passage shared by a large part
+An anchor with very many different segments (a passage shared by a large part
 of all documents, before or after which each goes its own way) would make one
-index too large; their windows are hashed and counted instead.
+index too large. Its windows are split by how far before the anchor they start,
+into halves; the windows of a half have some bytes around the anchor in common,
+and equal windows have these alike, so a half is dealt to an index by them.
+Equal parts are repeated as a whole, as in step 2. Halves that are still too
+large are split again, until a part is a single window.
 
 Spans are judged on the input. Defined results: a null text counts as empty;
 repeated rows are copies of each other and are removed whole from ``LENGTH``
@@ -29,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -37,21 +42,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from benchtrail.llm.common import documents, stored
+from benchtrail.llm.common import documents, keyed, stored
 from benchtrail.llm.shingles import mix
 
 LENGTH = 400
 GRAM = 32
 #: window starts that are looked at together in a long text
 SLICE = 4_000_000
-#: bytes of segments in one index, and different segments of one anchor beyond which windows are hashed
+#: bytes of segments in one index, and different segments of one anchor beyond which they are split
 INDEX_BYTES, MANY = 1_000_000, 5000
 #: symbols that one integer holds
 PACKED = 7
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
-BASE2 = np.uint64(0xC2B2AE3D27D4EB4F)
-INVERSE2 = np.uint64(pow(int(BASE2), -1, 2**64))
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
@@ -60,10 +63,10 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def window_hashes(b: np.ndarray, size: int, base=BASE, inverse=INVERSE) -> np.ndarray:
+def window_hashes(b: np.ndarray, size: int) -> np.ndarray:
     """A hash of every window of ``size`` bytes."""
-    sums = np.append(np.uint64(0), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * _powers(base, len(b)), dtype=np.uint64))
-    return mix((sums[size:] - sums[:-size]) * _powers(inverse, len(b) - size + 1))
+    sums = np.append(np.uint64(0), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * _powers(BASE, len(b)), dtype=np.uint64))
+    return mix((sums[size:] - sums[:-size]) * _powers(INVERSE, len(b) - size + 1))
 
 
 def anchors(b: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -230,23 +233,54 @@ def _indexed(parts: DataFrame, groups: int) -> DataFrame:
             .applyInPandas(run, "t1 long, t2 long, start long, end long"))
 
 
-def _hashed(parts: DataFrame) -> DataFrame:
-    """(t1, t2, start, end) of the repeated windows of anchors with very many segments."""
-    names = ["w1", "w2", "t1", "t2", "start", "single"]
+def _halves(parts: DataFrame) -> DataFrame:
+    """(t1, t2, fp, lo, hi, x, y, single, s1, s2, bytes): the parts (with the windows that start x to y - 1 bytes
+    before the anchor) in two; fp tells the bytes that all windows of a half have in common."""
+    names = ["t1", "t2", "fp", "lo", "hi", "x", "y", "single", "s1", "s2", "bytes"]
+    kinds = [*[pa.int64()] * 5, pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()]
+    signed = lambda h: (h & (2**64 - 1)) - ((h >> 63 & 1) << 64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for t1, t2, lo, single, raw in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3, 4, 6))):
-                b = np.frombuffer(raw, np.uint8)
-                w = [window_hashes(b, LENGTH, *p).astype(np.int64) for p in ((BASE, INVERSE), (BASE2, INVERSE2))]
-                k = len(w[0])
-                yield pa.RecordBatch.from_arrays([pa.array(w[0]), pa.array(w[1]), pa.array(np.full(k, t1)), pa.array(np.full(k, t2)),
-                                                  pa.array(lo + np.arange(k)), pa.array(np.full(k, single))], names)
-
-    windows = parts.mapInArrow(run, "w1 long, w2 long, t1 long, t2 long, start long, single boolean")
-    place = F.xxhash64("t1", "t2", "start")
-    twice = (windows.groupBy("w1", "w2").agg(F.min(place).alias("x"), F.max(place).alias("y")).filter("x != y").select("w1", "w2"))
-    return windows.filter("single").join(twice, ["w1", "w2"]).select("t1", "t2", "start", (F.col("start") + LENGTH).alias("end"))
+            out = []
+            for t1, t2, lo, x, y, single, raw in zip(*(batch.column(i).to_pylist() for i in range(7))):
+                place = int(anchors(np.frombuffer(raw, np.uint8))[1][0])  # one for all windows of a part
+                for u, v in ((x, (x + y) // 2), ((x + y) // 2, y)):
+                    start, last = max(0, place - v + 1), min(len(raw) - LENGTH, place - u)
+                    if start <= last:
+                        common = xxhash.xxh3_64_intdigest(raw[place - u:place - v + 1 + LENGTH], seed=u << 16 | v)
+                        part = raw[start:last + LENGTH]
+                        digest = xxhash.xxh3_128_intdigest(part, seed=place - start)
+                        out.append((t1, t2, signed(common), lo + start, lo + last + LENGTH, u, v, single, signed(digest >> 64), signed(digest), part))
+            cols = list(zip(*out)) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
+
+    return parts.select("t1", "t2", "lo", "x", "y", "single", "bytes").mapInArrow(
+        run, "t1 long, t2 long, fp long, lo long, hi long, x int, y int, single boolean, s1 long, s2 long, bytes binary")
+
+
+def _split(parts: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Of the segments of crowded anchors: spans (t1, t2, start, end) of equal parts, and parts for indexes.
+
+    A round halves what is still crowded. After the rounds that it takes to
+    reach one window, equal parts are all that a key can have.
+    """
+    spans, ready = [], []
+    parts = parts.withColumns({"x": F.lit(0), "y": F.lit(LENGTH - GRAM + 1)})
+    while not parts.isEmpty():
+        halves = stored(_halves(parts), "halves")
+        total = halves.count()
+        kinds = stored(halves.groupBy("fp", "s1", "s2").agg(
+            F.count(F.lit(1)).alias("copies"), F.first(F.struct("t1", "t2", "lo", "x", "y", "single", "bytes")).alias("r")), "half-kinds")
+        again = kinds.filter("copies > 1").select("fp", "s1", "s2", "copies")
+        spans.append(keyed(halves.filter("single").drop("bytes"), again, ["fp", "s1", "s2"], total)
+                     .select("t1", "t2", F.col("lo").alias("start"), F.col("hi").alias("end")))
+        different = kinds.select("fp", "r.t1", "r.t2", "r.lo", "r.x", "r.y", (F.col("r.single") & (F.col("copies") == 1)).alias("single"), "r.bytes")
+        sizes = stored(different.groupBy("fp").agg(F.count(F.lit(1)).alias("copies")), "half-sizes")
+        sized = keyed(different, sizes, ["fp"], total)
+        ready.append(sized.filter(F.col("copies") <= MANY).select("t1", "t2", "fp", "lo", "single", "bytes"))
+        parts = sized.filter(F.col("copies") > MANY)
+    return spans, ready
 
 
 def repeated_spans(texts: DataFrame, rows: DataFrame) -> DataFrame:
@@ -254,22 +288,26 @@ def repeated_spans(texts: DataFrame, rows: DataFrame) -> DataFrame:
     that have any; ``texts`` has (id, t1, t2, text), ``rows`` the same without text."""
     found = stored(anchor_rows(texts.select("t1", "t2", "text").filter(F.octet_length("text") >= LENGTH)), "anchors")
     place = F.xxhash64("t1", "t2", "lo")
-    stats = (found.groupBy("fp").agg(F.min(place).alias("p"), F.max(place).alias("q"), F.min("s1").alias("x"), F.max("s1").alias("y"))
-             .filter("p != q").select("fp", (F.col("x") != F.col("y")).alias("mixed")))
-    again = stored(found.join(stats, "fp").dropDuplicates(["fp", "t1", "t2", "lo"]), "anchors-again")
+    total = found.count()
+    stats = stored(found.groupBy("fp").agg(F.count(F.lit(1)).alias("copies"), F.min(place).alias("p"), F.max(place).alias("q"), F.min("s1").alias("x"),
+                                           F.max("s1").alias("y"))
+                   .filter("p != q").select("fp", "copies", (F.col("x") != F.col("y")).alias("mixed")), "anchor-counts")
+    again = keyed(found, stats, ["fp"], total).drop("copies")
+    again = stored(again.dropDuplicates(["fp", "t1", "t2", "lo"]), "anchors-again")
     whole = again.filter("not mixed").select("t1", "t2", F.col("lo").alias("start"), F.col("hi").alias("end"))
     mixed = again.filter("mixed")
     segments = stored(mixed.groupBy("fp", "s1", "s2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("t1", "t2", "lo", "hi")).alias("at")), "segments")
-    several = (mixed.join(segments.filter("n > 1").select("fp", "s1", "s2"), ["fp", "s1", "s2"])
+    several = (keyed(mixed, segments.filter("n > 1").select("fp", "s1", "s2", F.col("n").alias("copies")), ["fp", "s1", "s2"], total)
                .select("t1", "t2", F.col("lo").alias("start"), F.col("hi").alias("end")))
-    many = segments.groupBy("fp").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > MANY).select("fp", F.lit(True).alias("many"))
-    wanted = segments.join(many, "fp", "left").select("at.t1", "at.t2", "fp", "at.lo", "at.hi", (F.col("n") == 1).alias("single"),
+    many = segments.groupBy("fp").agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > MANY).withColumn("many", F.lit(True))
+    wanted = keyed(segments, stored(many, "crowded"), ["fp"], total, "left").select("at.t1", "at.t2", "fp", "at.lo", "at.hi", (F.col("n") == 1).alias("single"),
                                                       F.coalesce("many", F.lit(False)).alias("many"))
     first = rows.groupBy("t1", "t2").agg(F.min("id").alias("first"))  # of equal texts, one is read
     parts = stored(_contents(texts, wanted, first), "segment-bytes")
-    size = parts.filter("not many").agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
-    spans = (whole.unionByName(several).unionByName(_indexed(parts.filter("not many"), max(1, -(-size // INDEX_BYTES))))
-             .unionByName(_hashed(parts.filter("many"))))
+    spans, ready = _split(parts.filter("many"))
+    parts = reduce(DataFrame.unionByName, ready, parts.filter("not many").drop("many"))
+    size = parts.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
+    spans = reduce(DataFrame.unionByName, [whole, several, *spans], _indexed(parts, max(1, -(-size // INDEX_BYTES))))
     return spans.groupBy("t1", "t2").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
 
 

@@ -70,7 +70,7 @@ def test_op2_matches_brute_force_on_smoke_documents(spark):
     assert got(R.op2_run_index_repeats(spark, SMOKE), "doc_id") == dict(zip((d for d, _ in docs), expected([t.encode() for _, t in docs])))
 
 
-def test_shared_passages_with_an_index_and_with_hashed_windows(spark, monkeypatch):
+def test_shared_passages_in_one_index_and_split(spark, monkeypatch):
     r = random.Random(9)
     passage = "".join(r.choices("abcdefg é", k=900))
     texts = ["".join(r.choices("xyz uvw", k=r.randint(0, 700))) + passage[r.randint(0, 60):r.randint(500, 900)] + "".join(r.choices("klm nop", k=300))
@@ -80,6 +80,39 @@ def test_shared_passages_with_an_index_and_with_hashed_windows(spark, monkeypatc
     assert got(R.remove_repeats(df)) == want
     monkeypatch.setattr(R, "MANY", 3)
     assert got(R.remove_repeats(df)) == want
+    monkeypatch.setattr(R, "MANY", 1)  # down to single windows
+    assert got(R.remove_repeats(df)) == want
+
+
+def test_passage_in_a_third_of_all_texts_splits_at_its_anchors(spark, monkeypatch):
+    """Passages below, at and above the length, with other bytes before and after each; and a text that repeats one gram."""
+    r = random.Random(31)
+    rand = lambda n: "".join(r.choices("qwertzuiop asdfgh", k=n))
+    passages = [rand(n) for n in (390, R.LENGTH, 460, 700)]
+    texts = [rand(r.randint(0, 500)) + r.choice(passages) + rand(r.randint(0, 500)) if i % 3 == 0 else rand(r.randint(0, 900)) for i in range(150)]
+    texts += ["ab" * 700, "ab" * 500 + rand(30), rand(30) + "ab" * 600]
+    want = dict(enumerate(expected([t.encode() for t in texts])))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(R, "MANY", 4)
+    assert got(R.remove_repeats(df)) == want
+    assert sum(x[1] > 0 for x in want.values()) > 30
+
+
+def test_halves_hold_every_window_once(spark):
+    raw = random.Random(3).randbytes(2000)
+    fp, place, first, last = R.anchors(np.frombuffer(raw, np.uint8))
+    rows = [(int(a), 0, R.LENGTH - R.GRAM + 1, raw[a:b + R.LENGTH]) for a, b in zip(first, last)]
+    for _ in range(10):
+        parts = spark.createDataFrame([(0, 0, lo, x, y, True, b) for lo, x, y, b in rows],
+                                      "t1 long, t2 long, lo long, x int, y int, single boolean, bytes binary")
+        halves = R._halves(parts).collect()
+        assert all(bytes(h.bytes) == raw[h.lo:h.hi] for h in halves)
+        assert sorted(s for h in halves for s in range(h.lo, h.hi - R.LENGTH + 1)) == sorted(
+            s for lo, *_, b in rows for s in range(lo, lo + len(b) - R.LENGTH + 1))
+        rows = [(h.lo, h.x, h.y, bytes(h.bytes)) for h in halves if h.y - h.x > 1]
+        if not rows:
+            break
+    assert not rows
 
 
 def test_awkward_rows(spark):
