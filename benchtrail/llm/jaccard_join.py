@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from benchtrail.llm.common import documents, stored
+from benchtrail.llm.common import documents, keyed, stored
 from benchtrail.llm.components import components
 from benchtrail.llm.shingles import mix, set_key, shingle_set
 
@@ -56,8 +56,8 @@ SAMPLE, FREQUENT, MAX_FREQUENT = 4000, 8, 100_000
 SMALL = 4
 #: least parity bits of a set, and sets of a cluster that are compared with each other at a time
 BITS, BLOCK = 1024, 2048
-#: signatures a task packs at a time, and blocks per shuffle partition
-PACK, BLOCKS = 2_000_000, 1
+#: signatures a task packs at a time, tokens of all texts per bucket of signatures, and shuffle partitions for buckets at most
+PACK, BUCKET, PARTITIONS = 2_000_000, 2_000_000, 20_000
 LOW = np.uint64(2**48 - 1)
 
 
@@ -335,9 +335,12 @@ def verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, id_col: str,
 def links(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Links (a, b) between the keys of different sets that give all components."""
     texts = docs.select(F.col(text_col).alias("text")).filter("text is not null")
-    frequent = frequent_tokens(texts, rows.count())
-    buckets = BLOCKS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = stored(meet(packed_signatures(texts, buckets, frequent)), "met")
+    counts = rows.agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("tokens")).first()
+    frequent = frequent_tokens(texts, counts.rows)
+    # a bucket fits a task whatever the input; a task takes one bucket after the other
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(counts.tokens or 0) // BUCKET))
+    packed = packed_signatures(texts, buckets, frequent).repartition(min(buckets, PARTITIONS), "bucket")
+    met = stored(meet(packed), "met")
     pairs = stored(met.filter("kind = 0").select("a", "b").distinct(), "candidates")
     firsts = stored(rows.groupBy("u").agg(F.min(F.struct("id", "text_hash")).alias("d"), F.first("n").alias("n"), F.first("bits").alias("bits")), "firsts")
     linked = verified(pairs, firsts, docs, id_col, text_col)
@@ -346,8 +349,9 @@ def links(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataF
     members = met.filter("kind = 1").select(F.col("a").alias("sig"), F.col("b").alias("u"), "slack").distinct()
     rooted = members.join(components(linked).withColumnRenamed("node", "u"), "u", "left").withColumn("root", F.coalesce("root", "u"))
     rooted = stored(rooted, "members")
-    several = rooted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("sig")
-    open_ = stored(rooted.join(several, "sig"), "open")
+    several = (rooted.groupBy("sig").agg(F.count(F.lit(1)).alias("copies"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+               .filter("lo != hi").select("sig", "copies"))
+    open_ = stored(keyed(rooted, stored(several, "open-signatures"), ["sig"], rooted.count()).drop("copies"), "open")
     rest = stored(unfinished(open_), "unsafe")
     if rest.isEmpty():
         return linked
@@ -420,8 +424,8 @@ def similarity_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows = rows.join(roots.withColumnRenamed("node", "u"), "u", "left").withColumn("key", key).select("id", "text_hash", "n", "key")
     rows = stored(rows, "rooted")
     best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("best")
-    firsts = rows.filter("key is not null").groupBy("key").agg(best)
-    return (rows.join(firsts, "key", "left")
+    firsts = stored(rows.filter("key is not null").groupBy("key").agg(F.count(F.lit(1)).alias("copies"), best), "component-firsts")
+    return (keyed(rows, firsts, ["key"], rows.count(), "left")
             .select("id", "text_hash", "n", F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("best.id")).alias("component"),
                     F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("best.id")).alias("first_id"),
                     F.when(F.col("key").isNull(), F.col("text_hash")).otherwise(F.col("best.text_hash")).alias("first_hash")))
