@@ -4,6 +4,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pytest
 from cases import awkward, awkward_rows, empty
 from pyspark.sql import functions as F
 
@@ -98,13 +99,58 @@ def test_op5_recall_scores_and_order(spark):
         got.setdefault(r.query_id, []).append((r.vec_id, r.score))
     assert got.keys() == want.keys() and all(len(v) == 20 for v in got.values())
     recall = [len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want]
-    assert np.mean(recall) >= 0.93
+    assert np.mean(recall) >= 0.95
     for q, found in got.items():
         exact = dict(want[q])
         assert all(abs(exact[i] - s) < 1e-12 for i, s in found if i in exact)
         assert found == sorted(found, key=lambda x: (-x[1], x[0]))
 
 
+def directions(n, dim, seed):
+    x = np.random.default_rng(seed).standard_normal((n, dim))
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def vector_sets():
+    r = np.random.default_rng(7)
+    centres = r.standard_normal((60, 32))
+    hot = np.repeat(r.standard_normal((1, 16)), 1500, axis=0)  # a third of all rows are one vector
+    yield "gaussian", r.standard_normal((6000, 64)), 0.5
+    yield "log-normal lengths", directions(6000, 64, 8) * r.lognormal(0, 1, 6000)[:, None], 0.2
+    yield "clusters", centres[r.integers(0, 60, 6000)] + 0.15 * r.standard_normal((6000, 32)), 0.2
+    yield "hot vector", np.concatenate([hot, r.standard_normal((3000, 16))]), 1.0
+    yield "one component", r.standard_normal((300, 1)), 1.0
+    yield "huge and tiny", directions(600, 8, 9) * np.where(np.arange(600) % 2, 1e120, 1e-120)[:, None], 1.0
+
+
+@pytest.mark.parametrize("recall", [C.RECALL, None], ids=["probable", "exact"])
+@pytest.mark.parametrize("name, vectors, most", list(vector_sets()), ids=[name for name, *_ in vector_sets()])
+def test_neighbours_of_a_block(name, vectors, most, recall):
+    ids = np.random.default_rng(3).permutation(len(vectors) * 2)[:len(vectors)]
+    asked = np.flatnonzero(ids % 20 == 0)[:60]
+    block, want = C.Block(ids, vectors, recall), brute(ids, vectors)
+    hits = 0
+    for query_id, found, scores in block.search(ids[asked], vectors[asked], 20):
+        got = list(zip(found.tolist(), scores.tolist()))
+        assert len(got) == 20 and got == sorted(got, key=lambda p: (-p[1], p[0]))
+        hits += len({i for i, _ in got} & {i for i, _ in want[query_id]})
+        if recall is None:
+            assert [i for i, _ in got] == [i for i, _ in want[query_id]]
+    assert hits >= 0.95 * 20 * len(asked)
+    if recall is not None:
+        assert block.verified <= most * len(asked) * len(vectors)
+
+
+def test_lines_find_a_vector_with_the_probability_asked():
+    lines, need, reach = C.lines_for(65, 0.95)
+    assert np.allclose(lines @ lines.T, np.eye(len(lines)))
+    nth = np.sort(np.abs(directions(4000, 65, 11) @ lines.T), axis=1)[:, need - 1]
+    assert abs((nth * reach <= 1).mean() - 0.95) < 0.015
+    lines, need, reach = C.lines_for(65, None)
+    nth = np.sort(np.abs(directions(4000, 65, 12) @ lines.T), axis=1)[:, need - 1]
+    assert (nth * reach <= 1).all()
+
+
 def test_neighbours_awkward_rows(spark, monkeypatch):
     monkeypatch.setattr(C, "BLOCK", 10)
     nan, inf = float("nan"), float("inf")
@@ -121,4 +167,8 @@ def test_neighbours_awkward_rows(spark, monkeypatch):
     want = brute(ids, np.array([clean[i] for i in ids]))
     assert got.keys() == want.keys()  # the query of another length has no other vector to meet
     assert np.mean([len(set(got[q]) & set(want[q])) / 20 for q in want]) >= 0.9
+    exact = {}
+    for r in C.nearest(df, F.col("id") % 20 == 0, recall=None).orderBy("query_id", "rank").collect():
+        exact.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert exact == want
     assert C.nearest(df.filter("vec_id < 0"), F.col("id") % 20 == 0).count() == 0
