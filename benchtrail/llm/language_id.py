@@ -6,8 +6,10 @@ each pair of languages of that family vote on the language, so close
 languages are only ever told apart from each other. The score is the product
 of the two steps' mean votes.
 
-Labels are learned from at most ``SAMPLE`` rows, chosen by hash and balanced
-over the languages; a larger table changes which rows, not how many.
+Labels are learned from about ``SAMPLE`` rows (twice as many at most), those
+of the smallest hashes, balanced over the languages; a larger table changes
+which rows, not how many. Of more than ``MAX_LANGUAGES`` languages the most
+frequent are learned, ties by code.
 
 Defined results: a null text, or one without a letter, is ``und`` with score
 0, as is every text if nothing could be learned; repeated rows get equal
@@ -123,9 +125,7 @@ def learn(labelled: DataFrame, id_col: str, text_col: str, lang_col: str) -> Mod
     rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
                        (F.xxhash64(F.col(id_col), F.col(text_col)).bitwiseAND(F.lit(2**40 - 1)) / 2.0**40).alias("turn"))
-    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()}
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MAX_LANGUAGES).collect()}
     if not counts:
         return None
     each = SAMPLE // len(counts)
@@ -138,8 +138,8 @@ def learn(labelled: DataFrame, id_col: str, text_col: str, lang_col: str) -> Mod
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in found], pa.string()), pa.array([r[1] for r in found], pa.float64()),
                                               pa.array([r[3] for r in found], pa.binary())], ["lang", "turn", "v"])
 
-    sample = (rows.filter(F.col("turn") < share[F.col("lang")]).mapInArrow(run, "lang string, turn double, v binary")
-              .limit(2 * SAMPLE).collect())  # the shares give about SAMPLE rows
+    sample = (rows.withColumn("turn", F.col("turn") / share[F.col("lang")]).filter("turn < 1").mapInArrow(run, "lang string, turn double, v binary")
+              .orderBy("turn", "lang", "v").limit(2 * SAMPLE).collect())  # the shares give about SAMPLE rows
     if not sample:
         return None
     sample.sort(key=lambda r: (r.lang, r.turn, r.v))

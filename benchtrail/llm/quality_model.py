@@ -6,7 +6,7 @@ a fixed depth are grown level by level on histograms of binned statistics and
 flattened into arrays, so that a batch of documents walks all trees with a
 few numpy steps per level.
 
-Labels are learned from at most ``SAMPLE`` labelled rows, chosen by hash.
+Labels are learned from about ``SAMPLE`` labelled rows (twice as many at most), those of the smallest hashes.
 
 Defined results: null and empty texts are scored by their (zero) statistics;
 a document with several labels counts with the smallest; without a label, or
@@ -130,7 +130,7 @@ def learn(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col
     marks = labels.filter(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).alias("y"))
     rows = stats.join(marks, "id").withColumn("turn", F.xxhash64("id", "x").bitwiseAND(F.lit(2**40 - 1)) / 2.0**40)
     n = rows.count()
-    sample = (rows.filter(F.col("turn") < SAMPLE / max(n, 1)).select("turn", "y", "x").limit(2 * SAMPLE).collect())
+    sample = (rows.filter(F.col("turn") < SAMPLE / max(n, 1)).select("turn", "y", "x").orderBy("turn", "y", "x").limit(2 * SAMPLE).collect())
     sample.sort(key=lambda r: (r.turn, r.y, r.x))
     return Trees(np.array([r.x for r in sample]).reshape(len(sample), len(STATISTICS)), np.array([r.y for r in sample], float))
 
