@@ -5,6 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from benchtrail.functions import scan
 from benchtrail.functions.scan import previous_max, running_max
 from benchtrail.sources import logs as L
 from conftest import lines_df
@@ -54,6 +55,14 @@ def test_parsers_read_their_input_once(spark, tmp_dir):
         assert reads.value - before == lines.count()
 
 
+def test_scan_tasks_hold_bounded_rows(spark, monkeypatch):
+    monkeypatch.setattr(scan, "TASK_ROWS", 500, raising=False)
+    df = spark.range(40_000).selectExpr("concat('f', id div 100) as file", "id % 100 as line_no", "if(id % 10 = 0, id, null) as v")
+    for out in (running_max(df, ["file"], "line_no", F.col("v"), "m"), scan.running_count(df, ["file"], "line_no", F.col("v").isNotNull(), "m")):
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 40_000 and max(sizes) <= 2_500, max(sizes)  # tasks of about 500 rows, not one in four of all
+
+
 def test_running_max_chunked_equals_plain_window(spark):
     rows = [("f", i, i if i % 7 == 0 else None) for i in range(1, 400)] + [("g", i, None) for i in range(1, 5)]
     df = spark.createDataFrame(rows, "file string, line_no bigint, v bigint")
