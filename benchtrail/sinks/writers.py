@@ -3,8 +3,10 @@ table definitions (K1-K3, K5, K7-K10)."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
+from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +15,9 @@ from benchtrail.operators.compat import route_by_shape
 from benchtrail.session import materialize
 from benchtrail.sinks.versioned import VersionedTable
 
+#: name of the folder of a null, as Spark's writers have it
+NO_NAME = "__HIVE_DEFAULT_PARTITION__"
+
 # Table definitions (columns and keys of the result tables). Keys are
 # documented and checked by ``key_violations``; Spark does not enforce them.
 PROFILE_RUNS = T.StructType([
@@ -154,3 +159,29 @@ def write_routed(frames: Sequence[DataFrame], root: str) -> list[str]:
     for df, name in zip(frames, names):
         df.write.mode("append").parquet(f"{root.rstrip('/')}/{name}")
     return names
+
+
+def write_logs(lines: DataFrame, folder: str) -> None:
+    """``(file, line_no, line)`` as text logs, ``folder/file=<file>/log.txt``: the layout of a
+    partitioned text table, but a log is one write, without a commit that moves each. A task
+    writes its logs one after the other and holds a batch of lines; a repeated task writes the same."""
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        name, out = None, None
+        for b in batches:
+            for file, rows in b.fillna({"file": NO_NAME, "line": ""}).groupby("file", sort=False):  # rows come file by file
+                if file != name:
+                    if out is not None:
+                        out.close()
+                    system, path = arrow_fs.FileSystem.from_uri(f"{folder}/file={file}")
+                    system.create_dir(path)
+                    name, out = file, system.open_output_stream(f"{path}/log.txt")
+                out.write(("\n".join(rows["line"]) + "\n").encode())
+        if out is not None:
+            out.close()
+        yield pd.DataFrame({"n": [0]})
+
+    # hashed into many parts that are not merged: opening files takes the time, not bytes
+    spark = lines.sparkSession
+    parts = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    (lines.select("file", "line_no", "line").repartition(parts, "file").sortWithinPartitions("file", "line_no").select("file", "line")
+          .mapInPandas(write, "n long").write.format("noop").mode("overwrite").save())

@@ -122,12 +122,11 @@ def log_file_stream(spark: SparkSession, folder: str, glob: str = "*.log", max_f
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     raw = r.load(folder)
-    # drop the empty element a final newline leaves (no window on a stream:
-    # an empty line is only dropped when it is the text's last element)
-    last = F.size(F.split(F.col("value"), "\n")) - 1
-    ex = raw.select(F.col("_metadata.file_path").alias("file"), F.col("value"),
-                    F.posexplode(F.split(F.col("value"), "\n")).alias("pos", "line"))
-    ex = ex.filter(~((F.col("pos") == last) & (F.col("line") == "")))
+    # drop the empty element a final newline leaves (no window on a stream); the text is split
+    # once a log and doesn't go along with its lines
+    parts = F.split(F.col("value"), "\n")
+    kept = F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    ex = raw.select(F.col("_metadata.file_path").alias("file"), F.posexplode(kept).alias("pos", "line"))
     return ex.select("file", (F.col("pos") + 1).cast("bigint").alias("line_no"),
                      F.regexp_replace("line", "\r$", "").alias("line"))
 

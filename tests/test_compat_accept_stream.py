@@ -180,3 +180,26 @@ def test_tools_of_deep_chains_and_cycles(spark):
     got = {r.id: (r.tool, r.cycle) for r in A.resolve_tools(specs).collect()}
     assert all(got[f"n{i}"] == ("X", False) for i in range(301))
     assert got["a"] == got["b"] == got["c"] == (None, True) and got["d"] == (None, False)
+
+
+def test_written_logs_equal_a_partitioned_text_table(spark, tmp_dir):
+    from benchtrail.sinks.writers import write_logs
+    rows = [(f"run_{f}.log", i, f"line {i} é" if i % 5 else None) for f in range(7) for i in range(9)] + [(None, 1, "x"), (None, 2, "")]
+    lines = spark.createDataFrame(rows, "file string, line_no bigint, line string").repartition(5)
+    write_logs(lines, f"file:{tmp_dir}/a")
+    lines.repartition("file").sortWithinPartitions("file", "line_no").select("file", "line").write.partitionBy("file").text(f"{tmp_dir}/b")
+    read = lambda d: sorted(r.value for r in spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").text(f"{tmp_dir}/{d}").collect())
+    names = lambda d: sorted(x for x in os.listdir(f"{tmp_dir}/{d}") if "=" in x)
+    assert read("a") == read("b") and names("a") == names("b") and len(names("a")) == 8
+
+
+def test_lines_of_a_streamed_log_do_not_carry_its_text(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/logs")
+    for name, text in {"a": "one\r\n\ntwo\n", "b": "", "c": "\n", "d": "x"}.items():
+        with open(f"{tmp_dir}/logs/{name}.log", "w", newline="") as f:
+            f.write(text)
+    stream = S.log_file_stream(spark, f"{tmp_dir}/logs")
+    assert "Filter" not in stream._jdf.queryExecution().analyzed().toString()  # no line is held against its whole text
+    S.run_available(stream, S.batch_writer(f"{tmp_dir}/out"), f"{tmp_dir}/check")
+    got = sorted((os.path.basename(r.file), r.line_no, r.line) for r in spark.read.parquet(f"{tmp_dir}/out").collect())
+    assert got == [("a.log", 1, "one"), ("a.log", 2, ""), ("a.log", 3, "two"), ("c.log", 1, ""), ("d.log", 1, "x")]
