@@ -29,6 +29,8 @@ from benchtrail.session import materialize
 from benchtrail.sinks.versioned import VersionLog
 
 SPLIT = 64 << 20
+#: new bytes of a batch that a task reads, about, over several logs
+TASK = 16 << 20
 READ = 1 << 20
 LEDGER = "file string, bytes long, lines long"
 LINES = "file string, line_no bigint, line string"
@@ -97,8 +99,10 @@ class GrowingLogs:
                     if out:
                         yield pd.DataFrame(out, columns=["file", "low", "n", "end", "line"])
 
-        tasks = max(1, splits.count())
-        rows = materialize(splits.repartition(min(tasks, 10_000), "file", "low").mapInPandas(read, "file string, low long, n long, end long, line string"), "new-lines")
+        # a task reads many small logs or one split
+        new = splits.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.col("high") - F.col("low")), F.lit(0)).alias("bytes")).first()
+        tasks = max(1, min(new.n, max(-(-new.bytes // TASK), self.spark.sparkContext.defaultParallelism)))
+        rows = materialize(splits.repartition(tasks, "file", "low").mapInPandas(read, "file string, low long, n long, end long, line string"), "new-lines")
         parts = rows.groupBy("file", "low").agg(F.count(F.lit(1)).alias("count"), F.max("end").alias("end"))
         before = parts.alias("p").join(parts.select(F.col("file").alias("f"), F.col("low").alias("l"), F.col("count").alias("c")).alias("q"),
                                        (F.col("p.file") == F.col("q.f")) & (F.col("q.l") < F.col("p.low")), "left")  # splits of one file

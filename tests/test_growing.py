@@ -102,3 +102,14 @@ def test_compaction_keeps_the_newest_and_bounds_what_is_read(spark, tmp_dir, mon
     assert dict(map(tuple, store.read().collect())) == want
     store.add(spark.createDataFrame([(0, "20")], "k int, v string"), 9)
     assert dict(map(tuple, store.read().collect())) == want | {0: "20"}
+
+
+def test_small_logs_are_read_by_few_tasks(spark, tmp_dir):
+    grow(f"{tmp_dir}/logs", names := [f"{i}.log" for i in range(60)], [(b"Node Name        : n\n", 0, 21)] * len(names))
+    logs = G.GrowingLogs(spark, f"{tmp_dir}/logs", f"{tmp_dir}/state")
+    lines, _ = logs.new_lines()
+    assert lines.count() == 60 and logs.take(parse, opens()) == 1 and logs.rows().count() == 60
+    import glob
+    written = glob.glob(f"{spark.sparkContext.getCheckpointDir().removeprefix('file:')}/new-lines-*/part-*")
+    newest = max({os.path.dirname(x) for x in written}, key=os.path.getmtime)
+    assert sum(os.path.dirname(x) == newest for x in written) <= spark.sparkContext.defaultParallelism
