@@ -11,16 +11,19 @@ no log is ever held in one task.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from benchtrail.functions.scan import previous_max, running_count, running_max
+from benchtrail.functions.scan import DEFAULT_CHUNK, previous_max, running_count, running_max
 from benchtrail.session import materialize
 
 # Usage-log grammar.
 HEADER = r"^(\s*)(\S+)\s(\S+)\s\(entered\s(\d+)\stimes\)"
 DETAIL = r"^\s+(\S+)\s+([0-9]+\.?[0-9]*)\s+([0-9]+\.?[0-9]*)"
 TOTAL = "TOTAL"
+#: stands for no line where numbers can't be null
+NO_LINE = -(1 << 62)
 
 
 def header_relations(hdr: DataFrame) -> DataFrame:
@@ -52,15 +55,11 @@ def header_relations(hdr: DataFrame) -> DataFrame:
             break
         h = h.withColumn("closing", F.col("now")).drop("own", "node", "open", "now")
 
-    # parent: the open node if this one is deeper, else that node's parent; chains of
-    # "same parent as" point to earlier lines only, so doubling resolves them
+    # parent: the open node if this one is deeper, else that node's parent
     state = materialize(h.filter(~F.col("closing")).select(
         "file", "line_no", F.when(F.col("open.s") < F.col("spaces"), F.col("open.l")).alias("parent"),
         F.when(F.col("open.s") == F.col("spaces"), F.col("open.l")).alias("same_as")), "parents")
-    while not state.filter(F.col("same_as").isNotNull()).isEmpty():
-        other = state.select("file", F.col("line_no").alias("same_as"), F.col("parent").alias("_parent"), F.col("same_as").alias("_same_as"))
-        state = materialize(state.join(other, ["file", "same_as"], "left").select(
-            "file", "line_no", F.coalesce("parent", "_parent").alias("parent"), F.col("_same_as").alias("same_as")), "parents")
+    state = resolve_parents(state)
 
     ids = materialize(running_count(h.select("file", "line_no"), ["file"], "line_no", F.lit(True), "_n")
                       .select("file", "line_no", (F.col("_n") - 1).alias("node_id")), "node-ids")
@@ -77,6 +76,35 @@ def header_relations(hdr: DataFrame) -> DataFrame:
                      (F.col("closing") & F.col("own").isNull()).alias("orphan"), "owner_id"))
 
 
+def resolve_parents(state: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """(file, line_no, parent) from rows that have a parent (or none) or the ``same_as`` another line.
+
+    These point to earlier lines only, so one pass over a chunk of lines leaves just pointers
+    out of it. Pointer doubling settles the few lines that those point to, whatever a log's length.
+    """
+    def settle(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("line_no")
+        found: dict[int, tuple[int, int]] = {}
+        for line, parent, same_as in zip(rows["line_no"].tolist(), rows["parent"].tolist(), rows["same_as"].tolist()):
+            found[line] = found.get(same_as, (parent, same_as))
+        rows["parent"], rows["same_as"] = [x[0] for x in found.values()], [x[1] for x in found.values()]
+        return rows[["file", "line_no", "parent", "same_as"]]
+
+    known = lambda c: F.coalesce(F.col(c), F.lit(NO_LINE)).alias(c)
+    chunked = state.select("file", "line_no", known("parent"), known("same_as"), F.floor(F.col("line_no") / F.lit(chunk)).alias("_chunk"))
+    settled = chunked.groupBy("file", "_chunk").applyInPandas(settle, "file string, line_no bigint, parent bigint, same_as bigint")
+    given = lambda c: F.nullif(F.col(c), F.lit(NO_LINE)).alias(c)
+    state = materialize(settled.select("file", "line_no", given("parent"), given("same_as")), "parents")
+    asked = state.filter(F.col("same_as").isNotNull()).select("file", F.col("same_as").alias("line_no")).distinct()
+    ends = materialize(state.join(asked, ["file", "line_no"], "left_semi"), "parents")
+    while not ends.filter(F.col("same_as").isNotNull()).isEmpty():
+        other = ends.select("file", F.col("line_no").alias("same_as"), F.col("parent").alias("_parent"), F.col("same_as").alias("_same_as"))
+        ends = materialize(ends.join(other, ["file", "same_as"], "left").select(
+            "file", "line_no", F.coalesce("parent", "_parent").alias("parent"), F.col("_same_as").alias("same_as")), "parents")
+    end = ends.select("file", F.col("line_no").alias("same_as"), F.col("parent").alias("_parent"))
+    return state.join(end, ["file", "same_as"], "left").select("file", "line_no", F.coalesce("parent", "_parent").alias("parent"))
+
+
 def parse_usage_tree(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(nodes, details)``.
 

@@ -201,3 +201,26 @@ def test_nested_trees_equal_a_reading_line_by_line(spark):
     assert got == {f: nested(log) for f, log in logs.items()}
     none = U.usage_trees(nodes.limit(0), details.limit(0), "hl_", F.lit(7))
     assert none.count() == 0 and none.columns == ["file", "node_id", "tree"]
+
+
+def test_long_chains_of_parents_settle_in_few_stored_tables(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(U, "materialize", lambda df, name, store=U.materialize: stored.append(name) or store(df, name))
+    n = 3000  # one root and its children, each as the one before; every 50th is a level deeper, under it
+    text = ["root op (entered 1 times)"] + [x for i in range(n) for x in [f"  a{i} op (entered 1 times)", *([f"    b{i} op (entered 1 times)", f"  a{i} op (entered 1 times)"] if i % 50 == 0 else [])]]
+    lines = spark.createDataFrame([("f", i + 1, x) for i, x in enumerate(text)], "file string, line_no bigint, line string")
+    monkeypatch.setattr(U, "DEFAULT_CHUNK", 64, raising=False)
+    nodes, _ = U.parse_usage_tree(lines)
+    got = {r.name: (r.node_id, r.parent_id) for r in nodes.collect()}
+    assert len(got) == 1 + n + n // 50
+    assert all(got[f"a{i}"][1] == 0 for i in range(n)) and all(got[f"b{i}"][1] == got[f"a{i}"][0] for i in range(0, n, 50))
+    assert stored.count("parents") <= 12 - 4, stored  # doubling over all nodes took 13
+
+
+def test_parents_across_chunks(spark):
+    rows = [("f", 1, None, None), *[("f", i, 1, None) if i % 997 == 2 else ("f", i, None, i - 1 if i % 3 else max(2, i - 40)) for i in range(2, 2500)]]
+    want = {1: None}
+    for _, i, parent, same in rows[1:]:
+        want[i] = parent if same is None else want[same]
+    state = spark.createDataFrame(rows, "file string, line_no bigint, parent bigint, same_as bigint")
+    assert {r.line_no: r.parent for r in U.resolve_parents(state, chunk=50).collect()} == want
