@@ -12,6 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: tasks of a meeting, at most
+TASKS = 10_000
+
 
 def meet(placed: DataFrame, sizes: dict[int, int], queries: DataFrame, n_queries: int, search: Callable, schema: str,
          block: int, query_block: int, id_col: str = "id") -> DataFrame:
@@ -30,4 +33,6 @@ def meet(placed: DataFrame, sizes: dict[int, int], queries: DataFrame, n_queries
     asked = (queries.join(cells(), "cell").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumn("part", F.pmod(place, F.lit(parts)).cast("int")))
     keys = ["cell", "block", "part"]
-    return rows.groupBy(keys).cogroup(asked.groupBy(keys)).applyInPandas(search, schema)
+    # about one block and one part a task: the planner would merge tasks by their bytes, and searching takes the time
+    tasks = min(2 * parts * sum(-(-n // block) for n in sizes.values()), TASKS)
+    return rows.repartition(max(1, tasks), *keys).groupBy(keys).cogroup(asked.repartition(max(1, tasks), *keys).groupBy(keys)).applyInPandas(search, schema)

@@ -30,6 +30,8 @@ from benchtrail.session import materialize
 BLOCK, QUERY_BLOCK, PIVOTS, SAMPLE = 16_384, 16_384, 256, 4_096
 #: distances in double precision may differ by this share from what the triangle inequality says
 SLACK = 1e-9
+#: queries of a block compared together, pairs compared by differences at a time
+TOGETHER, PAIRS = 128, 100_000
 FOUND = "query_id long, id long, distance double, compared long"
 
 
@@ -100,33 +102,67 @@ def _router(cells: Cells, dim: int, home: bool):
     return route
 
 
+def _nearer(x: np.ndarray, ids: np.ndarray, q: np.ndarray, low: np.ndarray, high: np.ndarray, kth: np.ndarray, k: int) -> Iterator[tuple[int, int, float]]:
+    """(query, id, distance) of the rows low to high of each query that may be among its k
+    nearest, if they are no farther than ``kth``. Products leave out what is farther than
+    their rounding allows; the rest is compared by differences."""
+    first, last = int(low.min()), int(high.max())
+    if first >= last:
+        return
+    with np.errstate(over="ignore", invalid="ignore"):
+        norms, lengths = (x[first:last] ** 2).sum(axis=1), (q**2).sum(axis=1)
+        squares = norms + lengths[:, None] - 2 * q @ x[first:last].T
+        error = 1e-15 * (x.shape[1] + 8) * (norms.max() + lengths) + SLACK * kth**2
+        at = np.arange(first, last)
+        inside = (at >= low[:, None]) & (at < high[:, None])
+        keep = inside & ~(squares > (kth**2 + error)[:, None])
+        if keep.sum() > 64 * k * len(q) and last - first > k:  # only those near the k-th of this block
+            least = np.partition(np.where(inside, squares, np.inf), k - 1, axis=1)[:, k - 1]
+            keep &= ~(squares > (least + 2 * error)[:, None])
+    asked, found = np.nonzero(keep)
+    found += first
+    d = np.concatenate([np.sqrt(((x[found[i:i + PAIRS]] - q[asked[i:i + PAIRS]]) ** 2).sum(axis=1)) for i in range(0, len(found), PAIRS)] or [np.zeros(0)])
+    order = np.lexsort((ids[found], d, asked))
+    asked, found, d = asked[order], found[order], d[order]
+    place = np.arange(len(asked)) - np.searchsorted(asked, asked)
+    for n in np.flatnonzero(place < k):
+        yield int(asked[n]), int(ids[found[n]]), float(d[n])
+
+
 def _searcher(dim: int, k: int):
     def search(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(rows) and len(queries):
-            rows = rows.sort_values("radius")
+            rows, queries = rows.sort_values("radius"), queries.sort_values("to_pivot")
             radius, ids, x = rows["radius"].to_numpy(), rows["id"].to_numpy(), matrix(rows["v"], dim)
-            for query, q, to, kth in zip(queries["id"], matrix(queries["v"], dim), queries["to_pivot"], queries["kth"].astype(float)):
-                kth = np.inf if np.isnan(kth) else kth
-                slack = SLACK * (to + radius[-1])
+            q, to = matrix(queries["v"], dim), queries["to_pivot"].to_numpy(float)
+            asked, bound = queries["id"].to_numpy(), queries["kth"].to_numpy(float)
+            # with a k-th distance: the rows of its ring, many queries at a time
+            slack = SLACK * (to + radius[-1])
+            low, high = np.searchsorted(radius, to - bound - slack), np.searchsorted(radius, to + bound + slack, side="right")
+            known = np.flatnonzero(~np.isnan(bound) & (bound < np.inf))
+            for i in range(0, len(known), TOGETHER):
+                some = known[i:i + TOGETHER]
+                compared = dict(enumerate((high[some] - low[some]).tolist()))
+                for n, row, d in _nearer(x, ids, q[some], low[some], high[some], bound[some], k):
+                    out.append((asked[some[n]], row, d, compared.pop(n, 0)))
+            for n in np.flatnonzero(np.isnan(bound) | (bound == np.inf)):
                 # the ring of the query's own radius first, then outwards while the k-th distance allows
-                mid, best, compared = int(np.searchsorted(radius, to)), [], 0
-                low = high = mid
-                step = max(4 * k, 64)
+                at_low = at_high = int(np.searchsorted(radius, to[n]))
+                best, compared, step = [], 0, max(4 * k, 64)
                 while True:
-                    reach = best[k - 1][0] if len(best) >= k else np.inf
-                    reach = min(reach, kth) + slack
-                    left = slice(max(0, low - step), low) if low and to - radius[low - 1] <= reach else slice(low, low)
-                    right = slice(high, min(len(ids), high + step)) if high < len(ids) and radius[high] - to <= reach else slice(high, high)
+                    reach = (best[k - 1][0] if len(best) >= k else np.inf) + slack[n]
+                    left = slice(max(0, at_low - step), at_low) if at_low and to[n] - radius[at_low - 1] <= reach else slice(at_low, at_low)
+                    right = slice(at_high, min(len(ids), at_high + step)) if at_high < len(ids) and radius[at_high] - to[n] <= reach else slice(at_high, at_high)
                     at = np.r_[left, right]
                     if not len(at):
                         break
-                    low, high = left.start, right.stop
-                    d = np.sqrt(((x[at] - q) ** 2).sum(axis=1))
+                    at_low, at_high = left.start, right.stop
+                    d = np.sqrt(((x[at] - q[n]) ** 2).sum(axis=1))
                     compared += len(at)
                     best = sorted(best + list(zip(d.tolist(), ids[at].tolist())))[:k]
                     step *= 2
-                out += [(query, i, d, compared if n == 0 else 0) for n, (d, i) in enumerate(best)]
+                out += [(asked[n], i, d, compared if m == 0 else 0) for m, (d, i) in enumerate(best)]
         return pd.DataFrame(out, columns=["query_id", "id", "distance", "compared"]).astype({"query_id": "int64", "id": "int64", "compared": "int64"})
     return search
 

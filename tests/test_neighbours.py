@@ -57,3 +57,16 @@ def test_vote_and_empty_tables(spark):
     some, none = spark.createDataFrame(clustered(5, 1), SCHEMA), spark.createDataFrame([], SCHEMA)
     for a, b in ((none, some), (some, none)):
         assert N.nearest_rows(a, b, 5, "id", "v").count() == 0
+
+
+def test_groups_of_a_search_are_not_merged_into_few_tasks(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 100)
+    monkeypatch.setattr(N, "QUERY_BLOCK", 50)
+    r = np.random.default_rng(7)
+    rows = [(i, r.normal(size=16).tolist(), 0) for i in range(2000)]
+    train, test = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(rows[:200], SCHEMA)
+    tasks = []
+    meet = N.meet
+    monkeypatch.setattr(N, "meet", lambda *a: tasks.append(d := meet(*a)) or d)
+    N.nearest_rows(train, test, 5, "id", "v").collect()
+    assert all(d.rdd.getNumPartitions() >= 80 for d in tasks)  # 20 blocks with 4 parts at least; the planner made 4 tasks of them
