@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from benchtrail.functions.scan import TASK_ROWS
+
 RAW_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
               "events", "documents", "embeddings", "pages", "benchmark", "labels",
               "conversations")
@@ -303,19 +305,36 @@ SPARK_EXPANSIONS = (
 )
 
 
-def spark_text(name: str) -> str:
+# Spark form of the windows over runs: what a window sorts is dealt by its keys over tasks of
+# bounded size (the log lines before a run is expanded to its six lines), not by the planner's sizes.
+SPARK_DEALT = {
+    "f1_runs": (1, "(select event_id, event_type, value, ts as updatetime",
+                "(select /*+ repartition({tasks}, algorithm, event_type, size_n, board, changelist) */ event_id, event_type, value, ts as updatetime"),
+    "f2_profile_lines": (6, "from f1_runs lateral view", "from (select /*+ repartition({tasks}, changelist, board, loop_no) */ * from f1_runs) r lateral view"),
+}
+
+
+def spark_text(name: str, rows: int = 0, parallelism: int = 1) -> str:
+    """The fixture's text for Spark; ``rows`` are the rows of its source. Few rows are left to the planner."""
     text = FIXTURES[name]
     for shared, spark_form in SPARK_EXPANSIONS:
         text = text.replace(shared, spark_form)
+    if name in SPARK_DEALT:
+        times, shared, spark_form = SPARK_DEALT[name]
+        tasks = -(-rows * times // TASK_ROWS)
+        if tasks > parallelism:
+            text = text.replace(shared, spark_form.format(tasks=tasks))
     return text
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One fixture view as a DataFrame (the raw tables are registered first)."""
     register_raw(spark, sf_dir, SOURCES[name])
+    needed = {name, *DEPENDS.get(name, ())}
+    size = (raw(spark, sf_dir, "events").count() if needed & set(SPARK_DEALT) else 0, spark.sparkContext.defaultParallelism)
     for dep in DEPENDS.get(name, ()):
-        spark.sql(spark_text(dep)).createOrReplaceTempView(dep)
-    df = spark.sql(spark_text(name))
+        spark.sql(spark_text(dep, *size)).createOrReplaceTempView(dep)
+    df = spark.sql(spark_text(name, *size))
     df.createOrReplaceTempView(name)
     return df
 
