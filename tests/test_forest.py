@@ -1,5 +1,6 @@
 """Extremely randomised trees (M11): a planted feature, the counts behind the gains, odd rows."""
 
+import hashlib
 import math
 
 import numpy as np
@@ -64,3 +65,37 @@ def test_odd_rows(spark):
     for df in (same, one_class, spark.createDataFrame([], SCHEMA)):
         grown = X.grow(df, "v", "label", trees=1, depth=1)
         assert grown.count() == 0 and [r.importance for r in X.importances(grown, 2).collect()] == [0.0, 0.0]
+
+
+def defined_predictions(train, asked, trees, depth, seed=X.SEED):
+    """The definition in numpy, with every feature drawn in every node: {id: label}."""
+    x, y = np.array([r[1] for r in train]), np.array([r[2] for r in train])
+    ids, v, votes = [r[0] for r in asked], np.array([r[1] for r in asked]), np.zeros((len(asked), y.max() + 1))
+    mass = lambda part: float((np.bincount(part) ** 2).sum()) / len(part)
+
+    def leaf(tree, node, here, there, left):
+        cuts = []
+        for f in range(x.shape[1]) if left and len(set(y[here])) > 1 else ():
+            low, high = x[here, f].min(), x[here, f].max()
+            cut = low + int(hashlib.md5(f"{seed}:c:{tree}:{node}:{f}".encode()).hexdigest()[:X.DIGITS], 16) / 16**X.DIGITS * (high - low)
+            right = x[here, f] > cut
+            if right.any() and not right.all():
+                cuts.append((mass(y[here[~right]]) + mass(y[here[right]]) - mass(y[here]), -f, cut))
+        if not cuts:
+            votes[there] += np.bincount(y[here], minlength=votes.shape[1]) / len(here)
+            return
+        _, f, cut = max(cuts)
+        for child, side in ((2 * node, lambda a: a <= cut), (2 * node + 1, lambda a: a > cut)):
+            leaf(tree, child, here[side(x[here, -f])], there[side(v[there, -f])], left - 1)
+
+    for tree in range(trees):
+        leaf(tree, 1, np.arange(len(x)), np.arange(len(v)), depth)
+    return dict(zip(ids, votes.round(9).argmax(1).tolist()))
+
+
+def test_predictions_are_those_of_the_definition(spark):
+    train, asked = planted(800), planted(200, seed=2)
+    df = spark.createDataFrame(train, SCHEMA)
+    splits = X.grow(df, "v", "label", trees=4, depth=3, tried=6)
+    got = X.predict(spark.createDataFrame(asked, SCHEMA), splits, df, "id", "v", "label", 3).collect()
+    assert len(got) == 200 and {r.id: r.prediction for r in got} == defined_predictions(train, asked, 4, 3)
