@@ -98,6 +98,19 @@ def test_passage_in_a_third_of_all_texts_splits_at_its_anchors(spark, monkeypatc
     assert sum(x[1] > 0 for x in want.values()) > 30
 
 
+def test_passages_of_over_50_words_go_by_their_bytes(spark):
+    """A shared passage of over 50 words goes if it has a 400-byte string and stays if not; n_bytes tells neither."""
+    r = random.Random(41)
+    words = lambda n, size: " ".join("".join(r.choices("abcdefghij", k=size)) for _ in range(n))
+    passages = [words(60, 4), words(60, 7)]  # 299 and 479 bytes
+    texts = [words(40, 5) + f" {p} " + words(k, 5) for p in passages for k in (10, 200)] + [words(150, 5)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = got(R.remove_repeats(df))
+    assert found == dict(enumerate(expected([t.encode() for t in texts])))
+    assert [found[i][0] for i in range(5)] == [len(t) for t in texts]
+    assert [found[i][1] > 0 for i in range(5)] == [False, False, True, True, False] and min(found[2][1], found[3][1]) >= 479
+
+
 def test_halves_hold_every_window_once(spark):
     raw = random.Random(3).randbytes(2000)
     fp, place, first, last = R.anchors(np.frombuffer(raw, np.uint8))
