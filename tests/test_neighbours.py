@@ -70,3 +70,50 @@ def test_groups_of_a_search_are_not_merged_into_few_tasks(spark, monkeypatch):
     monkeypatch.setattr(N, "meet", lambda *a: tasks.append(d := meet(*a)) or d)
     N.nearest_rows(train, test, 5, "id", "v").collect()
     assert all(d.rdd.getNumPartitions() >= 80 for d in tasks)  # 20 blocks with 4 parts at least; the planner made 4 tasks of them
+
+
+def test_a_query_travels_once_to_an_area_of_many_cells(spark, monkeypatch):
+    r = np.random.default_rng(8)
+    rows = [(i, r.normal(size=16).tolist(), 0) for i in range(4000)]  # no structure: each query asks most cells
+    train, test = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(rows[:200], SCHEMA)
+    sent = []
+    meet = N.meet
+    monkeypatch.setattr(N, "meet", lambda *a: sent.append(a[2]) or meet(*a))
+    got = N.nearest_rows(train, test, 5, "id", "v").collect()
+    assert len(got) == 1000 and all(x.id == x.query_id and x.distance == 0 for x in got if x["rank"] == 1)
+    assert [d.count() for d in sent][0] == 200 and all(d.count() <= 200 * 9 for d in sent)  # 4000 rows: 15 cells in 8 or 9 areas of 512 at most
+
+
+def test_router_makes_no_more_rows_than_it_gets():
+    r = np.random.default_rng(9)
+    pivots, Row = r.normal(size=(60, 16)), type("Row", (), {})
+    stats = []
+    for i in range(60):
+        stats.append(Row())
+        stats[-1].__dict__.update(pivot=i, cell=i, n=10, near=0.0, far=9.0)
+    layout = N.Cells(pivots, stats, 200)
+    assert sorted(layout.sizes().values()) == [200, 200, 200]
+    some = N.pd.DataFrame({"id": range(5000), "v": list(r.normal(size=(5000, 16))), "kth": [3.0] * 5000})
+    out = list(N._router(layout, 16, False)(iter([some])))
+    assert sum(len(x) for x in out) == 5000 and max(len(x) for x in out) <= N.ROUTED
+    assert all(len(set(a)) == len(a) <= 2 for x in out for a in x["areas"])
+
+
+@pytest.mark.parametrize("offset,scale", [(0.0, 1.0), (1e5, 1.0), (0.0, 1e-30), (0.0, 1e30)])
+def test_products_leave_out_nothing_that_is_near(spark, monkeypatch, offset, scale):
+    monkeypatch.setattr(N, "LEAST", 100)
+    monkeypatch.setattr(N, "LEFT", 500)
+    r = np.random.default_rng(10)
+    x = (r.normal(size=(700, 8)) * scale + offset).astype("float32")
+    x[600:650] = x[600]  # alike
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "id long, v array<float>")
+    found = {}
+    for g in N.nearest_rows(df, df.filter("id % 5 = 0"), 5, "id", "v").orderBy("query_id", "rank").collect():
+        found.setdefault(g.query_id, []).append((g.distance, g.id))
+    wide = x.astype(float)
+    for q in range(0, 700, 5):
+        d = np.sqrt(((wide - wide[q]) ** 2).sum(axis=1))
+        nearest = np.lexsort((np.arange(700), d))[:5]
+        assert [i for _, i in found[q]] == nearest.tolist() and np.allclose([a for a, _ in found[q]], d[nearest], rtol=1e-12, atol=0)
+    assert len(found) == 140
